@@ -9,6 +9,7 @@ from xml.etree import ElementTree
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # What stands in for a missing title, broken XML and a missing image.
 NO_TITLE = "No Title"
@@ -36,9 +37,12 @@ def _library_entries(library: str | None) -> list[dict[str, str]]:
     return [{"title": title, "payload": payload} for title, payload in payloads.items()]
 
 
+ENTRIES_TYPE = T.ArrayType(T.StructType().add("title", "string").add("payload", "string"))
+
+
 # Broken XML cannot be caught by the built-in XML functions, so this one step
 # runs in Python, on Arrow batches.
-@F.pandas_udf("array<struct<title: string, payload: string>>")
+@F.pandas_udf(ENTRIES_TYPE)
 def icon_entries(library: pd.Series) -> pd.Series:
     return library.map(_library_entries)
 

@@ -57,6 +57,11 @@ def replace_in_one_pass(column: Column, replacements: Mapping[str, str]) -> Colu
     return F.array_join(F.zip_with(between, put_in, lambda before, literal: F.concat(before, literal)), "")
 
 
+def to_base64(column: Column) -> Column:
+    """The base64 code of UTF-8 text in one line, where ``base64`` alone may break it into lines."""
+    return F.translate(F.base64(F.encode(column, "UTF-8")), "\r\n", "")
+
+
 def _replacement_literal(text: str) -> str:
     return text.replace("\\", "\\\\").replace("$", "\\$")
 
@@ -65,4 +70,4 @@ def recolor_base64(column: Column, colour: str) -> Column:
     """Set every ``fill="..."`` in base64-coded text to ``colour``; NULL when it is no UTF-8 text."""
     text = F.try_validate_utf8(F.try_to_binary(column, F.lit("base64")).cast("string"))
     filled = F.regexp_replace(text, 'fill="[^"]+"', _replacement_literal(f'fill="{colour}"'))
-    return F.base64(F.encode(filled, "UTF-8"))
+    return to_base64(filled)

@@ -8,6 +8,7 @@ from html.parser import HTMLParser
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Fixed value: elements that have no end tag.
 VOID_ELEMENTS = frozenset(
@@ -19,7 +20,7 @@ HIDDEN_TEXT = frozenset({"script", "style", "template"})
 
 NOT_AVAILABLE = "N/A"
 
-PAIRS_TYPE = "array<struct<key: string, value: string>>"
+PAIRS_TYPE = T.ArrayType(T.StructType().add("key", "string").add("value", "string"))
 
 
 class _TableAfterAnchor(HTMLParser):

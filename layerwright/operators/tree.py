@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from layerwright.session import scratch_path, stage
 
@@ -52,5 +53,5 @@ def tree_flatten(
         )
     else:
         raise ValueError(f"the tree is deeper than {max_depth} levels or has a cycle")
-    flat = spark.read.schema(schema.add("depth", "int")).parquet(levels)
+    flat = spark.read.schema(schema.add("depth", T.IntegerType())).parquet(levels)
     return flat.where("href IS NOT NULL").select("path", "title", "href", "depth", "sort_key")

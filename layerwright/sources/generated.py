@@ -14,9 +14,9 @@ def inline_rows(spark: SparkSession, rows: Sequence[tuple], schema: str | T.Stru
     return spark.createDataFrame(list(rows), schema)
 
 
-def days_between(bounds: DataFrame, start: Column, end: Column) -> DataFrame:
+def days_between(bounds: DataFrame, start: Column, end: Column, keep: Sequence[str] = ()) -> DataFrame:
     """One ``Date`` row per day from ``start`` to ``end``, both included, for each row of ``bounds``."""
-    return bounds.select(F.explode(F.sequence(F.to_date(start), F.to_date(end))).alias("Date"))
+    return bounds.select(*keep, F.explode(F.sequence(F.to_date(start), F.to_date(end))).alias("Date"))
 
 
 def generate_dates(spark: SparkSession, start: str, end: str) -> DataFrame:
