@@ -7,8 +7,13 @@ from pyspark.sql import functions as F
 
 
 def date_key(day: Column) -> Column:
-    """``yyyyMMdd`` as an integer; NULL for text that is no date."""
-    return F.date_format(day.try_cast("timestamp"), "yyyyMMdd").cast("int")
+    """``yyyyMMdd`` as an integer; NULL for text that is no date.
+
+    Reckoned from the parts of the date, which costs far less per row than
+    formatting and casting text.
+    """
+    date = day.try_cast("timestamp").cast("date")
+    return F.year(date) * 10_000 + F.month(date) * 100 + F.dayofmonth(date)
 
 
 def day_parts(day: Column) -> dict[str, Column]:

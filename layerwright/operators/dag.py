@@ -32,7 +32,7 @@ def dag_levels(activities: DataFrame) -> DataFrame:
     spark = activities.sparkSession
     staged = stage(activities.select("name", "dependencies"), "dag")
     names = staged.select("name").distinct()
-    known = names.withColumnRenamed("name", "dependency")
+    known = staged.select(F.col("name").alias("dependency"))
     edges = stage(dag_edges(staged).join(known, "dependency", "left_semi").distinct(), "dag-edges")
 
     rounds = scratch_path(spark, "dag-rounds")

@@ -38,9 +38,12 @@ def salted_lookup(
 
     For a lookup that comes out of an aggregation on the same keys. There the
     shuffle of the aggregation would be reused for the join and a hot key of
-    ``df`` could not be split any more. Key columns that are NULL never match.
+    ``df`` could not be split any more. The salt comes from the row and from its
+    partition, so copies of one row are spread too, and a task that runs again
+    salts its rows as before. Key columns that are NULL never match.
     """
-    salted = df.withColumn("__salt", F.pmod(row_hash(df), F.lit(salts)).cast("int"))
+    spread = row_hash(df) + F.spark_partition_id()
+    salted = df.withColumn("__salt", F.pmod(spread, F.lit(salts)).cast("int"))
     copies = lookup.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     return salted.join(copies, [*keys, "__salt"], how).drop("__salt")
 

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from layerwright.functions.dates import date_key, day_parts
-from layerwright.operators import clean, ordering, predicates, projection, setops
-from layerwright.operators.measures import YES, measure_filter as keep_measured, order_by_measure as by_measure, yes_count
+from layerwright.functions.rules import first_match
+from layerwright.operators import clean, measures, ordering, predicates, projection, setops
 from layerwright.operators.projection import ModelColumn
 from registered import Registry, inputs
 from registered.inputs import table
@@ -119,8 +119,8 @@ def slicer_values(spark, sf):
           FROM ({inputs.DOCS}) GROUP BY ALL HAVING measure > 0"""
 )
 def measure_filter(spark, sf):
-    assert YES == "Yes"
-    return keep_measured(inputs.docs(spark, sf), ["Service", "API", "Title"], yes_count("SupportSpnAndMi"), "measure")
+    supported = measures.yes_count("SupportSpnAndMi")
+    return measures.measure_filter(inputs.docs(spark, sf), ["Service", "API", "Title"], supported, "measure")
 
 
 @registry.query(f"SELECT Service, API, Title FROM ({inputs.DOCS}) ORDER BY Service")
@@ -130,7 +130,7 @@ def order_by_column(spark, sf):
 
 @registry.query("SELECT p_brand, p_type, count(*) AS n_parts FROM part GROUP BY ALL ORDER BY n_parts")
 def order_by_measure(spark, sf):
-    return by_measure(table(spark, sf, "part"), ["p_brand", "p_type"], F.count(F.lit(1)), "n_parts")
+    return measures.order_by_measure(table(spark, sf, "part"), ["p_brand", "p_type"], F.count(F.lit(1)), "n_parts")
 
 
 @registry.query("SELECT DISTINCT n_name FROM nation JOIN customer ON c_nationkey = n_nationkey")
@@ -145,8 +145,6 @@ def sort_by_other_column(spark, sf):
               WHEN contains(o_orderpriority, 'LOW') THEN 4 ELSE 5 END AS rank FROM orders"""
 )
 def order_by_rank_rule(spark, sf):
-    from layerwright.functions.rules import first_match
-
     ranks = {"URGENT": 1, "HIGH": 2, "MEDIUM": 3, "LOW": 4}
     orders = table(spark, sf, "orders").select("o_orderkey", "o_orderpriority")
     ordered = ordering.order_by_rank_rule(orders, "o_orderpriority", ranks, 5, "o_orderkey")
