@@ -11,6 +11,10 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+# Stands around hits while literals are replaced.
+_MARK = "\0"
+
+
 def normalize_space(column: Column) -> Column:
     """Strip the ends and make every run of white space one blank."""
     return F.trim(F.regexp_replace(column, r"\s+", " "))
@@ -51,10 +55,19 @@ def replace_in_one_pass(column: Column, replacements: Mapping[str, str]) -> Colu
         raise ValueError("cannot replace the empty text")
     pattern = "|".join(re.escape(literal) for literal in replacements)
     table = F.create_map(*[F.lit(part) for part in chain.from_iterable(replacements.items())])
-    between = F.split(column, pattern, -1)
+
+    # One search: every hit is put between marks, so the odd pieces are the hits.
+    marked = F.split(F.regexp_replace(column, pattern, f"{_MARK}$0{_MARK}"), _MARK, -1)
+    by_marks = F.transform(marked, lambda piece, at: F.when(at % 2 == 1, table[piece]).otherwise(piece))
+
+    # Text that holds the mark itself is searched twice instead: for what lies
+    # between the hits and for the hits.
     found = F.regexp_extract_all(column, F.lit(pattern), F.lit(0))
     put_in = F.array_append(F.transform(found, lambda literal: table[literal]), F.lit(""))
-    return F.array_join(F.zip_with(between, put_in, lambda before, literal: F.concat(before, literal)), "")
+    by_search = F.zip_with(
+        F.split(column, pattern, -1), put_in, lambda before, literal: F.concat(before, literal)
+    )
+    return F.array_join(F.when(column.contains(_MARK), by_search).otherwise(by_marks), "")
 
 
 def to_base64(column: Column) -> Column:

@@ -69,7 +69,10 @@ def truncate_reload(df: DataFrame, table: str) -> None:
 
 
 def create_if_absent(spark: SparkSession, table: str, columns_ddl: str) -> None:
-    """Create a Parquet table unless it is there; ``columns_ddl`` may hold NOT NULL and DEFAULT."""
+    """Create a Parquet table unless it is there; ``columns_ddl`` may hold NOT NULL and DEFAULT.
+
+    Spark fills in the defaults but does not check NOT NULL on Parquet tables.
+    """
     spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({columns_ddl}) USING parquet")
 
 
