@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from layerwright.functions.projections import parse_column_list
@@ -87,10 +87,14 @@ def read_entities(metadata: DataFrame) -> Iterator[Entity]:
 
 
 def dag_from_metadata(metadata: DataFrame, group: str | None = None, only_enabled: bool = True) -> DataFrame:
-    """Orchestrator rows as activities, with arguments and dependencies parsed; none is empty."""
+    """Orchestrator rows as activities, with arguments and dependencies parsed; none is empty, broken JSON an error."""
     rows = filter_group(metadata, group)
     if only_enabled:
         rows = filter_enabled(rows, "is_enabled")
+
+    def parsed(column: str, to: str) -> Column:
+        return F.from_json(F.nullif(F.col(column), F.lit("")), to, {"mode": "FAILFAST"})
+
     no_arguments = F.create_map().cast("map<string,string>")
     no_dependencies = F.array().cast("array<string>")
     return rows.select(
@@ -99,6 +103,6 @@ def dag_from_metadata(metadata: DataFrame, group: str | None = None, only_enable
         F.col("cell_timeout").alias("timeout_per_cell"),
         F.col("retry_count").alias("retry"),
         F.col("retry_interval").alias("retry_interval"),
-        F.coalesce(F.from_json("arguments", "map<string,string>"), no_arguments).alias("args"),
-        F.coalesce(F.from_json("dependencies", "array<string>"), no_dependencies).alias("dependencies"),
+        F.coalesce(parsed("arguments", "map<string,string>"), no_arguments).alias("args"),
+        F.coalesce(parsed("dependencies", "array<string>"), no_dependencies).alias("dependencies"),
     )

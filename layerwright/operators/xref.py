@@ -29,9 +29,10 @@ OTHER_RANK = 5
 def explode_definition(df: DataFrame, definition: str, keep: Sequence[str]) -> DataFrame:
     """Layers, item types and items of a JSON definition as rows.
 
-    A layer without items and an item type without entries give no row.
+    A layer without items and an item type without entries give no row; broken
+    JSON is an error.
     """
-    parsed = df.select(*keep, F.from_json(definition, DEFINITION_SCHEMA).alias("d"))
+    parsed = df.select(*keep, F.from_json(definition, DEFINITION_SCHEMA, {"mode": "FAILFAST"}).alias("d"))
     layers = parsed.select(*keep, F.explode("d.layers").alias("layer", "l"))
     types = layers.select(*keep, "layer", F.explode("l.items").alias("item_type", "i"))
     return types.select(*keep, "layer", "item_type", F.posexplode("i").alias("position", "item")).select(

@@ -81,10 +81,10 @@ def scan_text_document(spark: SparkSession, path: str, schema: str | T.StructTyp
     """One row per JSON text file: ``path``, ``document``.
 
     The lines are joined without a separator before parsing. With a ``schema``
-    the document is a struct, else a variant.
+    the document is a struct, else a variant. Broken JSON is an error.
     """
     text = F.regexp_replace(F.col("value"), r"\r\n|\r|\n", "")
-    document: Column = F.parse_json(text) if schema is None else F.from_json(text, schema)
+    document: Column = F.parse_json(text) if schema is None else F.from_json(text, schema, {"mode": "FAILFAST"})
     return (
         spark.read.text(path, wholetext=True)
         .withColumn("path", F.col("_metadata.file_path"))

@@ -66,6 +66,51 @@ def scan_by_format(spark, sf):
     return counted[0].unionByName(counted[1])
 
 
+def _one_file_per_row(texts, key):
+    """Write each text to a file of its own; there is one per nation or brand."""
+    path = scratch_path(texts.sparkSession, "documents")
+    texts.repartition(key).select("text").write.option("maxRecordsPerFile", 1).text(path)
+    return path
+
+
+@registry.query(
+    """SELECT c_nationkey AS nation, count(*) AS n_customers, count(*) FILTER (WHERE c_acctbal < 0) AS n_negative,
+              min(c_name) AS first_name FROM customer GROUP BY c_nationkey"""
+)
+def scan_text_document(spark, sf):
+    """One JSON document of several lines per nation."""
+    counted = table(spark, sf, "customer").groupBy("c_nationkey").agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(F.col("c_acctbal") < 0).alias("negative"), F.min("c_name").alias("first")
+    )
+    texts = counted.withColumn(
+        "text",
+        F.format_string('{"nation": %d,\n "customers": {"all": %d,\r\n "negative": %d},\n\n "first": "%s"}', *counted.columns),
+    )
+    schema = "nation int, customers struct<all: bigint, negative: bigint>, first string"
+    documents = sources.scan_text_document(spark, _one_file_per_row(texts, "c_nationkey"), schema)
+    return documents.select(
+        "document.nation",
+        F.col("document.customers.all").alias("n_customers"),
+        F.col("document.customers.negative").alias("n_negative"),
+        F.col("document.first").alias("first_name"),
+    )
+
+
+@registry.query(
+    """SELECT 'Files/' || p_brand AS source, 'csv' AS format, p_brand || '_' || count(*) AS destination,
+              '["p_name", "p_size"]' AS projected_columns FROM part GROUP BY p_brand
+       UNION ALL SELECT DISTINCT 'Files/' || p_brand, 'parquet', p_brand || '_all', NULL FROM part"""
+)
+def scan_json_metadata(spark, sf):
+    """One metadata file with a list of two entries per brand."""
+    entries = """[{"source": "Files/%1$s", "format": "csv",
+       "destination": "%1$s_%2$d", "projected_columns": ["p_name", "p_size"]},
+      {"source": "Files/%1$s", "format": "parquet", "destination": "%1$s_all"}]"""
+    brands = table(spark, sf, "part").groupBy("p_brand").agg(F.count(F.lit(1)).alias("n"))
+    texts = brands.withColumn("text", F.format_string(entries, "p_brand", "n"))
+    return sources.scan_json_metadata(spark, _one_file_per_row(texts, "p_brand"))
+
+
 @registry.query("SELECT p_partkey, p_name, p_brand, p_size FROM part")
 def scan_table(spark, sf):
     database = scratch_database(spark, "landing")

@@ -153,6 +153,32 @@ def test_star_join_keeps_facts_without_a_match(spark):
     assert [(r.Date_Month, r.Customer_FullName) for r in joined] == [(1, "Ada Byron"), (None, None)]
 
 
+def test_a_hot_key_is_split_by_the_join(spark):
+    """Two thirds of the facts belong to one customer; neither side may be broadcast."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20000",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20000",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+    }
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        customer = F.when(F.col("id") % 3 < 2, 7).otherwise(F.col("id") % 1000).cast("int")
+        fact = spark.range(60_000, numPartitions=12).select(customer.alias("DWID_Customer"), F.rand(1).alias("M_TotalPrice"))
+        dim = spark.range(1000).selectExpr("id + 1 AS DWID_Customer", "CAST(id AS STRING) AS CustomerID")
+        joined = joins.star_join(fact, dim_customer=dim)
+        rows = joined.collect()
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for key in settings:
+            spark.conf.unset(key)
+    assert len(rows) == 60_000
+    assert sum(r.Customer_CustomerID == "7" for r in rows) >= 40_000
+    assert "skew=true" in plan
+
+
 def test_numbers_and_dates(spark):
     df = spark.createDataFrame([(" 12 ",), ("3.7",), ("-4.",), ("1e3",), ("N/A",), ("3000000000",), (None,)], "t string")
     ints = [r[0] for r in df.select(numbers.int_or_null(df, "t")).collect()]
