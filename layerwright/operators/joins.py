@@ -14,7 +14,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from layerwright.functions.numbers import int_or_null
-from layerwright.operators.keys import row_hash
 from layerwright.sources.generated import inline_rows
 
 # Listed rows up to this many are broadcast with a hint.
@@ -31,21 +30,17 @@ def map_lookup_join(
     return df.join(listed, F.col(column) == F.col("__key"), "left").drop("__key")
 
 
-def salted_lookup(
-    df: DataFrame, lookup: DataFrame, keys: Sequence[str], how: str = "inner", salts: int = 16
-) -> DataFrame:
-    """Join ``df`` with ``lookup``, which has one row per key, spreading each key over ``salts`` tasks.
+def split_lookup(df: DataFrame, lookup: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """Join ``df`` with ``lookup``, one row per key out of an aggregation, so that hot keys can be split.
 
-    For a lookup that comes out of an aggregation on the same keys. There the
-    shuffle of the aggregation would be reused for the join and a hot key of
-    ``df`` could not be split any more. The salt comes from the row and from its
-    partition, so copies of one row are spread too, and a task that runs again
-    salts its rows as before. Key columns that are NULL never match.
+    Joined on the keys alone the lookup would keep the partitions of its
+    aggregation, and AQE only splits what was shuffled for the join itself.
+    Joined on the keys and their hash it is shuffled once more, at one row per
+    key, and a hot key of ``df`` is cut into as many tasks as its size asks for.
+    Key columns that are NULL never match.
     """
-    spread = row_hash(df) + F.spark_partition_id()
-    salted = df.withColumn("__salt", F.pmod(spread, F.lit(salts)).cast("int"))
-    copies = lookup.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return salted.join(copies, [*keys, "__salt"], how).drop("__salt")
+    key_hash = {"__key_hash": F.xxhash64(*keys)}
+    return df.withColumns(key_hash).join(lookup.withColumns(key_hash), ["__key_hash", *keys], how).drop("__key_hash")
 
 
 def join_ingest_lookup(connections: DataFrame, objects: DataFrame, connection_name: str | None = None) -> DataFrame:

@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from layerwright.operators.joins import salted_lookup
+from layerwright.operators.joins import split_lookup
 from layerwright.operators.measures import pivot_environments
 from layerwright.operators.ordering import order_by_rank_rule
 
@@ -78,7 +78,7 @@ def xref_environments(
         *keys, F.col(value).alias("primary_id")
     )
     matched = F.coalesce(*[F.col(f"`{name}`").cast("string") for name in others]).isNotNull()
-    return salted_lookup(ours, wide, keys).where(matched).select("primary_id", *keys, *[f"`{o}`" for o in others])
+    return split_lookup(ours, wide, keys).where(matched).select("primary_id", *keys, *[f"`{o}`" for o in others])
 
 
 def ordered_id_map(xref: DataFrame, order_by: str, ranks: Mapping[str, int] = LABEL_RANKS) -> DataFrame:

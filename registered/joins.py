@@ -116,7 +116,7 @@ def map_lookup_join(spark, sf):
 @registry.query(
     """SELECT event_id, user_id, n FROM events JOIN (SELECT user_id, count(*) AS n FROM events GROUP BY user_id) USING (user_id)"""
 )
-def salted_lookup(spark, sf):
+def split_lookup(spark, sf):
     events = table(spark, sf, "events").select("event_id", "user_id")
     per_user = events.groupBy("user_id").agg(F.count(F.lit(1)).alias("n"))
-    return joins.salted_lookup(events, per_user, ["user_id"])
+    return joins.split_lookup(events, per_user, ["user_id"])

@@ -127,14 +127,40 @@ def test_map_lookup_leaves_null(spark):
     assert out == {"a": "1", "b": None, None: None}
 
 
-def test_salted_lookup_keeps_a_hot_key_whole(spark):
-    df = spark.range(9000).select(F.when(F.col("id") < 6000, 1).otherwise(F.col("id")).alias("k"), F.lit("same").alias("v"))
+SKEW_SETTINGS = {
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20000",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20000",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+}
+
+
+@pytest.fixture
+def small_skew(spark):
+    """No broadcast, and partitions that count as skewed from a few kilobytes on."""
+    for key, value in SKEW_SETTINGS.items():
+        spark.conf.set(key, value)
+    yield
+    for key in SKEW_SETTINGS:
+        spark.conf.unset(key)
+
+
+def _final_plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_split_lookup_keeps_a_hot_key_whole(spark, small_skew):
+    hot = F.when(F.col("id") < 60_000, 1).otherwise(F.col("id"))
+    df = spark.range(90_000, numPartitions=12).select(hot.alias("k"), F.rand(1).alias("v"))
     lookup = df.groupBy("k").agg(F.count("*").alias("n"))
-    out = joins.salted_lookup(df, lookup, ["k"])
-    assert out.count() == 9000
-    assert out.where("k = 1").agg(F.min("n"), F.max("n"), F.count("*")).first() == (6000, 6000, 6000)
-    left = joins.salted_lookup(df, lookup.where("k <> 1"), ["k"], "left")
-    assert left.where("n IS NULL").count() == 6000
+    out = joins.split_lookup(df, lookup, ["k"])
+    rows = out.collect()
+    assert len(rows) == 90_000
+    assert {r.n for r in rows if r.k == 1} == {60_000}
+    assert "skew=true" in _final_plan(out)
+    left = joins.split_lookup(df, lookup.where("k <> 1"), ["k"], "left")
+    assert left.where("n IS NULL").count() == 60_000
 
 
 def test_star_join_keeps_facts_without_a_match(spark):
@@ -153,30 +179,16 @@ def test_star_join_keeps_facts_without_a_match(spark):
     assert [(r.Date_Month, r.Customer_FullName) for r in joined] == [(1, "Ada Byron"), (None, None)]
 
 
-def test_a_hot_key_is_split_by_the_join(spark):
-    """Two thirds of the facts belong to one customer; neither side may be broadcast."""
-    settings = {
-        "spark.sql.autoBroadcastJoinThreshold": "-1",
-        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20000",
-        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20000",
-        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
-    }
-    for key, value in settings.items():
-        spark.conf.set(key, value)
-    try:
-        customer = F.when(F.col("id") % 3 < 2, 7).otherwise(F.col("id") % 1000).cast("int")
-        fact = spark.range(60_000, numPartitions=12).select(customer.alias("DWID_Customer"), F.rand(1).alias("M_TotalPrice"))
-        dim = spark.range(1000).selectExpr("id + 1 AS DWID_Customer", "CAST(id AS STRING) AS CustomerID")
-        joined = joins.star_join(fact, dim_customer=dim)
-        rows = joined.collect()
-        plan = joined._jdf.queryExecution().executedPlan().toString()
-    finally:
-        for key in settings:
-            spark.conf.unset(key)
+def test_a_hot_key_is_split_by_the_join(spark, small_skew):
+    """Two thirds of the facts belong to one customer."""
+    customer = F.when(F.col("id") % 3 < 2, 7).otherwise(F.col("id") % 1000).cast("int")
+    fact = spark.range(60_000, numPartitions=12).select(customer.alias("DWID_Customer"), F.rand(1).alias("M_TotalPrice"))
+    dim = spark.range(1000).selectExpr("id + 1 AS DWID_Customer", "CAST(id AS STRING) AS CustomerID")
+    joined = joins.star_join(fact, dim_customer=dim)
+    rows = joined.collect()
     assert len(rows) == 60_000
     assert sum(r.Customer_CustomerID == "7" for r in rows) >= 40_000
-    assert "skew=true" in plan
+    assert "skew=true" in _final_plan(joined)
 
 
 def test_numbers_and_dates(spark):
