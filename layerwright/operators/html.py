@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Mapping
 from html.parser import HTMLParser
 
@@ -31,6 +32,7 @@ class _TableAfterAnchor(HTMLParser):
         self.anchor = anchor
         self.stage = "anchor"
         self.open: list[tuple[str, list | None]] = []
+        self.n_open: Counter[str] = Counter()
         self.rows: list[list[list[str]]] = []
         self.text: list[str] = []
 
@@ -65,6 +67,7 @@ class _TableAfterAnchor(HTMLParser):
                     row.append(content)
         if tag not in VOID_ELEMENTS:
             self.open.append((tag, content))
+            self.n_open[tag] += 1
 
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)
@@ -73,10 +76,9 @@ class _TableAfterAnchor(HTMLParser):
 
     def handle_endtag(self, tag):
         self._end_text()
-        if all(open_tag != tag for open_tag, _ in self.open):
-            return
-        while True:
+        while self.n_open[tag]:
             closed, content = self.open.pop()
+            self.n_open[closed] -= 1
             ends_body = self.stage == "rows" and closed == "tbody" and content is not None
             ends_table = self.stage == "body" and closed == "table" and content is not None
             if ends_body or ends_table:

@@ -13,9 +13,10 @@ ID_COLUMN = "Id"
 
 
 def add_surrogate_id(df: DataFrame, name: str = ID_COLUMN) -> DataFrame:
-    """A unique BIGINT from 1 in front, with gaps; unchanged when the column is there.
+    """A unique positive BIGINT in front, with gaps; unchanged when the column is there.
 
-    Needs no shuffle. The numbers differ between runs.
+    Needs no shuffle. The first row of the first partition gets 1. The numbers
+    may differ between runs.
     """
     if name in df.columns:
         return df

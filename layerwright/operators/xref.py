@@ -26,25 +26,44 @@ LABEL_RANKS = {"Workspace": 1, "Lakehouse": 2, "SQLDatabase": 3, "Connection": 4
 OTHER_RANK = 5
 
 
+def _layers(df: DataFrame, definition: str, keep: Sequence[str]) -> DataFrame:
+    parsed = df.select(*keep, F.from_json(definition, DEFINITION_SCHEMA, {"mode": "FAILFAST"}).alias("d"))
+    return parsed.select(*keep, F.explode("d.layers").alias("layer", "l"))
+
+
 def explode_definition(df: DataFrame, definition: str, keep: Sequence[str]) -> DataFrame:
     """Layers, item types and items of a JSON definition as rows.
 
     A layer without items and an item type without entries give no row; broken
     JSON is an error.
     """
-    parsed = df.select(*keep, F.from_json(definition, DEFINITION_SCHEMA, {"mode": "FAILFAST"}).alias("d"))
-    layers = parsed.select(*keep, F.explode("d.layers").alias("layer", "l"))
-    types = layers.select(*keep, "layer", F.explode("l.items").alias("item_type", "i"))
+    types = _layers(df, definition, keep).select(*keep, "layer", F.explode("l.items").alias("item_type", "i"))
     return types.select(*keep, "layer", "item_type", F.posexplode("i").alias("position", "item")).select(
         *keep, "layer", "item_type", "position", "item.*"
     )
 
 
-def explode_ids(items: DataFrame, keep: Sequence[str]) -> DataFrame:
-    """``id_kind, id`` rows of exploded items: the item, its endpoint and its connection where it has one."""
+def definition_ids(df: DataFrame, definition: str, keep: Sequence[str]) -> DataFrame:
+    """``id_kind, id`` rows of JSON definitions.
+
+    One for each layer's workspace and for each item, its endpoint and its
+    connection, where there is an id.
+    """
     kinds = {"item": "id", "sql_endpoint": "sql_endpoint_id", "connection": "pbi_connection_id"}
     ids = F.array(*[F.struct(F.lit(kind).alias("id_kind"), F.col(c).alias("id")) for kind, c in kinds.items()])
-    return items.select(*keep, "layer", "item_type", "item_name", "position", F.inline(ids)).where(F.col("id").isNotNull())
+    items = explode_definition(df, definition, keep).select(
+        *keep, "layer", "item_type", "item_name", "position", F.inline(ids)
+    )
+    workspaces = _layers(df, definition, keep).select(
+        *keep,
+        "layer",
+        F.lit("Workspace").alias("item_type"),
+        F.col("layer").alias("item_name"),
+        F.lit(0).alias("position"),
+        F.lit("workspace").alias("id_kind"),
+        F.col("l.workspace_id").alias("id"),
+    )
+    return workspaces.unionByName(items).where(F.col("id").isNotNull())
 
 
 def id_label(id_kind: Column, layer: Column, item_type: Column, item_name: Column) -> Column:

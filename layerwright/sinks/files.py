@@ -22,13 +22,20 @@ def landing_folder(root: str, connection_name: str, table_name: str, run_time: d
 
 
 def write_landing_text(
-    df: DataFrame, root: str, connection_name: str, table_name: str, run_time: datetime
+    df: DataFrame,
+    root: str,
+    connection_name: str,
+    table_name: str,
+    run_time: datetime,
+    rows_per_file: int = 5_000_000,
 ) -> str:
     """Write ``df`` as quoted text into the folder of its day and return that folder.
 
     A second run on one day replaces the first. NULL and the empty text are
-    both written as ``""``.
+    both written as ``""``. Long outputs are cut into files of ``rows_per_file``
+    rows, because text with line breaks inside quotes is read back file by file.
     """
     folder = landing_folder(root, connection_name, table_name, run_time)
-    df.write.mode("overwrite").options(**LANDING_TEXT_OPTIONS, quoteAll=True, extension="txt").csv(folder)
+    layout = {"quoteAll": True, "extension": "txt", "maxRecordsPerFile": rows_per_file}
+    df.write.mode("overwrite").options(**LANDING_TEXT_OPTIONS, **layout).csv(folder)
     return folder

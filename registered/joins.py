@@ -95,6 +95,31 @@ def xref_ordered(spark, sf):
     return xref.ordered_id_map(found, "primary_id")
 
 
+@registry.query(
+    """SELECT 'dev-' || c_custkey AS primary_id, c_mktsegment AS layer, 'Lakehouse' AS item_type, c_name AS item_name,
+              'item' AS id_kind, 'prd-' || c_custkey AS prd FROM customer WHERE c_acctbal >= 0
+       UNION ALL SELECT 'dev-w' || c_custkey, c_mktsegment, 'Workspace', c_mktsegment, 'workspace', 'prd-w' || c_custkey
+         FROM (SELECT c_mktsegment, max(c_custkey) AS c_custkey FROM customer GROUP BY c_mktsegment)"""
+)
+def definition_ids(spark, sf):
+    """A definition per customer and environment; prd lacks customers with a negative balance.
+
+    Every definition of a segment names the same workspace.
+    """
+    people = table(spark, sf, "customer")
+    workspaces = people.groupBy("c_mktsegment").agg(F.max("c_custkey").alias("w"))
+    definitions = people.join(workspaces, "c_mktsegment").selectExpr(
+        "explode(array('dev', 'prd')) AS environment", "c_custkey", "c_name", "c_acctbal", "c_mktsegment", "w"
+    )
+    text = F.expr(
+        """concat('{"layers": {"', c_mktsegment, '": {"workspace_id": ', IF(c_custkey = w, concat('"', environment, '-w', w, '"'), 'null'),
+                  ', "items": {"Lakehouse": [{"item_name": "', c_name, '", "id": ',
+                  IF(environment = 'dev' OR c_acctbal >= 0, concat('"', environment, '-', c_custkey, '"'), 'null'), '}]}}}}')"""
+    )
+    ids = xref.definition_ids(definitions.select("environment", text.alias("definition")), "definition", ["environment"])
+    return xref.xref_environments(ids, "dev", ["prd"])
+
+
 @registry.query(
     f"""WITH a AS ({inputs.ACTIVITIES}), e AS (SELECT name, unnest(deps) AS dependency FROM a)
         SELECT name, dependency FROM e WHERE dependency NOT IN (SELECT name FROM a)"""

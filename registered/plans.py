@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from layerwright.functions import text
 from layerwright.operators.clean import cleanse
 from layerwright.operators.metadata import dag_from_metadata
-from layerwright.plans import curated, docs, ingest, landing, star
+from layerwright.plans import curated, docs, icons, ingest, landing, star
 from layerwright.session import scratch_path
 from layerwright.sinks.tables import write_overwrite
 from layerwright.sources.files import read_landing_text
@@ -203,6 +204,22 @@ def ingest_all(spark, sf):
     return copies[0].unionByName(copies[1])
 
 
+@registry.query(
+    """WITH picked AS (SELECT page_id, lower(url) AS name, CASE WHEN contains(lower(url), '.org') THEN 'Notebook'
+              WHEN contains(lower(url), '/en/') THEN 'Lakehouse' WHEN contains(lower(url), 'http:') THEN 'Missing' END AS icon_title FROM pages)
+       SELECT page_id, icon_title, CASE WHEN icon_title IN ('Notebook', 'Lakehouse') THEN base64(encode('<svg fill="'
+              || CASE WHEN contains(name, 'm.') THEN '#1E90FF' WHEN contains(name, '#top') THEN '#FFA500' ELSE 'none' END
+              || '" id="' || icon_title || '"/>')) END AS icon FROM picked"""
+)
+def assign_icons(spark, sf):
+    entries = table(spark, sf, "part").selectExpr("explode(array('Notebook', 'Lakehouse', p_brand)) AS title").distinct()
+    payload = text.to_base64(F.concat(F.lit('<svg fill="none" id="'), "title", F.lit('"/>')))
+    rules = {".ORG": "Notebook", "/en/": "Lakehouse", "http:": "Missing"}
+    colours = {"m.": "#1E90FF", "#top": "#FFA500"}
+    named = icons.assign_icons(table(spark, sf, "pages"), "url", rules, entries.withColumn("payload", payload), colours)
+    return named.select("page_id", "icon_title", "icon")
+
+
 def _toc(spark, sf):
     """Regions, nations and pages as a table of contents: a page belongs to a nation by the length of its address."""
     upper = inputs.tree_nodes(spark, sf).where("id LIKE 'r%' OR id LIKE 'n%'")

@@ -264,7 +264,7 @@ def temp_view(spark, sf):
 
 
 @registry.query(
-    "SELECT count(*) AS n_rows, count(*) AS n_ids, CAST(1 AS BIGINT) AS first_id, TRUE AS id_is_first FROM lineitem",
+    "SELECT count(*) AS n_rows, count(*) AS n_ids, TRUE AS all_positive, TRUE AS id_is_first FROM lineitem",
     name="add_surrogate_id",
 )
 def surrogate_id(spark, sf):
@@ -272,7 +272,7 @@ def surrogate_id(spark, sf):
     return keyed.agg(
         F.count(F.lit(1)).alias("n_rows"),
         F.count_distinct("Id").alias("n_ids"),
-        F.min("Id").alias("first_id"),
+        (F.min("Id") >= 1).alias("all_positive"),
         F.lit(keyed.columns[0] == "Id").alias("id_is_first"),
     )
 

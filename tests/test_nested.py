@@ -8,6 +8,7 @@ from layerwright.functions import claims, icons, projections, rules, text
 from layerwright.functions.overlay import merge_overlay
 from layerwright.operators import dag, html, metadata, tree, xref
 from layerwright.plans import docs
+from layerwright.plans.icons import assign_icons
 
 ANCHOR = docs.IDENTITY_ANCHOR
 
@@ -312,5 +313,30 @@ def test_definition_to_ids(spark):
         ("Store", "Lakehouse", 0, "Base"),
         ("Store", "Lakehouse", 1, "Gold"),
     ]
-    ids = {(r.item_name, r.id_kind, r.id) for r in xref.explode_ids(items, ["environment"]).collect()}
-    assert ids == {("Base", "item", "i1"), ("Base", "sql_endpoint", "e1")}
+    ids = {(r.item_name, r.id_kind, r.id) for r in xref.definition_ids(df, "definition", ["environment"]).collect()}
+    assert ids == {("Base", "item", "i1"), ("Base", "sql_endpoint", "e1"), ("Ingest", "workspace", "w1")}
+    tst = json.dumps(definition).replace("i1", "i2").replace("w1", "w2")
+    both = df.union(spark.createDataFrame([("tst", tst)], df.schema))
+    found = xref.xref_environments(xref.definition_ids(both, "definition", ["environment"]), "dev", ["tst"])
+    assert [(r.primary_id, r.tst, r.label) for r in xref.ordered_id_map(found, "primary_id").collect()] == [
+        ("w1", "w2", "Workspace Guids - Ingest"),
+        ("i1", "i2", "Lakehouse Guid - Base"),
+        ("e1", "e1", "SQL Analytics Endpoint Guid - Base"),
+    ]
+    with pytest.raises(Exception, match="(?i)malformed"):
+        xref.explode_definition(spark.createDataFrame([("{oops",)], "definition string"), "definition", []).collect()
+
+
+def test_assign_icons(spark):
+    def coded(colour):
+        return base64.b64encode(f'<svg fill="{colour}"/>'.encode()).decode()
+
+    names = spark.createDataFrame([("Shop Prepare [DEV]",), ("Shop Store",), ("Shop Ingest prd",), ("Shop",)], "name string")
+    entries = spark.createDataFrame([("Notebook", coded("none")), ("Lakehouse", coded("none"))], "title string, payload string")
+    out = assign_icons(names, "name", {"prepare": "Notebook", "store": "Lakehouse", "ingest": "Pipelines"}, entries, {"dev": "#1", "prd": "#2"})
+    assert {r.name: (r.icon_title, r.icon) for r in out.collect()} == {
+        "Shop Prepare [DEV]": ("Notebook", coded("#1")),
+        "Shop Store": ("Lakehouse", coded("none")),
+        "Shop Ingest prd": ("Pipelines", None),
+        "Shop": (None, None),
+    }
