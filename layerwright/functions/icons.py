@@ -4,13 +4,18 @@ from __future__ import annotations
 
 import json
 import re
+import sys
 from xml.etree import ElementTree
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+# Executors get the parser with the query; they need not have this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 # What stands in for a missing title, broken XML and a missing image.
 NO_TITLE = "No Title"
 INVALID_XML = "Invalid XML"

@@ -2,15 +2,20 @@
 
 from __future__ import annotations
 
+import sys
 from collections import Counter
 from collections.abc import Mapping
 from html.parser import HTMLParser
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+# Executors get the parser with the query; they need not have this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 # Fixed value: elements that have no end tag.
 VOID_ELEMENTS = frozenset(
     "area base br col embed hr img input keygen link menuitem meta param source track wbr"

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -42,7 +43,9 @@ def write_overwrite(
     """Replace the rows of a table. Columns it already has stay, new ones are added.
 
     The generated id, if asked for and not there yet, is the first column. The
-    rows must not come from the table itself.
+    rows are written beside the table and take its place when they are complete:
+    a load that fails leaves the old table, and rows may come from the table
+    itself.
     """
     spark = df.sparkSession
     rows = project_columns(df, columns)
@@ -51,7 +54,10 @@ def write_overwrite(
     name = f"{database}.{table}"
     if spark.catalog.tableExists(name):
         rows = keep_columns_of(rows, spark.table(name).schema)
-    rows.write.mode("overwrite").format("parquet").saveAsTable(name)
+    incoming = f"{name}_incoming_{uuid.uuid4().hex[:12]}"
+    rows.write.format("parquet").saveAsTable(incoming)
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    spark.sql(f"ALTER TABLE {incoming} RENAME TO {name}")
 
 
 def load_dimension(df: DataFrame, database: str, table: str) -> None:

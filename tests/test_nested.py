@@ -1,7 +1,12 @@
 import base64
 import json
+import random
+import re
+import subprocess
+import sys
 
 import pytest
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
 from layerwright.functions import claims, icons, projections, rules, text
@@ -133,6 +138,28 @@ def test_single_pass_never_reads_what_it_wrote(spark):
     assert df.select(text.replace_in_one_pass(F.col("t"), ring)).first()[0] == " ".join(ids[1:] + ids[:1])
 
 
+def test_single_pass_against_brute_force(spark):
+    rng = random.Random(5)
+    literals = {"ab": "b", "b": "abc", "bca": "", "c.": "a", "aa": "$0"}
+    texts = ["".join(rng.choice("abc.\0") for _ in range(rng.randrange(30))) for _ in range(2000)]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    rows = df.select("t", text.replace_in_one_pass(F.col("t"), literals).alias("r")).collect()
+    pattern = re.compile("|".join(re.escape(literal) for literal in literals))
+    assert [r.r for r in rows] == [pattern.sub(lambda hit: literals[hit[0]], r.t) for r in rows]
+
+
+def test_parsers_run_where_the_package_is_missing():
+    page = f"<p id='{ANCHOR}'></p>" + TABLE.format(rows=ROW.format(k="User", v="Yes"))
+    script = "import sys; from pyspark import cloudpickle; f, a = cloudpickle.loads(sys.stdin.buffer.read()); print(f(*a))"
+    for function, arguments, expected in (
+        (html._pairs_after_anchor, (page, ANCHOR), "[{'key': 'User', 'value': 'Yes'}]"),
+        (icons._library_entries, ("<a>[{}]</a>",), "[{'title': 'No Title', 'payload': 'Invalid XML'}]"),
+    ):
+        sent = cloudpickle.dumps((function, arguments))
+        done = subprocess.run([sys.executable, "-c", script], input=sent, capture_output=True, cwd="/", timeout=60)
+        assert done.stdout.decode().strip() == expected, done.stderr.decode()
+
+
 def test_path_items(spark):
     df = spark.createDataFrame([("|a|b",), ("|a",), ("",), (None,)], "p string")
     rows = df.select(text.path_item(F.col("p"), 1), text.path_item(F.col("p"), 2)).collect()

@@ -106,6 +106,16 @@ def test_overwrite_keeps_old_columns(spark, database):
         sinks.write_overwrite(spark.createDataFrame([("s",)], "a string"), database, "t", add_id=False)
 
 
+def test_failed_overwrite_leaves_the_old_rows(spark, database):
+    sinks.write_overwrite(spark.createDataFrame([(1,)], "a int"), database, "t", add_id=False)
+    with pytest.raises(Exception, match="broken load"):
+        bad = spark.range(3).select(F.raise_error(F.lit("broken load")).cast("int").alias("a"))
+        sinks.write_overwrite(bad, database, "t", add_id=False)
+    assert [r.a for r in spark.table(f"{database}.t").collect()] == [1]
+    sinks.write_overwrite(spark.table(f"{database}.t").withColumn("a", F.col("a") + 1), database, "t", add_id=False)
+    assert [r.a for r in spark.table(f"{database}.t").collect()] == [2]
+
+
 def test_overwrite_adds_id_in_front_and_projects(spark, database):
     df = spark.createDataFrame([("a", 1, True)], "x string, y int, z boolean")
     sinks.write_overwrite(df, database, "t", ["z", "x"])
