@@ -24,10 +24,11 @@ def dag_dangling(activities: DataFrame) -> DataFrame:
 def dag_levels(activities: DataFrame) -> DataFrame:
     """``name, level``: 0 for an activity that waits for nothing, else one more than the highest it waits for.
 
-    Each round settles the activities whose dependencies are all settled, so it
-    takes one round per level and only the open activities are carried on. The
-    rounds are folders of one staged table. Dependencies that name no activity
-    are left out; a cycle is an error.
+    Only activities others wait for are taken in rounds, one per level: each
+    settles those whose dependencies are all settled and carries on the rest,
+    and the rounds are folders of one staged table. The levels of all others, as
+    of everything, then come from one join of the edges with the settled levels.
+    Dependencies that name no activity are left out; a cycle is an error.
     """
     spark = activities.sparkSession
     staged = stage(activities.select("name", "dependencies"), "dag")
@@ -35,7 +36,20 @@ def dag_levels(activities: DataFrame) -> DataFrame:
     known = staged.select(F.col("name").alias("dependency"))
     edges = stage(dag_edges(staged).join(known, "dependency", "left_semi").distinct(), "dag-edges")
 
-    rounds = scratch_path(spark, "dag-rounds")
+    awaited = stage(edges.select(F.col("dependency").alias("name")).distinct(), "dag-awaited")
+    inner = stage(edges.join(awaited, "name", "left_semi"), "dag-inner")
+    levels = _settle(awaited, inner, scratch_path(spark, "dag-rounds"))
+    highest = (
+        edges.join(levels.withColumnRenamed("name", "dependency"), "dependency")
+        .groupBy("name")
+        .agg((F.max("level") + 1).alias("level"))
+    )
+    return names.join(highest, "name", "left").select("name", F.coalesce("level", F.lit(0)).alias("level"))
+
+
+def _settle(names: DataFrame, edges: DataFrame, rounds: str) -> DataFrame:
+    """``name, level`` of ``names``, whose dependencies are ``edges`` among themselves."""
+    spark = names.sparkSession
     waits = edges.groupBy("name").agg(F.count(F.lit(1)).alias("waits"))
     state = names.join(waits, "name", "left").select("name", F.coalesce("waits", F.lit(0)).alias("remaining"))
     level = 0

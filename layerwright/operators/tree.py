@@ -23,35 +23,44 @@ def tree_flatten(
     ``href`` gives no row but stands in the paths below. ``sort_key`` orders the
     rows depth first.
 
-    One join per level: the level above, which has one row per parent, meets the
-    nodes. Levels are folders of one staged table, so each is sized and joined
-    as what it is, and a parent with very many children is split as a skewed key.
+    Only nodes that have children are walked, one join per level, and their
+    levels are folders of one staged table. The leaves, which are most of a
+    tree, are read twice in all: to find who their parents are, and to meet
+    their parents' paths. A parent with very many children is a skewed key of
+    that one join, which AQE splits.
     """
     spark = nodes.sparkSession
     kept = stage(
-        nodes.select("id", "parent_id", "ord", "title", "href").where(~F.col("title").eqNullSafe(skipped_title)),
+        nodes.select("id", "parent_id", F.col("ord").cast("bigint").alias("ord"), "title", "href").where(
+            ~F.col("title").eqNullSafe(skipped_title)
+        ),
         "tree",
     )
+    has_children = kept.select(F.col("parent_id").alias("id")).distinct()
+    inner = stage(kept.join(has_children, "id", "left_semi").select("id", "parent_id", "ord", "title"), "tree-inner")
+
     levels = scratch_path(spark, "tree-levels")
-    columns = ["id", "path", "title", "href", "sort_key"]
-    level = kept.where("parent_id IS NULL").withColumns(
-        {"path": F.lit(""), "sort_key": F.array(F.col("ord").cast("bigint"))}
+    below = F.concat("path", F.lit(separator), "title").alias("path_below")
+    level = inner.where("parent_id IS NULL").select(
+        "id", F.concat(F.lit(separator), "title").alias("path_below"), F.array("ord").alias("sort_key")
     )
-    schema = level.select(*columns).schema
-    children = kept.where("parent_id IS NOT NULL")
+    schema = level.schema
     for depth in range(max_depth + 1):
-        level = stage(level.select(*columns), path=f"{levels}/depth={depth}")
+        level = stage(level, path=f"{levels}/depth={depth}")
         if level.isEmpty():
             break
-        parents = level.select(
-            F.col("id").alias("parent_id"),
-            F.concat("path", F.lit(separator), "title").alias("path"),
-            F.col("sort_key").alias("parent_key"),
-        )
-        level = children.join(parents, "parent_id").withColumn(
-            "sort_key", F.array_append("parent_key", F.col("ord").cast("bigint"))
-        )
+        above = level.select(F.col("id").alias("parent_id"), F.col("path_below").alias("path"), "sort_key")
+        level = inner.join(above, "parent_id").select("id", below, F.array_append("sort_key", F.col("ord")).alias("sort_key"))
     else:
         raise ValueError(f"the tree is deeper than {max_depth} levels or has a cycle")
-    flat = spark.read.schema(schema.add("depth", T.IntegerType())).parquet(levels)
-    return flat.where("href IS NOT NULL").select("path", "title", "href", "depth", "sort_key")
+
+    walked = spark.read.schema(schema.add("depth", T.IntegerType())).parquet(levels)
+    above = walked.select(F.col("id").alias("parent_id"), F.col("path_below").alias("path"), "sort_key", "depth")
+    linked = kept.where("href IS NOT NULL")
+    roots = linked.where("parent_id IS NULL").select(
+        F.lit("").alias("path"), "title", "href", F.lit(0).alias("depth"), F.array("ord").alias("sort_key")
+    )
+    others = linked.join(above, "parent_id").select(
+        "path", "title", "href", (F.col("depth") + 1).alias("depth"), F.array_append("sort_key", F.col("ord")).alias("sort_key")
+    )
+    return roots.unionByName(others)
