@@ -32,8 +32,7 @@ def assign_icons(
     titled = df.withColumn("icon_title", first_match(F.col(name), icon_rules))
     images = entries.select(F.col("title").alias("icon_title"), F.col("payload").alias("__payload"))
     joined = titled.join(images, "icon_title", "left")
-    icon = F.col("__payload")
-    for keyword, colour in reversed(colour_rules.items()):
-        filled = recolor_base64(F.col("__payload"), colour)
-        icon = F.when(F.lower(F.col(name)).contains(keyword.lower()), filled).otherwise(icon)
+    image = F.col("__payload")
+    filled = {keyword: recolor_base64(image, colour) for keyword, colour in colour_rules.items()}
+    icon = first_match(F.col(name), filled, default=image)
     return joined.withColumn("icon", icon).select(*df.columns, "icon_title", "icon")
