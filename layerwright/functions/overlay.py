@@ -15,12 +15,15 @@ KEEP_PARENT = 0
 REPLACE = 1
 COMBINE_LISTS = 2
 
-_OBJECT = "map<string,variant>"
-_LIST = "array<variant>"
 
 
-def _kind(value: Column) -> Column:
-    return F.regexp_extract(F.schema_of_variant(value), "^[A-Z]+", 0)
+def _as_object(value: Column) -> Column:
+    """The object as a map; NULL when ``value`` is none."""
+    return F.try_variant_get(value, "$", "map<string,variant>")
+
+
+def _as_list(value: Column) -> Column:
+    return F.try_variant_get(value, "$", "array<variant>")
 
 
 def _json_text(value: Column) -> Column:
@@ -32,54 +35,57 @@ def _quoted(key: Column) -> Column:
 
 
 def _combined(parent: Column, child: Column) -> Column:
-    items = F.concat(parent.cast(_LIST), child.cast(_LIST))
-    texts = F.array_distinct(F.transform(items, _json_text))
+    texts = F.array_distinct(F.transform(F.concat(parent, child), _json_text))
     return F.concat(F.lit("["), F.array_join(texts, ","), F.lit("]"))
 
 
-def _with(value: Column, body) -> Column:
-    """Bind ``value`` once for use in ``body``."""
-    return F.get(F.transform(F.array(value), body), F.lit(0))
+def _with(body, **values: Column) -> Column:
+    """``body`` of a struct that holds each of ``values``, worked out once."""
+    bound = F.struct(*[value.alias(name) for name, value in values.items()])
+    return F.get(F.transform(F.array(bound), body), F.lit(0))
+
+
+def _merge_values(parent: Column, child: Column, in_parent: Column, policy: Column, levels: int) -> Column:
+    """The merged JSON text of one key that the child has."""
 
+    def decide(side: Column) -> Column:
+        kept = F.when(in_parent, _json_text(side["parent"])).otherwise("null")
+        combined = _combined(_as_list(side["parent"]), _as_list(side["child"]))
+        return (
+            F.when(
+                side["ours"].isNotNull() & side["theirs"].isNotNull(),
+                _merge_objects(side["ours"], side["theirs"], policy, levels),
+            )
+            .when(policy == str(KEEP_PARENT), kept)
+            .when(policy == str(COMBINE_LISTS), F.coalesce(combined, _json_text(side["child"])))
+            .otherwise(_json_text(side["child"]))
+        )
 
-def _merge_value(parent: Column, child: Column, in_parent: Column, policy: Column, levels: int) -> Column:
-    kinds = F.concat_ws(" ", _kind(parent), _kind(child))
-    kept = F.when(in_parent, _json_text(parent)).otherwise("null")
-    keep = policy == str(KEEP_PARENT)
-    return (
-        F.when(kinds == "OBJECT OBJECT", _merge_objects(parent, child, policy, levels))
-        .when((kinds == "ARRAY ARRAY") & (policy == str(COMBINE_LISTS)), _combined(parent, child))
-        .when(keep, kept)
-        .otherwise(_json_text(child))
-    )
+    return _with(decide, parent=parent, child=child, ours=_as_object(parent), theirs=_as_object(child))
 
 
-def _merge_objects(parent: Column, child: Column, inherited: Column, levels: int) -> Column:
+def _merge_objects(ours: Column, theirs: Column, inherited: Column, levels: int) -> Column:
+    """The merged JSON text of two objects given as maps."""
     if levels == 0:
         return F.raise_error(F.lit("documents are nested deeper than max_depth")).cast("string")
 
     def at_level(level: Column) -> Column:
-        ours, theirs = level["parent"], level["child"]
-        policy = F.when(
-            F.map_contains_key(theirs, DIRECTIVE), F.trim(_json_text(theirs[DIRECTIVE]))
-        ).otherwise(level["inherited"])
-        child_keys = F.filter(F.map_keys(theirs), lambda key: key != DIRECTIVE)
-        keys = F.array_union(F.map_keys(ours), child_keys)
+        ours, theirs, policy = level["ours"], level["theirs"], level["policy"]
 
         def entry(key: Column) -> Column:
-            from_child = F.map_contains_key(theirs, key) & (key != DIRECTIVE)
+            in_parent = F.map_contains_key(ours, key)
             value = F.when(
-                from_child,
-                _merge_value(ours[key], theirs[key], F.map_contains_key(ours, key), policy, levels - 1),
+                F.map_contains_key(theirs, key) & (key != DIRECTIVE),
+                _merge_values(ours[key], theirs[key], in_parent, policy, levels - 1),
             ).otherwise(_json_text(ours[key]))
             return F.concat(_quoted(key), F.lit(":"), value)
 
-        return F.concat(F.lit("{"), F.array_join(F.transform(keys, entry), ","), F.lit("}"))
+        child_keys = F.filter(F.map_keys(theirs), lambda key: key != DIRECTIVE)
+        entries = F.transform(F.array_union(F.map_keys(ours), child_keys), entry)
+        return F.concat(F.lit("{"), F.array_join(entries, ","), F.lit("}"))
 
-    opened = F.struct(
-        parent.cast(_OBJECT).alias("parent"), child.cast(_OBJECT).alias("child"), inherited.alias("inherited")
-    )
-    return _with(opened, at_level)
+    own_policy = F.when(F.map_contains_key(theirs, DIRECTIVE), F.trim(_json_text(theirs[DIRECTIVE])))
+    return _with(at_level, ours=ours, theirs=theirs, policy=F.coalesce(own_policy, inherited))
 
 
 def merge_overlay(parent: Column, child: Column, policy: int = REPLACE, max_depth: int = 6) -> Column:
@@ -90,13 +96,11 @@ def merge_overlay(parent: Column, child: Column, policy: int = REPLACE, max_dept
     child's ``merge_type`` key sets the policy for its object and what lies
     below. Objects found on both sides deeper than ``max_depth`` are an error.
     """
-    sides = F.struct(
-        F.parse_json(parent).alias("parent"), F.parse_json(child).alias("child"), F.lit(str(policy)).alias("policy")
-    )
-    return _with(
-        sides,
-        lambda side: F.when(
-            (_kind(side["parent"]) == "OBJECT") & (_kind(side["child"]) == "OBJECT"),
-            _merge_objects(side["parent"], side["child"], side["policy"], max_depth),
-        ).otherwise(_json_text(side["parent"] if policy == KEEP_PARENT else side["child"])),
-    )
+
+    def documents(side: Column) -> Column:
+        ours, theirs = _as_object(side["parent"]), _as_object(side["child"])
+        return F.when(
+            ours.isNotNull() & theirs.isNotNull(), _merge_objects(ours, theirs, F.lit(str(policy)), max_depth)
+        ).otherwise(_json_text(side["parent"] if policy == KEEP_PARENT else side["child"]))
+
+    return _with(documents, parent=F.parse_json(parent), child=F.parse_json(child))
