@@ -22,6 +22,7 @@ from layerwright.llm.files import file_system, new_file
 from layerwright.session import scratch_path, stage
 
 BLOCK_TOKENS = 1 << 20
+BLOCKS_A_TASK = 8
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 SEPARATOR = 50256
 _encoders: dict[str, tiktoken.Encoding] = {}
@@ -111,7 +112,9 @@ def scan_separators(files: DataFrame, separator: int = SEPARATOR, dtype: str = "
                 yield pd.DataFrame({"path": [path], "start": [start], "stop": [start + len(tokens)], "ends": [ends]})
 
     paths = files.select("path").filter("path is not null").distinct()
-    blocks = paths.repartition("path").mapInPandas(cut, "path string, start long").repartition("path", "start")
+    blocks = stage(paths.mapInPandas(cut, "path string, start long"), "token-cuts")
+    # A fixed number of partitions, which is not coalesced: some blocks to a task, however few bytes their names take.
+    blocks = blocks.repartition(max(1, -(-blocks.count() // BLOCKS_A_TASK)), "path", "start")
     scanned = stage(blocks.mapInPandas(scan, "path string, start long, stop long, ends array<long>"), "token-blocks")
     earlier = Window.partitionBy("path").orderBy("start").rowsBetween(Window.unboundedPreceding, -1)
     whole = Window.partitionBy("path")
