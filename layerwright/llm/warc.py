@@ -274,8 +274,9 @@ def read_archives(archives: DataFrame) -> DataFrame:
                 if rows:
                     yield pd.DataFrame(rows, columns=_COLUMNS)
 
-    paths = archives.select("path").filter("path is not null").distinct()
-    dealt = paths.repartition("path")
+    paths = stage(archives.select("path").filter("path is not null").distinct(), "warc-paths")
+    # A fixed number of partitions, which is not coalesced: one archive to a task, however short its name.
+    dealt = paths.repartition(max(1, paths.count()), "path")
     return dealt.mapInPandas(read, RECORD_SCHEMA)
 
 
