@@ -14,6 +14,9 @@ from layerwright.llm.common import ascii_lower
 from layerwright.session import stage
 
 
+HEAD = 64
+
+
 def exact_dedup(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: str = "smallest", heavy_share: int = 128, salts: int = 32
 ) -> DataFrame:
@@ -40,9 +43,12 @@ def exact_dedup(
         F.when(F.col("heavy"), F.pmod(F.xxhash64("doc_id"), F.lit(salts))).otherwise(0).cast("int").alias("salt"),
     )
     best_first = F.col("doc_id").asc_nulls_last() if keep == "smallest" else F.col("doc_id").desc_nulls_last()
-    run = Window.partitionBy("body", "salt").orderBy(best_first)
+    run = Window.partitionBy("head", "h", "body", "salt").orderBy(best_first)
     whole_run = run.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    runs = salted.repartitionByRange("body", "salt").select(
+    # Splitters hold the beginning of a text and its hash: what the driver samples stays small, and texts that only
+    # begin alike can still be split.
+    ranged = salted.withColumn("h", F.xxhash64("body")).withColumn("head", F.substring("body", 1, HEAD))
+    runs = ranged.repartitionByRange("head", "h", "salt").select(
         "doc_id",
         "heavy",
         F.sha2(F.col("body").cast("binary"), 256).alias("text_sha256"),
