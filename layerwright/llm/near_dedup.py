@@ -11,8 +11,9 @@ What happens to the rows:
 1. Texts with the same set of shingles form a class; only classes go on.
 2. In each bucket the smallest class is the leader and every member is compared with it: links per bucket grow
    with its size, not with the square. Compared means: minhash agreement first, then the full sets.
-3. Connected components. Buckets whose members are now in different components are looked at once more, pairs
-   across components only, so members that missed the leader find each other.
+3. Connected components. Buckets of more than two whose members are now in different components are looked at
+   once more, so members that missed the leader find each other: pairs across components that share one of their
+   rarest shingles, which similar sets must.
 """
 
 from __future__ import annotations
@@ -34,6 +35,7 @@ LEFT_BANDS, LEFT_ROWS = 9, 2
 RIGHT_BANDS, RIGHT_ROWS = 13, 3
 HASHES = LEFT_BANDS * LEFT_ROWS + RIGHT_BANDS * RIGHT_ROWS
 MEMBERS_PER_TASK_GROUP = 256
+MAP_BITS = 1 << 23
 
 _WORDS_KEPT = 400_000
 _word_hashes: dict[bytes, int] = {}
@@ -145,15 +147,50 @@ def _sizes_fit(a: Column, b: Column, percent: int) -> Column:
     return F.least(a, b) * 100 >= F.greatest(a, b) * percent
 
 
-def _compare(batches: Iterator[pd.DataFrame], width: int, percent: int) -> Iterator[pd.DataFrame]:
-    """Rows come sorted by (leader, salt), the leader's own text first; one set is held at a time."""
+def _fetch_sets(docs: DataFrame, wanted: DataFrame, width: int, id_col: str, text_col: str) -> DataFrame:
+    """class, shingles for the rows that ``wanted`` (class, row_key) names.
+
+    Texts are not shuffled for it: a bitmap of fixed size (``MAP_BITS``, one megabyte) tells each task which rows
+    may be wanted, and the join afterwards drops those it let through in vain.
+    """
+    place = F.pmod(F.xxhash64("row_key"), F.lit(MAP_BITS))
+    words = (
+        wanted.select((place / 64).cast("long").alias("word"), F.call_function("shiftleft", F.lit(1).cast("long"), (place % 64).cast("int")).alias("bit"))
+        .groupBy("word")
+        .agg(F.bit_or("bit").alias("bits"))
+        .toPandas()
+    )
+    bitmap = np.zeros(MAP_BITS // 64, np.int64)
+    bitmap[words.word.to_numpy(np.int64)] = words.bits.to_numpy(np.int64)
+    shared = docs.sparkSession.sparkContext.broadcast(np.unpackbits(bitmap.view(np.uint8), bitorder="little").tobytes())
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        maybe = np.frombuffer(shared.value, np.uint8)
+        for batch in batches:
+            picked = batch[maybe[batch.place.to_numpy()] == 1]
+            if len(picked):
+                sets = [shingle_set(t, width).view(np.int64) for t in picked.body]
+                yield pd.DataFrame({"row_key": picked.row_key, "shingles": sets})
+
+    small_batches(docs.sparkSession)
+    bodies = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("body")).select(
+        row_key(F.col("doc_id"), F.col("body")).alias("row_key"), "body"
+    )
+    found = bodies.withColumn("place", place).select("row_key", "place", "body").mapInPandas(
+        run, "row_key string, shingles array<long>"
+    )
+    # A class names one row; a row that is there more than once has the same set each time.
+    return found.join(wanted, "row_key").select("class", "shingles").dropDuplicates(["class"])
+
+
+def _compare(batches: Iterator[pd.DataFrame], percent: int) -> Iterator[pd.DataFrame]:
+    """Rows come sorted by (leader, salt), the leader's own set first; one set is held at a time."""
     held, held_set = None, None
     for batch in batches:
         a, b = [], []
-        for leader, salt, member, text in zip(batch.leader, batch.salt, batch["class"], batch.body):
+        for leader, salt, member, own in zip(batch.leader, batch.salt, batch["class"], batch.shingles):
             if (leader, salt) != held:
-                held, held_set = (leader, salt), None
-            own = shingle_set(text, width)
+                held = (leader, salt)
             if member == leader:
                 held_set = own
                 continue
@@ -164,31 +201,43 @@ def _compare(batches: Iterator[pd.DataFrame], width: int, percent: int) -> Itera
         yield pd.DataFrame({"a": np.array(a, np.int64), "b": np.array(b, np.int64)})
 
 
-def _confirmed(docs: DataFrame, pairs: DataFrame, classes: DataFrame, width: int, percent: int, id_col, text_col) -> DataFrame:
-    """The pairs (a, b) whose full sets are similar. ``a`` is fetched once for some hundred partners."""
-    fans = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / F.lit(MEMBERS_PER_TASK_GROUP)).alias("salts"))
+def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) whose full sets are similar. The set of ``a`` is sent once for some hundred partners."""
+    fans = stage(
+        pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / F.lit(MEMBERS_PER_TASK_GROUP)).alias("salts")), "near-fans"
+    )
     members = split_lookup(pairs, fans, ["a"]).select(
         F.col("a").alias("leader"), F.pmod(F.xxhash64("b"), F.col("salts")).alias("salt"), F.col("b").alias("class")
     )
     leaders = fans.select(
         F.col("a").alias("leader"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("salts") - 1)).alias("salt")
     ).withColumn("class", F.col("leader"))
-    wanted = members.unionByName(leaders).join(classes.select("class", "row_key"), "class")
-    bodies = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("body")).select(
-        row_key(F.col("doc_id"), F.col("body")).alias("row_key"), "body"
-    )
-    # A class names one row; rows that repeat id and text would come more than once, which only repeats a check.
-    fetched = bodies.join(stage(wanted, "near-wanted"), "row_key").select(
-        "leader", "salt", "class", (F.col("class") != F.col("leader")).alias("later"), "body"
-    )
-    small_batches(docs.sparkSession)
+    fetched = members.unionByName(leaders).join(sets, "class").withColumn("later", F.col("class") != F.col("leader"))
+    small_batches(pairs.sparkSession)
     grouped = fetched.repartition("leader", "salt").sortWithinPartitions("leader", "salt", "later", "class")
-    compared = grouped.select("leader", "salt", "class", "body").mapInPandas(
-        lambda batches: _compare(batches, width, percent), "a long, b long"
+    compared = grouped.select("leader", "salt", "class", "shingles").mapInPandas(
+        lambda batches: _compare(batches, percent), "a long, b long"
     )
     return compared.distinct()
 
 
+def _share_rare(classes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """class, token: the rarest shingles of each set, as many as a similar set cannot all miss.
+
+    With all shingles in one order, rarest first, two sets of similarity p share one of the first
+    n - ceil(p * n) + 1 of each. Frequent shingles come last, so texts that share a passage only do not meet.
+    """
+    tokens = classes.select("class").join(sets, "class").select("class", F.explode("shingles").alias("token"))
+    often = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("often"))
+    ranked = split_lookup(tokens, often, ["token"])
+    ordered = ranked.groupBy("class").agg(F.array_sort(F.collect_list(F.struct("often", "token"))).alias("tokens"))
+    size = F.size("tokens")
+    least = F.ceil(size * F.lit(percent) / F.lit(100) - F.lit(1e-9))
+    first = F.slice("tokens", F.lit(1), (size - least + 1).cast("int"))
+    # A shingle of one set only meets nothing.
+    return ordered.select("class", F.explode(first).alias("t")).filter("t.often > 1").select("class", "t.token")
+
+
 def connected_components(links: DataFrame) -> DataFrame:
     """node, label (the smallest node it can reach) for every node of ``links`` (a, b), longs.
 
@@ -245,7 +294,7 @@ def near_dedup(
     )
     keyed = table_keys(classes)
     shared = keyed.groupBy("key").agg(F.min("class").alias("leader"), F.count(F.lit(1)).alias("m")).filter("m > 1")
-    members = stage(split_lookup(keyed, shared.drop("m"), ["key"]).select("key", "leader", "class"), "near-members")
+    members = stage(split_lookup(keyed, shared, ["key"]).select("key", "leader", "m", "class"), "near-members")
     marks = classes.select("class", "n", "signature")
 
     def likely(pairs: DataFrame) -> DataFrame:
@@ -256,35 +305,40 @@ def near_dedup(
 
     with_leader = members.filter("leader != class").select(F.col("leader").alias("a"), F.col("class").alias("b"))
     first = stage(likely(with_leader.distinct()), "near-pairs")
-    links = stage(_confirmed(docs, first, classes, width, percent, id_col, text_col), "near-links")
+    # Only sets of classes in likely pairs, or in buckets where more than the leader could be similar, are needed.
+    crowded = members.filter("m > 2")
+    involved = first.select(F.col("a").alias("class")).union(first.select("b")).union(crowded.select("class")).distinct()
+    wanted = stage(classes.join(involved, "class").select("class", "row_key"), "near-wanted")
+    sets = stage(_fetch_sets(docs, wanted, width, id_col, text_col), "near-sets")
+    links = stage(_confirmed(first, sets, percent), "near-links")
     labels = stage(connected_components(links), "near-labels")
 
-    # Buckets that hold several components: pairs across components, as far as their minhashes agree.
-    placed = members.join(labels, members["class"] == labels["node"], "left").select(
+    # Buckets of more than two that hold several components: pairs across components that share a rare shingle.
+    placed = crowded.join(labels, crowded["class"] == labels["node"], "left").select(
         "key", "class", F.coalesce("label", "class").alias("label")
     )
     mixed = placed.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low < high")
-    marked = stage(
-        split_lookup(placed, mixed.select("key"), ["key"]).join(marks, "class"), "near-mixed"
-    )
-    x, y = marked.alias("x"), marked.alias("y")
-    across = (
-        x.join(
-            y,
-            (F.col("x.key") == F.col("y.key"))
-            & (F.col("x.label") != F.col("y.label"))
-            & (F.col("x.class") < F.col("y.class"))
-            & _sizes_fit(F.col("x.n"), F.col("y.n"), percent)
-            & _agree(F.col("x.signature"), F.col("y.signature"), percent),
+    open_classes = stage(split_lookup(placed, mixed.select("key"), ["key"]).select("class").distinct(), "near-open")
+    rare = stage(_share_rare(open_classes, sets, percent).join(marks, "class"), "near-rare")
+
+    def labelled() -> DataFrame:
+        return rare.join(labels, rare["class"] == labels["node"], "left").select(
+            "token", "class", "n", "signature", F.coalesce("label", "class").alias("label")
         )
-        .select(F.col("x.class").alias("a"), F.col("y.class").alias("b"))
-        .distinct()
-        .join(first, ["a", "b"], "left_anti")
-    )
-    second = stage(across, "near-across")
+
+    x, y = labelled().alias("x"), labelled().alias("y")
+    across = x.join(
+        y,
+        (F.col("x.token") == F.col("y.token"))
+        & (F.col("x.label") != F.col("y.label"))
+        & (F.col("x.class") < F.col("y.class"))
+        & _sizes_fit(F.col("x.n"), F.col("y.n"), percent)
+        & _agree(F.col("x.signature"), F.col("y.signature"), percent),
+    ).select(F.col("x.class").alias("a"), F.col("y.class").alias("b"))
+    second = stage(across.distinct().join(first, ["a", "b"], "left_anti"), "near-across")
     if not second.isEmpty():
-        more = _confirmed(docs, second, classes, width, percent, id_col, text_col)
-        labels = stage(connected_components(stage(links.unionByName(more), "near-links")), "near-labels")
+        links = stage(links.unionByName(_confirmed(second, sets, percent)), "near-links")
+        labels = stage(connected_components(links), "near-labels")
 
     grouped = signed.select("row_key", "doc_id", "n_shingles", "class").join(
         labels, F.col("class") == F.col("node"), "left"
