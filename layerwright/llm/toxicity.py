@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from layerwright.llm.common import id_bucket, small_batches
 from layerwright.session import stage
 
-SAMPLE_PER_CLASS = 1600
+SAMPLE_PER_CLASS = 2400
 NGRAMS = (4, 5, 6)
 TABLE_BITS = 18
 DIMENSIONS = 2
