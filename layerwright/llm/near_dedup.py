@@ -222,7 +222,7 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def _share_rare(classes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """class, token: the rarest shingles of each set, as many as a similar set cannot all miss.
+    """class, place, token: the rarest shingles of each set, as many as a similar set cannot all miss.
 
     With all shingles in one order, rarest first, two sets of similarity p share one of the first
     n - ceil(p * n) + 1 of each. Frequent shingles come last, so texts that share a passage only do not meet.
@@ -235,7 +235,14 @@ def _share_rare(classes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     least = F.ceil(size * F.lit(percent) / F.lit(100) - F.lit(1e-9))
     first = F.slice("tokens", F.lit(1), (size - least + 1).cast("int"))
     # A shingle of one set only meets nothing.
-    return ordered.select("class", F.explode(first).alias("t")).filter("t.often > 1").select("class", "t.token")
+    placed = ordered.select("class", F.posexplode(first).alias("place", "t"))
+    return placed.filter("t.often > 1").select("class", "place", "t.token")
+
+
+def _can_reach(a: Column, b: Column, percent: int) -> Column:
+    """Whether the rest of both sets from a shared shingle on can hold enough; true where it is the first shared one."""
+    rest = F.least(a["n"] - a["place"], b["n"] - b["place"])
+    return rest * (100 + percent) >= (a["n"] + b["n"]) * percent
 
 
 def connected_components(links: DataFrame) -> DataFrame:
@@ -323,7 +330,7 @@ def near_dedup(
 
     def labelled() -> DataFrame:
         return rare.join(labels, rare["class"] == labels["node"], "left").select(
-            "token", "class", "n", "signature", F.coalesce("label", "class").alias("label")
+            "token", "class", "signature", F.struct("n", "place").alias("at"), F.coalesce("label", "class").alias("label")
         )
 
     x, y = labelled().alias("x"), labelled().alias("y")
@@ -332,7 +339,8 @@ def near_dedup(
         (F.col("x.token") == F.col("y.token"))
         & (F.col("x.label") != F.col("y.label"))
         & (F.col("x.class") < F.col("y.class"))
-        & _sizes_fit(F.col("x.n"), F.col("y.n"), percent)
+        & _sizes_fit(F.col("x.at.n"), F.col("y.at.n"), percent)
+        & _can_reach(F.col("x.at"), F.col("y.at"), percent)
         & _agree(F.col("x.signature"), F.col("y.signature"), percent),
     ).select(F.col("x.class").alias("a"), F.col("y.class").alias("b"))
     second = stage(across.distinct().join(first, ["a", "b"], "left_anti"), "near-across")
