@@ -222,7 +222,7 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def _share_rare(classes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """class, place, token: the rarest shingles of each set, as many as a similar set cannot all miss.
+    """class, place, token, earlier: the rarest shingles of each set, as many as a similar set cannot all miss.
 
     With all shingles in one order, rarest first, two sets of similarity p share one of the first
     n - ceil(p * n) + 1 of each. Frequent shingles come last, so texts that share a passage only do not meet.
@@ -235,8 +235,9 @@ def _share_rare(classes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     least = F.ceil(size * F.lit(percent) / F.lit(100) - F.lit(1e-9))
     first = F.slice("tokens", F.lit(1), (size - least + 1).cast("int"))
     # A shingle of one set only meets nothing.
-    placed = ordered.select("class", F.posexplode(first).alias("place", "t"))
-    return placed.filter("t.often > 1").select("class", "place", "t.token")
+    placed = ordered.select("class", first.alias("firsts"), F.posexplode(first).alias("place", "t"))
+    earlier = F.filter(F.slice("firsts", F.lit(1), F.col("place")), lambda t: t["often"] > 1)["token"]
+    return placed.filter("t.often > 1").select("class", "place", "t.token", earlier.alias("earlier"))
 
 
 def _can_reach(a: Column, b: Column, percent: int) -> Column:
@@ -330,7 +331,7 @@ def near_dedup(
 
     def labelled() -> DataFrame:
         return rare.join(labels, rare["class"] == labels["node"], "left").select(
-            "token", "class", "signature", F.struct("n", "place").alias("at"), F.coalesce("label", "class").alias("label")
+            "token", "earlier", "class", "signature", F.struct("n", "place").alias("at"), F.coalesce("label", "class").alias("label")
         )
 
     x, y = labelled().alias("x"), labelled().alias("y")
@@ -341,7 +342,9 @@ def near_dedup(
         & (F.col("x.class") < F.col("y.class"))
         & _sizes_fit(F.col("x.at.n"), F.col("y.at.n"), percent)
         & _can_reach(F.col("x.at"), F.col("y.at"), percent)
-        & _agree(F.col("x.signature"), F.col("y.signature"), percent),
+        & _agree(F.col("x.signature"), F.col("y.signature"), percent)
+        # A pair comes once, at the first shingle it shares.
+        & ~F.arrays_overlap("x.earlier", "y.earlier"),
     ).select(F.col("x.class").alias("a"), F.col("y.class").alias("b"))
     second = stage(across.distinct().join(first, ["a", "b"], "left_anti"), "near-across")
     if not second.isEmpty():
