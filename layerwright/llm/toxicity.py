@@ -109,11 +109,12 @@ def descend(texts: list[str], labels: np.ndarray, seed: int = 1) -> tuple[np.nda
     shares = np.concatenate([x[1] for x in bags])
     doc = np.repeat(np.arange(len(bags), dtype=np.int32), [len(x[0]) for x in bags])
     del bags
-    # n-grams that few texts have say nothing about other texts, and those that very many have nothing about a
-    # class; their numbers stay zero.
+    # n-grams that few texts have say nothing about other texts, and those that very many texts of class 0 have
+    # nothing about a class; their numbers stay zero.
     texts_with = np.bincount(ids, minlength=size)
+    usual = np.bincount(ids[(y == 0)[doc]], minlength=size) > MOST_TEXTS * (y == 0).sum()
     least = min(LEAST_TEXTS, max(1, len(y) // 50))
-    common = ((texts_with >= least) & (texts_with <= max(least, MOST_TEXTS * len(y))))[ids]
+    common = ((texts_with >= least) & ~usual)[ids]
     ids, shares, doc = ids[common], shares[common] * np.float32(GAIN), doc[common]
     used, ids = np.unique(ids, return_inverse=True)
     ids = ids.astype(np.int32)
