@@ -21,5 +21,6 @@ def token_claim(token: Column, claim: str) -> Column:
 
 
 def is_service_identity(token: Column) -> Column:
-    """True unless the token says its owner is a person; NULL for no token."""
-    return F.when(token.isNotNull(), ~token_claim(token, "idtyp").eqNullSafe(USER_IDENTITY))
+    """True unless the token says its owner is a person; NULL for no token and for one that cannot be read."""
+    readable = F.try_parse_json(token_payload(token)).isNotNull()
+    return F.when(readable, ~token_claim(token, "idtyp").eqNullSafe(USER_IDENTITY))

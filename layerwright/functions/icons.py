@@ -2,54 +2,43 @@
 
 from __future__ import annotations
 
-import json
-import re
-import sys
-from xml.etree import ElementTree
-
-import pandas as pd
-from pyspark import cloudpickle
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
-# Executors get the parser with the query; they need not have this package.
-cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 # What stands in for a missing title, broken XML and a missing image.
 NO_TITLE = "No Title"
 INVALID_XML = "Invalid XML"
 NO_PAYLOAD = "No Base64 found"
 # Fixed value: where the image stands in a cell's style.
-IMAGE_IN_STYLE = re.compile(r"image=data:image/[^,]+,([^;]+)")
-
-
-def _drawing_payload(drawing: str) -> str:
-    try:
-        cells = ElementTree.fromstring(drawing).iterfind(".//mxCell")
-    except ElementTree.ParseError:
-        return INVALID_XML
-    images = (IMAGE_IN_STYLE.search(cell.get("style", "")) for cell in cells)
-    return next((image.group(1) for image in images if image), NO_PAYLOAD)
-
-
-def _library_entries(library: str | None) -> list[dict[str, str]]:
-    try:
-        drawings = json.loads(ElementTree.fromstring(library or "").text or "")
-    except (ElementTree.ParseError, json.JSONDecodeError):
-        return []
-    payloads = {entry.get("title", NO_TITLE): _drawing_payload(entry.get("xml", "")) for entry in drawings}
-    return [{"title": title, "payload": payload} for title, payload in payloads.items()]
-
-
-ENTRIES_TYPE = T.ArrayType(T.StructType().add("title", "string").add("payload", "string"))
-
-
-# Broken XML cannot be caught by the built-in XML functions, so this one step
-# runs in Python, on Arrow batches.
-@F.pandas_udf(ENTRIES_TYPE)
-def icon_entries(library: pd.Series) -> pd.Series:
-    return library.map(_library_entries)
+IMAGE_IN_STYLE = r"image=data:image/[^,]+,([^;]+)"
+
+
+def _is_xml(text: Column) -> Column:
+    """Whether a text is well-formed XML. The XPath functions would fail the query on one that is not."""
+    parsed = F.from_xml(text, "broken string", {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "broken"})
+    return F.coalesce(F.trim(text) != "", F.lit(False)) & parsed["broken"].isNull()
+
+
+def _payload(drawing: Column) -> Column:
+    styles = F.xpath(drawing, F.lit("/*//mxCell/@style"))
+    images = F.transform(styles, lambda style: F.regexp_extract(style, IMAGE_IN_STYLE, 1))
+    first_image = F.get(F.filter(images, lambda image: image != ""), F.lit(0))
+    return F.when(_is_xml(drawing), F.coalesce(first_image, F.lit(NO_PAYLOAD))).otherwise(F.lit(INVALID_XML))
+
+
+def icon_entries(library: Column) -> Column:
+    """Title and payload of each drawing; a title that is repeated has its last payload. Broken libraries have none."""
+    listed = F.when(_is_xml(library), F.try_parse_json(F.xpath_string(library, F.lit("/*/text()[1]"))))
+    drawings = F.coalesce(F.try_variant_get(listed, "$", "array<struct<title:string,xml:string>>"), F.array())
+    entries = F.transform(
+        drawings,
+        lambda d: F.struct(
+            F.coalesce(d["title"], F.lit(NO_TITLE)).alias("title"),
+            _payload(F.coalesce(d["xml"], F.lit(""))).alias("payload"),
+        ),
+    )
+    titles = F.array_distinct(entries["title"])
+    return F.transform(titles, lambda t: F.element_at(F.filter(entries, lambda e: e["title"] == t), -1))
 
 
 def icon_library_extract(df: DataFrame, library: str, keep: list[str]) -> DataFrame:

@@ -2,7 +2,7 @@
 
 No join forces a broadcast of a table of unknown size. Spark broadcasts by
 measured size (``spark.sql.autoBroadcastJoinThreshold``) and else sort-merges,
-with skewed partitions split by AQE. Hints stand only on rows listed in code.
+with skewed partitions split by AQE; rows listed in code have exact sizes.
 """
 
 from __future__ import annotations
@@ -16,17 +16,12 @@ from pyspark.sql import functions as F
 from layerwright.functions.numbers import int_or_null
 from layerwright.sources.generated import inline_rows
 
-# Listed rows up to this many are broadcast with a hint.
-LISTED_ROWS_LIMIT = 10_000
-
 
 def map_lookup_join(
     df: DataFrame, column: str, mapping: Mapping[str, Any], output: str, value_type: str = "string"
 ) -> DataFrame:
     """Add ``output``, the value the mapping has for ``column``; NULL where it has none."""
     listed = inline_rows(df.sparkSession, list(mapping.items()), f"`__key` string, `{output}` {value_type}")
-    if len(mapping) <= LISTED_ROWS_LIMIT:
-        listed = F.broadcast(listed)
     return df.join(listed, F.col(column) == F.col("__key"), "left").drop("__key")
 
 

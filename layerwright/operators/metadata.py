@@ -79,10 +79,11 @@ def read_entities(metadata: DataFrame) -> Iterator[Entity]:
     rows = metadata.select(
         "source", "format", "destination", parse_column_list(F.col("projected_columns")).alias("columns")
     )
-    entities = {
-        row.destination: Entity(row.source, row.format, row.destination, tuple(row.columns or ()))
-        for row in rows.toLocalIterator()
-    }
+    entities: dict[str, Entity] = {}
+    for row in rows.toLocalIterator():
+        if row.destination in entities:
+            raise ValueError(f"the metadata names destination {row.destination} twice")
+        entities[row.destination] = Entity(row.source, row.format, row.destination, tuple(row.columns or ()))
     return iter(entities.values())
 
 

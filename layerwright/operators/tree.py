@@ -14,7 +14,7 @@ SKIPPED_TITLE = "Overview"
 
 
 def tree_flatten(
-    nodes: DataFrame, skipped_title: str = SKIPPED_TITLE, separator: str = SEPARATOR, max_depth: int = 100
+    nodes: DataFrame, skipped_title: str = SKIPPED_TITLE, separator: str = SEPARATOR
 ) -> DataFrame:
     """``path, title, href, depth, sort_key`` of every node with an ``href``, from ``id, parent_id, ord, title, href``.
 
@@ -26,7 +26,7 @@ def tree_flatten(
     Only nodes that have children are walked, one join per level, and their
     levels are folders of one staged table. The leaves, which are most of a
     tree, are read twice in all: to find who their parents are, and to meet
-    their parents' paths. A parent with very many children is a skewed key of
+    their parents' paths. Trees may be of any depth. A parent with very many children is a skewed key of
     that one join, which AQE splits.
     """
     spark = nodes.sparkSession
@@ -45,14 +45,16 @@ def tree_flatten(
         "id", F.concat(F.lit(separator), "title").alias("path_below"), F.array("ord").alias("sort_key")
     )
     schema = level.schema
-    for depth in range(max_depth + 1):
+    depth, most_levels = 0, inner.count()
+    while True:
         level = stage(level, path=f"{levels}/depth={depth}")
         if level.isEmpty():
             break
+        depth += 1
+        if depth > most_levels:
+            raise ValueError("the tree has more levels than nodes with children: an id is there twice")
         above = level.select(F.col("id").alias("parent_id"), F.col("path_below").alias("path"), "sort_key")
         level = inner.join(above, "parent_id").select("id", below, F.array_append("sort_key", F.col("ord")).alias("sort_key"))
-    else:
-        raise ValueError(f"the tree is deeper than {max_depth} levels or has a cycle")
 
     walked = spark.read.schema(schema.add("depth", T.IntegerType())).parquet(levels)
     above = walked.select(F.col("id").alias("parent_id"), F.col("path_below").alias("path"), "sort_key", "depth")

@@ -70,11 +70,16 @@ def scan_json_metadata(spark: SparkSession, path: str) -> DataFrame:
     """Landing metadata rows from a file that holds one JSON list.
 
     The column list may stand there as a JSON array or as text with one; both
-    arrive as JSON text.
+    arrive as JSON text. Broken JSON is an error, and so is an entry without
+    ``source``, ``format`` or ``destination``.
     """
-    return (
-        spark.read.schema(LANDING_METADATA_SCHEMA).option("multiLine", True).json(path).select(*LANDING_METADATA_SCHEMA.names)
-    )
+    reader = spark.read.schema(LANDING_METADATA_SCHEMA).options(multiLine=True, mode="FAILFAST")
+    rows = reader.json(path).select(*LANDING_METADATA_SCHEMA.names)
+    needed = {
+        name: F.coalesce(name, F.raise_error(F.lit(f"an entry of the landing metadata has no {name}")).cast("string"))
+        for name in ("source", "format", "destination")
+    }
+    return rows.withColumns(needed)
 
 
 def scan_text_document(spark: SparkSession, path: str, schema: str | T.StructType | None = None) -> DataFrame:

@@ -206,13 +206,13 @@ def read_landing_text(spark, sf):
     return sources.read_landing_text(spark, f"{root}/chat/turns", schema)
 
 
-@registry.query("SELECT o_orderkey, o_custkey, o_totalprice FROM orders WHERE o_orderstatus = 'F'")
+@registry.query("SELECT o_orderkey, o_custkey, o_totalprice FROM orders")
 def truncate_reload(spark, sf):
     database = scratch_database(spark, "landing")
     name = f"{database}.orders"
     orders = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_totalprice", "o_orderstatus")
     orders.where("o_orderstatus = 'O'").drop("o_orderstatus").write.saveAsTable(name)
-    sinks.truncate_reload(orders.where("o_orderstatus = 'F'").select("o_totalprice", "o_custkey", "o_orderkey"), name)
+    sinks.truncate_reload(orders.select("o_totalprice", "o_custkey", "o_orderkey"), name)
     return spark.table(name)
 
 

@@ -47,11 +47,10 @@ def test_tree_skips_overview_branches_and_walks_depth_first(spark):
     ]
 
 
-def test_tree_of_nothing_and_too_deep(spark):
+def test_tree_of_nothing_and_deep(spark):
     assert tree.tree_flatten(_nodes(spark, [(1, None, 0, "Overview", "x")])).count() == 0
-    chain = [(i, i - 1 if i else None, 0, f"t{i}", "h") for i in range(5)]
-    with pytest.raises(ValueError, match="deeper than 2"):
-        tree.tree_flatten(_nodes(spark, chain), max_depth=2)
+    chain = [(i, i - 1 if i else None, 0, f"t{i}", "h") for i in range(12)]
+    assert [r.depth for r in tree.tree_flatten(_nodes(spark, chain)).orderBy("depth").collect()] == list(range(12))
 
 
 def test_tree_with_a_hot_parent_keeps_every_row(spark):
@@ -223,7 +222,7 @@ def test_token_claims_with_every_padding(spark):
     tokens += [_token({"idtyp": "app", "p": "??>>~~"}), _token({"p": 1}), "not a token", None]
     df = spark.createDataFrame([(t,) for t in tokens], "t string")
     rows = df.select(claims.token_claim(F.col("t"), "idtyp"), claims.is_service_identity(F.col("t"))).collect()
-    assert [tuple(r) for r in rows] == [("User", False)] * 4 + [("app", True), (None, True), (None, True), (None, None)]
+    assert [tuple(r) for r in rows] == [("User", False)] * 4 + [("app", True), (None, True), (None, None), (None, None)]
     assert {len(t.split(".")[1]) % 4 for t in tokens[:4]} >= {0, 2, 3}
 
 
