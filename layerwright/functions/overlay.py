@@ -6,7 +6,7 @@ both objects as maps and goes down where both sides hold an object.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # The directive key and what it may say.
@@ -16,7 +16,6 @@ REPLACE = 1
 COMBINE_LISTS = 2
 
 
-
 def _as_object(value: Column) -> Column:
     """The object as a map; NULL when ``value`` is none."""
     return F.try_variant_get(value, "$", "map<string,variant>")
@@ -67,7 +66,7 @@ def _merge_values(parent: Column, child: Column, in_parent: Column, policy: Colu
 def _merge_objects(ours: Column, theirs: Column, inherited: Column, levels: int) -> Column:
     """The merged JSON text of two objects given as maps."""
     if levels == 0:
-        return F.raise_error(F.lit("documents are nested deeper than max_depth")).cast("string")
+        return F.raise_error(F.lit("objects are nested deeper than they were measured")).cast("string")
 
     def at_level(level: Column) -> Column:
         ours, theirs, policy = level["ours"], level["theirs"], level["policy"]
@@ -88,19 +87,35 @@ def _merge_objects(ours: Column, theirs: Column, inherited: Column, levels: int)
     return _with(at_level, ours=ours, theirs=theirs, policy=F.coalesce(own_policy, inherited))
 
 
-def merge_overlay(parent: Column, child: Column, policy: int = REPLACE, max_depth: int = 6) -> Column:
-    """Merge JSON text ``child`` over JSON text ``parent`` and return JSON text.
+def object_depth(text: Column) -> Column:
+    """How deep objects are nested in JSON text: 1 for an object of scalars. Braces inside strings do not count."""
+    braces = F.regexp_replace(F.regexp_replace(text, r'"(?:[^"\\]++|\\.)*+"', ""), r"[^{}]++", "")
+    start = F.struct(F.lit(0).alias("now"), F.lit(0).alias("most"))
+
+    def step(state: Column, brace: Column) -> Column:
+        now = state["now"] + F.when(brace == "{", 1).when(brace == "}", -1).otherwise(0)
+        return F.struct(now.alias("now"), F.greatest(state["most"], now).alias("most"))
+
+    return F.aggregate(F.split(braces, ""), start, step, lambda state: state["most"])
+
+
+def merge_overlay(df: DataFrame, parent: str, child: str, out: str, policy: int = REPLACE) -> DataFrame:
+    """``df`` with ``out``: JSON text in column ``child`` merged over JSON text in column ``parent``.
 
     Policy 0 keeps the parent's value (a key only the child has becomes null),
     1 takes the child's, 2 is 1 with lists put together and made distinct. The
     child's ``merge_type`` key sets the policy for its object and what lies
-    below. Objects found on both sides deeper than ``max_depth`` are an error.
+    below. Documents may be nested to any depth: the expression goes as deep as
+    the deepest row, counted on the shallower of its two sides, which one
+    aggregate over ``df`` tells. A NULL document counts as JSON ``null``.
     """
+    shallower = F.least(object_depth(F.col(parent)), object_depth(F.col(child)))
+    levels = df.select(shallower.alias("levels")).agg(F.max("levels")).first()[0] or 0
 
     def documents(side: Column) -> Column:
         ours, theirs = _as_object(side["parent"]), _as_object(side["child"])
         return F.when(
-            ours.isNotNull() & theirs.isNotNull(), _merge_objects(ours, theirs, F.lit(str(policy)), max_depth)
+            ours.isNotNull() & theirs.isNotNull(), _merge_objects(ours, theirs, F.lit(str(policy)), levels)
         ).otherwise(_json_text(side["parent"] if policy == KEEP_PARENT else side["child"]))
 
-    return _with(documents, parent=F.parse_json(parent), child=F.parse_json(child))
+    return df.withColumn(out, _with(documents, parent=F.parse_json(parent), child=F.parse_json(child)))

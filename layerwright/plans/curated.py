@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
+from itertools import groupby
 
 from pyspark.sql import DataFrame, SparkSession
 
 from layerwright.operators.dag import dag_dangling, dag_levels
 from layerwright.plans import star
+from layerwright.plans.parallel import LOADS_AT_ONCE, side_by_side
 from layerwright.sinks.tables import load_dimension, load_fact
 
 
@@ -29,20 +31,24 @@ def star_loads(spark: SparkSession, base: str = "Base", curated: str = "Curated"
     }
 
 
-def base_to_curated(activities: DataFrame, loads: Mapping[str, Callable[[], None]]) -> list[str]:
-    """Run the load of each activity, those it waits for first. Returns the order taken.
+def base_to_curated(
+    activities: DataFrame, loads: Mapping[str, Callable[[], None]], at_once: int = LOADS_AT_ONCE
+) -> list[str]:
+    """Run the load of each activity, those it waits for first. Returns the activities by level and name.
 
-    A dependency that is no activity, a cycle, or an activity without a load
+    The activities of a level run side by side, up to ``at_once``; after the
+    first error no other starts. A dependency that is no activity, a cycle, or an activity without a load
     stops everything before the first write.
     """
     missing = dag_dangling(activities).orderBy("name", "dependency").limit(1).take(1)
     if missing:
         raise ValueError(f"{missing[0].name} waits for {missing[0].dependency}, which is no activity")
     # One row per load of the solution: a work list for the driver.
-    order = [row.name for row in dag_levels(activities).orderBy("level", "name").toLocalIterator()]
+    levels = [(row.level, row.name) for row in dag_levels(activities).orderBy("level", "name").toLocalIterator()]
+    order = [name for _, name in levels]
     unknown = [name for name in order if name not in loads]
     if unknown:
         raise ValueError(f"no load for {', '.join(unknown)}")
-    for name in order:
-        loads[name]()
+    for _, level in groupby(levels, key=lambda activity: activity[0]):
+        side_by_side(activities.sparkSession, [loads[name] for _, name in level], at_once)
     return order

@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import datetime
+from functools import partial
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 
 from layerwright.operators.joins import join_ingest_lookup
+from layerwright.plans.parallel import LOADS_AT_ONCE, side_by_side
 from layerwright.sinks.files import write_landing_text
 from layerwright.sources.jdbc import JdbcConnection, ReadRanges, scan_jdbc_table
 
@@ -33,13 +35,14 @@ def ingest_all(
     read_table: TableReader,
     root: str,
     run_time: datetime,
+    at_once: int = LOADS_AT_ONCE,
 ) -> list[str]:
-    """Copy each enabled object of the connection to its landing folder; returns the folders."""
+    """Copy each enabled object of the connection to its landing folder, up to ``at_once`` side by side; returns the folders."""
+
+    def copy(row: Row, rows: DataFrame) -> str:
+        return write_landing_text(rows, root, row.connection_name, row.table_name, run_time)
+
     # One row per source table: a work list for the driver.
     wanted = join_ingest_lookup(connections, objects, connection_name).orderBy("schema_name", "table_name")
-    return [
-        write_landing_text(
-            read_table(row.schema_name, row.table_name), root, row.connection_name, row.table_name, run_time
-        )
-        for row in wanted.toLocalIterator()
-    ]
+    copies = [partial(copy, row, read_table(row.schema_name, row.table_name)) for row in wanted.toLocalIterator()]
+    return side_by_side(objects.sparkSession, copies, at_once)

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 
 from layerwright.operators.clean import cleanse
 from layerwright.operators.metadata import Entity, read_entities
+from layerwright.plans.parallel import LOADS_AT_ONCE, side_by_side
 from layerwright.plans.star import base_dim_date
 from layerwright.sinks.tables import write_overwrite
 from layerwright.sources.files import scan_by_format
@@ -26,19 +27,23 @@ def landing_to_base(
     database: str = "Base",
     root: str | None = None,
     dates: tuple[str, str] | None = None,
+    at_once: int = LOADS_AT_ONCE,
 ) -> list[str]:
     """Load every entity, and the calendar if ``dates`` gives its first and last day. Returns the tables written.
 
     Rows are de-duplicated over all columns before the projection, as they
-    landed. The first error stops the load.
+    landed. Up to ``at_once`` tables load side by side; after the first error
+    no other load starts.
     """
     spark = metadata.sparkSession
-    written = []
-    if dates is not None:
-        write_overwrite(base_dim_date(spark, *dates), database, DATE_TABLE)
-        written.append(DATE_TABLE)
-    entities: Iterable[Entity] = read_entities(metadata)
-    for entity in entities:
+
+    def load(entity: Entity) -> None:
         write_overwrite(base_rows(spark, entity, root), database, entity.destination, entity.columns)
-        written.append(entity.destination)
-    return written
+
+    loads = {}
+    if dates is not None:
+        loads[DATE_TABLE] = lambda: write_overwrite(base_dim_date(spark, *dates), database, DATE_TABLE)
+    # One row per table: a work list for the driver.
+    loads |= {entity.destination: partial(load, entity) for entity in read_entities(metadata)}
+    side_by_side(spark, loads.values(), at_once)
+    return list(loads)

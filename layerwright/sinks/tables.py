@@ -44,8 +44,8 @@ def write_overwrite(
 
     The generated id, if asked for and not there yet, is the first column. The
     rows are written beside the table and take its place when they are complete:
-    a load that fails leaves the old table, and rows may come from the table
-    itself.
+    a load that fails, in the write or in either rename, leaves the old table
+    under its name and nothing else, and rows may come from the table itself.
     """
     spark = df.sparkSession
     rows = project_columns(df, columns)
@@ -54,10 +54,27 @@ def write_overwrite(
     name = f"{database}.{table}"
     if spark.catalog.tableExists(name):
         rows = keep_columns_of(rows, spark.table(name).schema)
-    incoming = f"{name}_incoming_{uuid.uuid4().hex[:12]}"
-    rows.write.format("parquet").saveAsTable(incoming)
-    spark.sql(f"DROP TABLE IF EXISTS {name}")
-    spark.sql(f"ALTER TABLE {incoming} RENAME TO {name}")
+    mark = uuid.uuid4().hex[:12]
+    incoming, old = f"{name}_incoming_{mark}", f"{name}_old_{mark}"
+    try:
+        rows.write.format("parquet").saveAsTable(incoming)
+        replaced = spark.catalog.tableExists(name)
+        if replaced:
+            _rename(spark, name, old)
+        try:
+            _rename(spark, incoming, name)
+        except Exception:
+            if replaced:
+                _rename(spark, old, name)
+            raise
+        if replaced:
+            spark.sql(f"DROP TABLE {old}")
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {incoming}")
+
+
+def _rename(spark: SparkSession, name: str, to: str) -> None:
+    spark.sql(f"ALTER TABLE {name} RENAME TO {to}")
 
 
 def load_dimension(df: DataFrame, database: str, table: str) -> None:

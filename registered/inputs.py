@@ -167,8 +167,8 @@ ACTIVITIES = """SELECT 'region/' || r_regionkey AS name, [] ::VARCHAR[] AS deps,
         ['customer/' || o_custkey || CASE WHEN o_orderstatus = 'P' THEN 'S' ELSE '' END, 'region/0'], 'fact' FROM orders"""
 
 
-def tree_nodes(spark: SparkSession, sf: str) -> DataFrame:
-    """Regions, nations, customers and orders as a table of contents; one nation is titled Overview."""
+def upper_nodes(spark: SparkSession, sf: str) -> DataFrame:
+    """Regions and nations as a table of contents; one nation is titled Overview."""
     return (
         table(spark, sf, "region")
         .selectExpr(
@@ -187,6 +187,13 @@ def tree_nodes(spark: SparkSession, sf: str) -> DataFrame:
                 "IF(n_regionkey = 0, NULL, concat('nation/', n_nationkey)) AS href",
             )
         )
+    )
+
+
+def tree_nodes(spark: SparkSession, sf: str) -> DataFrame:
+    """The upper nodes with customers and orders below them."""
+    return (
+        upper_nodes(spark, sf)
         .unionByName(
             table(spark, sf, "customer").selectExpr(
                 "concat('c', c_custkey) AS id",

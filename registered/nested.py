@@ -153,8 +153,7 @@ def overlay_merge(spark, sf):
                    ', "tags": ["7", ', c_nationkey, ', "base"], "added": "fresh", "deep": {{"merge_type": 1, "forced": "child"}}}}}}')
             AS child""",
     )
-    merged = documents.select("c_custkey", merge_overlay(F.col("parent"), F.col("child"), max_depth=3).alias("m"))
-    return merged.select(
+    return merge_overlay(documents, "parent", "child", "m").select(
         "c_custkey",
         F.get_json_object("m", "$.name").alias("name"),
         F.get_json_object("m", "$.generic.budget").alias("budget"),

@@ -222,7 +222,6 @@ def assign_icons(spark, sf):
 
 def _toc(spark, sf):
     """Regions, nations and pages as a table of contents: a page belongs to a nation by the length of its address."""
-    upper = inputs.tree_nodes(spark, sf).where("id LIKE 'r%' OR id LIKE 'n%'")
     leaves = table(spark, sf, "pages").selectExpr(
         "concat('p', page_id) AS id",
         "concat('n', length(url) % 25) AS parent_id",
@@ -230,7 +229,7 @@ def _toc(spark, sf):
         "concat('Page ', page_id) AS title",
         "concat('page/', page_id) AS href",
     )
-    return upper.unionByName(leaves)
+    return inputs.upper_nodes(spark, sf).unionByName(leaves)
 
 
 DOCS_TABLE = f"""SELECT 'Page ' || page_id AS Title, 'https://docs.example/page/' || page_id AS ArticleUrl,

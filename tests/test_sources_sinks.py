@@ -1,4 +1,5 @@
 import json
+import time
 from datetime import datetime, timedelta, timezone
 
 import pytest
@@ -6,8 +7,9 @@ from pyspark.sql import functions as F
 
 from layerwright import sinks, sources
 from layerwright.operators.metadata import METADATA_TABLES, Entity, create_metadata_tables, read_entities
-from layerwright.plans import curated, ingest, landing
+from layerwright.plans import curated, ingest, landing, parallel
 from layerwright.session import scratch_path
+from layerwright.sinks import tables
 from layerwright.sources import jdbc
 
 RUN_TIME = datetime(2024, 2, 29, 23, 30, tzinfo=timezone(timedelta(hours=-2)))
@@ -240,3 +242,41 @@ def test_landing_to_curated(spark, tmp_path):
     assert spark.table(f"{gold}.Customer").where("CustomerID = '2'").first().FullName == "Ada Byron"
     assert spark.table(f"{gold}.Product").where("ProductsId = 11").first().Manufacturer == "N/A"
     assert spark.table(f"{gold}.Date").columns == ["DWID_Date", "Date", "Year", "Month", "Day"]
+
+
+def test_loads_side_by_side_stop_at_an_error(spark):
+    started = []
+
+    def load(name, error=None):
+        started.append(name)
+        if error:
+            raise error
+        return name
+
+    assert parallel.side_by_side(spark, [lambda: load("a"), lambda: load("b")], 2) == ["a", "b"]
+    started.clear()
+    with pytest.raises(ValueError, match="broken"):
+        parallel.side_by_side(spark, [lambda: load("a"), lambda: load("b", ValueError("broken")), *[lambda: time.sleep(1) or load("c")] * 5], 1)
+    assert started[:2] == ["a", "b"] and len(started) <= 3
+
+
+@pytest.mark.parametrize("failing", [0, 1, 2])
+def test_overwrite_that_fails_leaves_the_old_rows(spark, monkeypatch, failing):
+    base = f"swap_{scratch_path(spark, 'x')[-8:]}"
+    sinks.create_layers(spark, [base])
+    tables.write_overwrite(spark.range(3), base, "t", add_id=False)
+    rename, calls = tables._rename, []
+
+    def sometimes(*names):
+        calls.append(names)
+        if len(calls) == failing:
+            raise RuntimeError("stopped")
+        rename(*names)
+
+    monkeypatch.setattr(tables, "_rename", sometimes)
+    rows = spark.range(5).selectExpr("IF(id = 4, raise_error('stopped'), id) AS id") if failing == 0 else spark.range(5)
+    with pytest.raises(Exception, match="stopped"):
+        tables.write_overwrite(rows.selectExpr("CAST(id AS BIGINT) AS id"), base, "t", add_id=False)
+    assert spark.table(f"{base}.t").count() == 3
+    assert [t.name for t in spark.catalog.listTables(base) if not t.isTemporary] == ["t"]
+    spark.sql(f"DROP DATABASE {base} CASCADE")
