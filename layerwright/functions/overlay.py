@@ -1,7 +1,8 @@
 """Merging a child JSON document over a parent, key by key.
 
 The merge is one column expression per row, without a shuffle: each level opens
-both objects as maps and goes down where both sides hold an object.
+both objects as maps and goes down where both sides hold an object. Numbers go
+through as marked strings, so that they keep their digits however many they have.
 """
 
 from __future__ import annotations
@@ -15,6 +16,29 @@ KEEP_PARENT = 0
 REPLACE = 1
 COMBINE_LISTS = 2
 
+_STRING = r'"[^"]*+"'
+# Before what was a number stands the character 1 and n, and s follows it in strings that themselves begin with it.
+_NUMBER = r"-?(?:0|[1-9]\d*+)(?:\.\d++)?+(?:[eE][+-]?\d++)?+"
+
+
+def _simply_quoted(text: Column) -> Column:
+    """The same JSON with escaped quotes and backslashes spelled by number, so that a string ends at the next quote."""
+    return F.replace(F.replace(text, F.lit("\\\\"), F.lit("\\u005c")), F.lit('\\"'), F.lit("\\u0022"))
+
+
+def _numbers_marked(json: Column) -> Column:
+    """JSON text in which every number is a string of mark, ``n`` and its digits."""
+    text = _simply_quoted(json)
+    strings = F.regexp_extract_all(text, F.lit(_STRING), F.lit(0))
+    marked = F.transform(strings, lambda s: F.regexp_replace(s, r'^"\\u0001', r'"\\u0001s'))
+    between = F.transform(F.split(text, _STRING, -1), lambda s: F.regexp_replace(s, _NUMBER, r'"\\u0001n$0"'))
+    return F.array_join(F.zip_with(between, F.array_append(marked, F.lit("")), lambda b, s: F.concat(b, s)), "")
+
+
+def _numbers_restored(text: Column) -> Column:
+    numbers = F.regexp_replace(text, rf'(?<!\\)"\\u0001n({_NUMBER})"', "$1")
+    return F.regexp_replace(numbers, r'(?<!\\)"\\u0001s', r'"\\u0001')
+
 
 def _as_object(value: Column) -> Column:
     """The object as a map; NULL when ``value`` is none."""
@@ -83,13 +107,14 @@ def _merge_objects(ours: Column, theirs: Column, inherited: Column, levels: int)
         entries = F.transform(F.array_union(F.map_keys(ours), child_keys), entry)
         return F.concat(F.lit("{"), F.array_join(entries, ","), F.lit("}"))
 
-    own_policy = F.when(F.map_contains_key(theirs, DIRECTIVE), F.trim(_json_text(theirs[DIRECTIVE])))
+    said = F.regexp_replace(_numbers_restored(_json_text(theirs[DIRECTIVE])), r"^(\d+)\.0+$", "$1")
+    own_policy = F.when(F.map_contains_key(theirs, DIRECTIVE), said)
     return _with(at_level, ours=ours, theirs=theirs, policy=F.coalesce(own_policy, inherited))
 
 
 def object_depth(text: Column) -> Column:
     """How deep objects are nested in JSON text: 1 for an object of scalars. Braces inside strings do not count."""
-    braces = F.regexp_replace(F.regexp_replace(text, r'"(?:[^"\\]++|\\.)*+"', ""), r"[^{}]++", "")
+    braces = F.regexp_replace(F.regexp_replace(_simply_quoted(text), _STRING, ""), r"[^{}]++", "")
     start = F.struct(F.lit(0).alias("now"), F.lit(0).alias("most"))
 
     def step(state: Column, brace: Column) -> Column:
@@ -118,4 +143,9 @@ def merge_overlay(df: DataFrame, parent: str, child: str, out: str, policy: int
             ours.isNotNull() & theirs.isNotNull(), _merge_objects(ours, theirs, F.lit(str(policy)), levels)
         ).otherwise(_json_text(side["parent"] if policy == KEEP_PARENT else side["child"]))
 
-    return df.withColumn(out, _with(documents, parent=F.parse_json(parent), child=F.parse_json(child)))
+    merged = _with(
+        documents,
+        parent=F.parse_json(_numbers_marked(F.col(parent))),
+        child=F.parse_json(_numbers_marked(F.col(child))),
+    )
+    return df.withColumn(out, _numbers_restored(merged))

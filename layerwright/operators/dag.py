@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from layerwright.session import scratch_path, stage
+from layerwright.session import scratch_path, stage, stage_counted
 
-_STATE = "name string, remaining bigint, ready boolean"
+_SETTLED = "name string, level int"
 
 
 def dag_edges(activities: DataFrame) -> DataFrame:
@@ -24,10 +24,11 @@ def dag_dangling(activities: DataFrame) -> DataFrame:
 def dag_levels(activities: DataFrame) -> DataFrame:
     """``name, level``: 0 for an activity that waits for nothing, else one more than the highest it waits for.
 
-    Only activities others wait for are taken in rounds, one per level: each
-    settles those whose dependencies are all settled and carries on the rest,
-    and the rounds are folders of one staged table. The levels of all others, as
-    of everything, then come from one join of the edges with the settled levels.
+    Only activities others wait for are taken in rounds, one per level. A round
+    looks at what waits for the activities settled last, and settles those that
+    wait for nothing else; each is written once, to the folder of its level. The
+    levels of all others, as of everything, then come from one join of the edges
+    with the settled levels.
     Dependencies that name no activity are left out; a cycle is an error.
     """
     spark = activities.sparkSession
@@ -36,9 +37,9 @@ def dag_levels(activities: DataFrame) -> DataFrame:
     known = staged.select(F.col("name").alias("dependency"))
     edges = stage(dag_edges(staged).join(known, "dependency", "left_semi").distinct(), "dag-edges")
 
-    awaited = stage(edges.select(F.col("dependency").alias("name")).distinct(), "dag-awaited")
+    awaited, most = stage_counted(edges.select(F.col("dependency").alias("name")).distinct(), "dag-awaited")
     inner = stage(edges.join(awaited, "name", "left_semi"), "dag-inner")
-    levels = _settle(awaited, inner, scratch_path(spark, "dag-rounds"))
+    levels = _settle(awaited, most, inner, scratch_path(spark, "dag-rounds"))
     highest = (
         edges.join(levels.withColumnRenamed("name", "dependency"), "dependency")
         .groupBy("name")
@@ -47,29 +48,18 @@ def dag_levels(activities: DataFrame) -> DataFrame:
     return names.join(highest, "name", "left").select("name", F.coalesce("level", F.lit(0)).alias("level"))
 
 
-def _settle(names: DataFrame, edges: DataFrame, rounds: str) -> DataFrame:
-    """``name, level`` of ``names``, whose dependencies are ``edges`` among themselves."""
+def _settle(names: DataFrame, most: int, edges: DataFrame, rounds: str) -> DataFrame:
+    """``name, level`` of the ``most`` rows of ``names``, whose dependencies are ``edges`` among themselves."""
     spark = names.sparkSession
-    waits = edges.groupBy("name").agg(F.count(F.lit(1)).alias("waits"))
-    state = names.join(waits, "name", "left").select("name", F.coalesce("waits", F.lit(0)).alias("remaining"))
-    level = 0
-    while True:
-        folder = f"{rounds}/level={level}"
-        state.withColumn("ready", F.col("remaining") == 0).write.partitionBy("ready").parquet(folder)
-        written = spark.read.schema(_STATE).parquet(folder)
-        ready, waiting = written.where("ready").select("name"), written.where("NOT ready")
-        if waiting.isEmpty():
-            break
-        if ready.isEmpty():
+    last, found = stage_counted(names.join(edges, "name", "left_anti"), path=f"{rounds}/level=0")
+    level, settled = 0, found
+    while settled < most:
+        if not found:
             raise ValueError("the activities wait for each other in a cycle")
-        met = (
-            edges.join(ready.withColumnRenamed("name", "dependency"), "dependency")
-            .groupBy("name")
-            .agg(F.count(F.lit(1)).alias("met"))
-        )
-        state = waiting.join(met, "name", "left").select(
-            "name", (F.col("remaining") - F.coalesce("met", F.lit(0))).alias("remaining")
-        )
+        done = spark.read.schema(names.schema).parquet(rounds).withColumnRenamed("name", "dependency")
+        met = edges.join(last.withColumnRenamed("name", "dependency"), "dependency", "left_semi").select("name").distinct()
+        unmet = edges.join(met, "name", "left_semi").join(done, "dependency", "left_anti").select("name")
         level += 1
-    settled = spark.read.schema(f"{_STATE}, level int").parquet(rounds)
-    return settled.where("ready").select("name", "level")
+        last, found = stage_counted(met.join(unmet, "name", "left_anti"), path=f"{rounds}/level={level}")
+        settled += found
+    return spark.read.schema(_SETTLED).parquet(rounds)

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from layerwright.session import scratch_path, stage
+from layerwright.session import scratch_path, stage, stage_counted
 
 # The separator of paths, and the title whose branch is left out.
 SEPARATOR = "|"
@@ -27,38 +27,57 @@ def tree_flatten(
     levels are folders of one staged table. The leaves, which are most of a
     tree, are read twice in all: to find who their parents are, and to meet
     their parents' paths. Trees may be of any depth. A parent with very many children is a skewed key of
-    that one join, which AQE splits.
+    that one join, which AQE splits. Nodes whose parent is not there, and nodes below a cycle, are an
+    error; ``tree_dangling`` lists the former.
     """
     spark = nodes.sparkSession
-    kept = stage(
-        nodes.select("id", "parent_id", F.col("ord").cast("bigint").alias("ord"), "title", "href").where(
-            ~F.col("title").eqNullSafe(skipped_title)
+    every = stage(
+        nodes.select(
+            "id",
+            "parent_id",
+            F.col("ord").cast("bigint").alias("ord"),
+            "title",
+            "href",
+            F.col("title").eqNullSafe(skipped_title).alias("skipped"),
         ),
         "tree",
     )
-    has_children = kept.select(F.col("parent_id").alias("id")).distinct()
-    inner = stage(kept.join(has_children, "id", "left_semi").select("id", "parent_id", "ord", "title"), "tree-inner")
+    parents, n_parents = stage_counted(
+        every.where("parent_id IS NOT NULL").select(F.col("parent_id").alias("id")).distinct(), "tree-parents"
+    )
+    inner, n_inner = stage_counted(
+        every.join(parents, "id", "left_semi").select("id", "parent_id", "ord", "title", "skipped"), "tree-inner"
+    )
+    if n_inner != n_parents:
+        raise ValueError(f"{n_parents} parents are named, {n_inner} nodes are there for them: one is missing or there twice")
 
+    # Branches that are skipped are walked too, so that what no root reaches can be told from them.
     levels = scratch_path(spark, "tree-levels")
     below = F.concat("path", F.lit(separator), "title").alias("path_below")
     level = inner.where("parent_id IS NULL").select(
-        "id", F.concat(F.lit(separator), "title").alias("path_below"), F.array("ord").alias("sort_key")
+        "id", F.concat(F.lit(separator), "title").alias("path_below"), F.array("ord").alias("sort_key"), "skipped"
     )
     schema = level.schema
-    depth, most_levels = 0, inner.count()
+    depth, n_walked = 0, 0
     while True:
-        level = stage(level, path=f"{levels}/depth={depth}")
-        if level.isEmpty():
+        level, n_level = stage_counted(level, path=f"{levels}/depth={depth}")
+        if not n_level:
             break
-        depth += 1
-        if depth > most_levels:
-            raise ValueError("the tree has more levels than nodes with children: an id is there twice")
-        above = level.select(F.col("id").alias("parent_id"), F.col("path_below").alias("path"), "sort_key")
-        level = inner.join(above, "parent_id").select("id", below, F.array_append("sort_key", F.col("ord")).alias("sort_key"))
+        depth, n_walked = depth + 1, n_walked + n_level
+        above = level.select(
+            F.col("id").alias("parent_id"), F.col("path_below").alias("path"), "sort_key", F.col("skipped").alias("hidden")
+        )
+        level = inner.join(above, "parent_id").select(
+            "id", below, F.array_append("sort_key", F.col("ord")).alias("sort_key"), (F.col("hidden") | F.col("skipped")).alias("skipped")
+        )
+    if n_walked != n_inner:
+        raise ValueError(f"{n_inner - n_walked} nodes with children are on a cycle or below one")
 
     walked = spark.read.schema(schema.add("depth", T.IntegerType())).parquet(levels)
-    above = walked.select(F.col("id").alias("parent_id"), F.col("path_below").alias("path"), "sort_key", "depth")
-    linked = kept.where("href IS NOT NULL")
+    above = walked.where("NOT skipped").select(
+        F.col("id").alias("parent_id"), F.col("path_below").alias("path"), "sort_key", "depth"
+    )
+    linked = every.where("href IS NOT NULL AND NOT skipped")
     roots = linked.where("parent_id IS NULL").select(
         F.lit("").alias("path"), "title", "href", F.lit(0).alias("depth"), F.array("ord").alias("sort_key")
     )
@@ -66,3 +85,49 @@ def tree_flatten(
         "path", "title", "href", (F.col("depth") + 1).alias("depth"), F.array_append("sort_key", F.col("ord")).alias("sort_key")
     )
     return roots.unionByName(others)
+
+
+def tree_dangling(nodes: DataFrame) -> DataFrame:
+    """The nodes whose parent is no node."""
+    known = nodes.select(F.col("id").alias("parent_id")).distinct()
+    return nodes.where("parent_id IS NOT NULL").join(known, "parent_id", "left_anti").select(*nodes.columns)
+
+
+def toc_nodes(documents: DataFrame, document: str, key: str) -> DataFrame:
+    """``id, parent_id, ord, title, href`` of tables of contents kept as JSON, a variant in column ``document``.
+
+    A document holds ``items``, an item its ``toc_title`` and maybe ``href`` and
+    ``children``. Ids are the text in column ``key``, one per document, and the
+    places on the way down; a document without items has no nodes, an item
+    without a title is an error. The documents are opened level by level, as
+    deep as they go; each level is staged with only the children it still has.
+    """
+    spark = documents.sparkSession
+    levels = scratch_path(spark, "toc-levels")
+    opened = documents.select(
+        F.col(key).cast("string").alias("above"),
+        F.lit(None).cast("string").alias("parent_id"),
+        F.try_variant_get(document, "$.items", "array<variant>").alias("items"),
+    )
+    depth = 0
+    while True:
+        item = F.col("item")
+        level = opened.select("above", "parent_id", F.posexplode("items").alias("place", "item")).select(
+            F.concat("above", F.lit("/"), "place").alias("id"),
+            "parent_id",
+            F.col("place").cast("bigint").alias("ord"),
+            F.coalesce(
+                F.try_variant_get(item, "$.toc_title", "string"),
+                F.raise_error(F.lit("an item of a table of contents has no toc_title")).cast("string"),
+            ).alias("title"),
+            F.try_variant_get(item, "$.href", "string").alias("href"),
+            F.try_variant_get(item, "$.children", "array<variant>").alias("items"),
+        )
+        level, found = stage_counted(level, path=f"{levels}/depth={depth}")
+        if not found:
+            break
+        depth += 1
+        opened = level.where(F.size("items") > 0).select(
+            F.col("id").alias("above"), F.col("id").alias("parent_id"), "items"
+        )
+    return spark.read.schema(level.schema).parquet(levels).select("id", "parent_id", "ord", "title", "href")

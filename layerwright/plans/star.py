@@ -44,6 +44,18 @@ def _keyed(base: DataFrame, business_key: str) -> DataFrame:
     return base if ID_COLUMN in base.columns else add_dense_id(base, [business_key])
 
 
+def customer_attributes(base: DataFrame) -> DataFrame:
+    """The customer dimension but for its key: what a join by business key needs."""
+    customers = project_alias(base, {name: name for name in ("CustomerID", "FirstName", "LastName")})
+    return derive_columns(customers, {"FullName": full_name(F.col("FirstName"), F.col("LastName"))})
+
+
+def product_attributes(base: DataFrame) -> DataFrame:
+    """The product dimension but for its key."""
+    names = {name: name for name in ("Manufacturer", "ProductName", "Price")}
+    return project_alias(base, {"ProductId": "ProductsId", **names})
+
+
 def dim_customer(base: DataFrame) -> DataFrame:
     names = {name: name for name in ("CustomerID", "FirstName", "LastName")}
     customers = project_alias(_keyed(base, "CustomerID"), {ID_COLUMN: "DWID_Customer", **names})

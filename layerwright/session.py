@@ -5,7 +5,9 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from py4j.java_gateway import JavaObject
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 # Runtime settings the operators are designed for. AQE sizes the shuffles and
 # splits skewed join partitions; the forced skew join lets it do so even when a
@@ -59,9 +61,35 @@ def scratch_dir(spark: SparkSession) -> str:
     return context.getCheckpointDir().rstrip("/")
 
 
+def hadoop_path(spark: SparkSession, path: str) -> tuple[JavaObject, JavaObject]:
+    """The Hadoop file system of a path, and the path as it knows it."""
+    context = spark.sparkContext
+    place = context._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(context._jsc.hadoopConfiguration()), place
+
+
+def scratch_root(spark: SparkSession) -> str:
+    """The folder that holds all an application stages."""
+    return f"{scratch_dir(spark)}/layerwright/{spark.sparkContext.applicationId}"
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A path below the scratch folder that nobody has used yet."""
-    return f"{scratch_dir(spark)}/layerwright/{label}-{uuid.uuid4().hex}"
+    """A path below the application's scratch folder that nobody has used yet.
+
+    The folder is removed when the application ends, or before by ``clear_scratch``.
+    """
+    root = scratch_root(spark)
+    files, folder = hadoop_path(spark, root)
+    if not files.exists(folder):
+        files.mkdirs(folder)
+        files.deleteOnExit(folder)
+    return f"{root}/{label}-{uuid.uuid4().hex}"
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Remove all the application has staged. DataFrames that read it can be used until then, not after."""
+    files, folder = hadoop_path(spark, scratch_root(spark))
+    files.delete(folder, True)
 
 
 def stage(df: DataFrame, label: str = "stage", path: str | None = None) -> DataFrame:
@@ -75,3 +103,10 @@ def stage(df: DataFrame, label: str = "stage", path: str | None = None) -> DataF
     target = path or scratch_path(spark, label)
     df.write.mode("errorifexists").parquet(target)
     return spark.read.schema(df.schema).parquet(target)
+
+
+def stage_counted(df: DataFrame, label: str = "stage", path: str | None = None) -> tuple[DataFrame, int]:
+    """``stage`` and the number of rows, counted as they are written."""
+    seen = Observation()
+    staged = stage(df.observe(seen, F.count(F.lit(1)).alias("rows")), label, path)
+    return staged, seen.get["rows"]

@@ -46,21 +46,24 @@ def write_overwrite(
     rows are written beside the table and take its place when they are complete:
     a load that fails, in the write or in either rename, leaves the old table
     under its name and nothing else, and rows may come from the table itself.
+    Partitioning, comments, defaults and properties of the old table stay.
     """
     spark = df.sparkSession
     rows = project_columns(df, columns)
     if add_id and ID_COLUMN not in df.columns:
         rows = add_surrogate_id(rows)
     name = f"{database}.{table}"
-    if spark.catalog.tableExists(name):
-        rows = keep_columns_of(rows, spark.table(name).schema)
+    replaced = spark.catalog.tableExists(name)
     mark = uuid.uuid4().hex[:12]
     incoming, old = f"{name}_incoming_{mark}", f"{name}_old_{mark}"
     try:
-        rows.write.format("parquet").saveAsTable(incoming)
-        replaced = spark.catalog.tableExists(name)
         if replaced:
+            rows = keep_columns_of(rows, spark.table(name).schema)
+            _create_like(spark, incoming, name, rows.schema)
+            rows.select(*[F.col(f"`{column}`") for column in spark.table(incoming).columns]).write.insertInto(incoming)
             _rename(spark, name, old)
+        else:
+            rows.write.format("parquet").saveAsTable(incoming)
         try:
             _rename(spark, incoming, name)
         except Exception:
@@ -73,6 +76,27 @@ def write_overwrite(
         spark.sql(f"DROP TABLE IF EXISTS {incoming}")
 
 
+def _create_like(spark: SparkSession, name: str, model: str, schema: T.StructType) -> None:
+    """An empty table with all ``model`` says of itself, and the columns of ``schema`` it lacks."""
+    spark.sql(f"CREATE TABLE {name} LIKE {model}")
+    known = {column.lower() for column in spark.table(name).columns}
+    added = [f"`{field.name}` {field.dataType.simpleString()}" for field in schema if field.name.lower() not in known]
+    if added:
+        spark.sql(f"ALTER TABLE {name} ADD COLUMNS ({', '.join(added)})")
+    for row in spark.sql(f"SHOW TBLPROPERTIES {model}").toLocalIterator():
+        # Those of Spark and of the catalog describe the files, not the table.
+        if not row.key.startswith(("spark.", "transient_")):
+            spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ({_quoted(row.key)} = {_quoted(row.value)})")
+    comment = spark.catalog.getTable(model).description
+    if comment:
+        spark.sql(f"COMMENT ON TABLE {name} IS {_quoted(comment)}")
+
+
+def _quoted(text: str) -> str:
+    escaped = text.replace("\\", "\\\\").replace("'", "\\'")
+    return f"'{escaped}'"
+
+
 def _rename(spark: SparkSession, name: str, to: str) -> None:
     spark.sql(f"ALTER TABLE {name} RENAME TO {to}")
 

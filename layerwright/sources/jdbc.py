@@ -39,6 +39,15 @@ def qualified_name(schema_name: str, table_name: str) -> str:
     return f"{schema_name}.{table_name}"
 
 
+def _range_options(ranges: ReadRanges) -> dict[str, str]:
+    return {
+        "partitionColumn": ranges.column,
+        "lowerBound": str(ranges.lower),
+        "upperBound": str(ranges.upper),
+        "numPartitions": str(ranges.partitions),
+    }
+
+
 def table_options(
     connection: JdbcConnection, schema_name: str, table_name: str, ranges: ReadRanges | None = None
 ) -> dict[str, str]:
@@ -48,23 +57,19 @@ def table_options(
         **connection.properties,
         "dbtable": qualified_name(schema_name, table_name),
     }
-    if ranges is not None:
-        options |= {
-            "partitionColumn": ranges.column,
-            "lowerBound": str(ranges.lower),
-            "upperBound": str(ranges.upper),
-            "numPartitions": str(ranges.partitions),
-        }
-    return options
+    return options if ranges is None else options | _range_options(ranges)
 
 
-def query_options(connection: JdbcConnection, query: str) -> dict[str, str]:
-    return {
+def query_options(connection: JdbcConnection, query: str, ranges: ReadRanges | None = None) -> dict[str, str]:
+    """A query that is read in ranges goes as a derived table, because the source must cut it by a column."""
+    options = {
         "url": connection.url,
         "fetchsize": str(connection.fetch_size),
         **connection.properties,
-        "query": query,
     }
+    if ranges is None:
+        return options | {"query": query}
+    return options | {"dbtable": f"({query}) AS extract_query"} | _range_options(ranges)
 
 
 def scan_jdbc_table(
@@ -79,6 +84,8 @@ def scan_jdbc_table(
     return spark.read.format("jdbc").options(**options).load()
 
 
-def scan_jdbc_query(spark: SparkSession, connection: JdbcConnection, query: str) -> DataFrame:
-    """All rows of a query that runs at the source."""
-    return spark.read.format("jdbc").options(**query_options(connection, query)).load()
+def scan_jdbc_query(
+    spark: SparkSession, connection: JdbcConnection, query: str, ranges: ReadRanges | None = None
+) -> DataFrame:
+    """All rows of a query that runs at the source, through one connection unless ``ranges`` of a result column are given."""
+    return spark.read.format("jdbc").options(**query_options(connection, query, ranges)).load()

@@ -51,8 +51,8 @@ def star_join(spark, sf):
     return joins.star_join(
         star.fact_sales(inputs.transactions(spark, sf)),
         star.dim_date(star.calendar_of(table(spark, sf, "orders"), "o_orderdate")),
-        star.dim_customer(inputs.customers(spark, sf)),
-        star.dim_product(inputs.products(spark, sf)),
+        star.customer_attributes(inputs.customers(spark, sf)),
+        star.product_attributes(inputs.products(spark, sf)),
     )
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from layerwright.functions import claims, icons, projections, rules, text
 from layerwright.functions.overlay import merge_overlay
-from layerwright.operators import dag, html, metadata, tree, xref
+from layerwright.operators import dag, html, metadata, replace, tree, xref
 from registered import Registry, inputs
 from registered.inputs import table
 
@@ -28,6 +28,56 @@ def tree_flatten(spark, sf):
     return flat.withColumn("sort_key", F.array_join(F.col("sort_key").cast("array<string>"), ","))
 
 
+@registry.query(
+    """WITH k AS (SELECT c_custkey::VARCHAR AS k, c_name, c_mktsegment, c_acctbal < 0 AS owes FROM customer)
+       SELECT k || '/0' AS id, NULL::VARCHAR AS parent_id, 0::BIGINT AS ord, c_name AS title, 'customer/' || k AS href FROM k
+       UNION ALL SELECT k || '/1', NULL, 1, 'Overview', NULL FROM k WHERE owes
+       UNION ALL SELECT k || '/0/0', k || '/0', 0, c_mktsegment, NULL FROM k
+       UNION ALL SELECT k || '/0/0/0', k || '/0/0', 0, 'Balance', 'balance/' || k FROM k
+       UNION ALL SELECT k || '/0/1', k || '/0', 1, 'Orders', 'orders/' || k FROM k"""
+)
+def toc_nodes(spark, sf):
+    """A table of contents per customer, three levels deep; those of customers in debt have a second item."""
+    leaf = "named_struct('toc_title', 'Balance', 'href', concat('balance/', c_custkey))"
+    below = (
+        f"array(named_struct('toc_title', c_mktsegment, 'href', CAST(NULL AS STRING), 'children', array({leaf})),"
+        " named_struct('toc_title', 'Orders', 'href', concat('orders/', c_custkey), 'children', NULL))"
+    )
+    first = f"named_struct('toc_title', c_name, 'href', concat('customer/', c_custkey), 'children', {below})"
+    second = "named_struct('toc_title', 'Overview', 'href', NULL, 'children', NULL)"
+    items = f"IF(c_acctbal < 0, array({first}, {second}), array({first}))"
+    tocs = table(spark, sf, "customer").selectExpr("c_custkey", f"parse_json(to_json(named_struct('items', {items}))) AS toc")
+    return tree.toc_nodes(tocs, "toc", "c_custkey")
+
+
+REFERENCES = """SELECT doc_id, CASE WHEN doc_id % 5 = 0 THEN text ELSE '[' || doc_id || '] ' || text || ' [' || doc_id * 7 % 3000
+       || '][' || n_chars || ']' END AS text FROM documents"""
+
+
+@registry.query(
+    f"""WITH t AS ({REFERENCES}), cut AS (SELECT doc_id, text, regexp_extract_all(text, '\\[[0-9]+\\]') AS tokens,
+              string_split_regex(text, '\\[[0-9]+\\]') AS pieces FROM t),
+            token AS (SELECT doc_id, unnest(tokens) AS token, generate_subscripts(tokens, 1) AS place, pieces FROM cut),
+            put AS (SELECT doc_id, string_agg(pieces[place] || coalesce('<' || c_name || '>', token), '' ORDER BY place)
+                      || any_value(pieces[len(pieces)]) AS text
+                      FROM token LEFT JOIN customer ON token = '[' || c_custkey || ']' GROUP BY doc_id)
+       SELECT doc_id, length(new) AS n_chars, md5(new) AS text_md5
+         FROM (SELECT t.doc_id, coalesce(put.text, t.text) AS new FROM t LEFT JOIN put ON put.doc_id = t.doc_id)"""
+)
+def replace_from_table(spark, sf):
+    """Documents that refer to customers by number, four of five of them, get the names."""
+    texts = table(spark, sf, "documents").selectExpr(
+        "doc_id",
+        "IF(doc_id % 5 = 0, text, concat('[', doc_id, '] ', text, ' [', doc_id * 7 % 3000, '][', n_chars, ']')) AS text",
+    )
+    names = table(spark, sf, "customer").selectExpr(
+        "concat('[', c_custkey, ']') AS key", "concat('<', c_name, '>') AS value"
+    )
+    return replace.replace_from_table(texts, "text", names, r"\[[0-9]+\]").selectExpr(
+        "doc_id", "CAST(length(text) AS BIGINT) AS n_chars", "md5(text) AS text_md5"
+    )
+
+
 @registry.query(
     """SELECT page_id, string_split('|' || replace(url, '/', '|'), '|')[2] AS service,
               string_split('|' || replace(url, '/', '|'), '|')[4] AS api,

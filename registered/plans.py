@@ -116,7 +116,7 @@ def fact_sales(spark, sf):
           FROM sold GROUP BY ROLLUP (year(TransactionDate), month(TransactionDate))"""
 )
 def sales_rollup(spark, sf):
-    """Transactions, cleansed, as a fact, with its calendar and customers, counted by year and month."""
+    """Transactions, cleansed, as a fact, with its calendar, counted by year and month."""
     fact = star.fact_sales(cleanse(inputs.transactions(spark, sf)))
     dates = star.dim_date(star.calendar_of(table(spark, sf, "orders"), "o_orderdate"))
     return star.sales_rollup(fact, dates)

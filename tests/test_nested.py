@@ -1,5 +1,6 @@
 import base64
 import json
+import os
 import random
 import re
 import subprocess
@@ -12,8 +13,11 @@ from pyspark.sql import functions as F
 from layerwright.functions import claims, icons, projections, rules, text
 from layerwright.functions.overlay import merge_overlay
 from layerwright.operators import dag, html, metadata, tree, xref
+from layerwright.operators.replace import replace_from_table
 from layerwright.plans import docs
 from layerwright.plans.icons import assign_icons
+from layerwright.session import scratch_root
+from layerwright.sources import scan_text_document
 
 ANCHOR = docs.IDENTITY_ANCHOR
 
@@ -60,6 +64,56 @@ def test_tree_with_a_hot_parent_keeps_every_row(spark):
     assert [r.title for r in rows.orderBy("sort_key").limit(2).collect()] == ["t10", "t11"]
 
 
+@pytest.mark.parametrize(
+    ("rows", "error"),
+    [
+        ([(1, None, 0, "a", "h"), (2, 7, 0, "b", "h")], "missing"),
+        ([(1, None, 0, "a", "h"), (2, 3, 0, "b", "h"), (3, 2, 0, "c", "h")], "cycle"),
+        ([(1, None, 0, "a", "h"), (1, None, 1, "a", "h"), (2, 1, 0, "b", "h")], "twice"),
+    ],
+)
+def test_nodes_no_root_reaches_are_an_error(spark, rows, error):
+    with pytest.raises(ValueError, match=error):
+        tree.tree_flatten(_nodes(spark, rows))
+
+
+def test_tree_dangling(spark):
+    nodes = _nodes(spark, [(1, None, 0, "a", "h"), (2, 7, 0, "b", "h"), (3, 1, 0, "c", "h")])
+    assert [r.id for r in tree.tree_dangling(nodes).collect()] == [2]
+
+
+def test_tree_150_levels_deep(spark):
+    chain = [(i, i - 1 if i else None, 0, f"t{i}", "h") for i in range(150)]
+    assert tree.tree_flatten(_nodes(spark, chain)).agg(F.max("depth")).first()[0] == 149
+
+
+def test_docs_table_from_a_stored_table_of_contents(spark, tmp_path):
+    toc = {
+        "items": [
+            {"toc_title": "Overview", "href": "o", "children": [{"toc_title": "Hidden", "href": "h"}]},
+            {"toc_title": "Core", "children": [{"toc_title": "Items", "href": "core/items", "children": []}, {"toc_title": "Overview"}]},
+            {"toc_title": "Start", "href": "start"},
+        ]
+    }
+    (tmp_path / "toc.json").write_text(json.dumps(toc, indent=1))
+    (tmp_path / "none.json").write_text("{}")
+    documents = scan_text_document(spark, str(tmp_path / "*.json"))
+    nodes = tree.toc_nodes(documents.withColumn("path", F.regexp_extract("path", r"[^/]+$", 0)), "document", "path")
+    assert sorted((r.id, r.parent_id, r.ord, r.title, r.href) for r in nodes.collect())[-2:] == [
+        ("toc.json/1/1", "toc.json/1", 1, "Overview", None),
+        ("toc.json/2", None, 2, "Start", "start"),
+    ]
+    page = f'<h2 id="{ANCHOR}"></h2>' + TABLE.format(rows=ROW.format(k="User", v="Yes"))
+    pages = spark.createDataFrame([("https://d/core/items", page)], "url string, html string")
+    assert sorted(tuple(r) for r in docs.docs_table(nodes, pages, "https://d/").collect()) == [
+        ("Items", "https://d/core/items", "Yes", None, "Core", None),
+        ("Start", "https://d/start", "N/A", "N/A", None, None),
+    ]
+    broken = spark.sql("""SELECT 'x' AS path, parse_json('{"items": [{"href": "a"}]}') AS document""")
+    with pytest.raises(Exception, match="toc_title"):
+        tree.toc_nodes(broken, "document", "path")
+
+
 TABLE = "<table><tbody>{rows}</tbody></table>"
 ROW = "<tr><td>{k}</td><td>{v}</td></tr>"
 PAGES = {
@@ -147,6 +201,25 @@ def test_single_pass_against_brute_force(spark):
     assert [r.r for r in rows] == [pattern.sub(lambda hit: literals[hit[0]], r.t) for r in rows]
 
 
+def test_replacement_by_table_against_brute_force(spark):
+    dice = random.Random(5)
+    mapping = {f"{{{i}}}": f"<{i}{{0}}>$\\" for i in range(0, 60, 2)}
+    texts = ["".join(dice.choice(["{0}", "{4}", f"{{{dice.randrange(70)}}}", "a ", "{", "\n"]) for _ in range(dice.randrange(30))) for _ in range(400)]
+    rows = [*enumerate(texts + ["{0}"] * 500), (7, None), (7, "")]
+    df = spark.createDataFrame(rows, "id int, t string")
+    pairs = spark.createDataFrame([*mapping.items(), ("{0}", mapping["{0}"]), ("{1}", None), (None, "x")], "key string, value string")
+    out = replace_from_table(df, "t", pairs, r"\{\d+\}")
+    assert out.columns == ["id", "t"]
+    expected = [(i, t and re.sub(r"\{\d+\}", lambda m: mapping.get(m[0], m[0]), t)) for i, t in rows]
+    assert sorted(map(repr, map(tuple, out.collect()))) == sorted(map(repr, expected))
+    assert replace_from_table(df.limit(0), "t", pairs, r"\{\d+\}").count() == 0
+    two = pairs.union(spark.createDataFrame([("{0}", "other")], pairs.schema))
+    with pytest.raises(Exception, match="two values"):
+        replace_from_table(df, "t", two, r"\{\d+\}").collect()
+    with pytest.raises(ValueError):
+        replace_from_table(df, "t", pairs, r"\d*")
+
+
 def test_parsers_run_where_the_package_is_missing():
     page = f"<p id='{ANCHOR}'></p>" + TABLE.format(rows=ROW.format(k="User", v="Yes"))
     script = "import sys; from pyspark import cloudpickle; f, a = cloudpickle.loads(sys.stdin.buffer.read()); print(f(*a))"
@@ -208,6 +281,22 @@ def test_overlay_of_a_document_over_itself_changes_nothing(spark):
         assert _merge(spark, document, document, policy) == document
 
 
+def test_overlay_keeps_numbers_and_strings_that_look_like_marks(spark):
+    def merged(parent, child, policy):
+        df = spark.createDataFrame([(parent, child)], "p string, c string")
+        return merge_overlay(df, "p", "c", "m", policy).first().m
+
+    assert merged('{"l": [1]}', '{"l": [1.0, 1]}', 2) == '{"l":[1,1.0]}'
+    long = "1" * 50
+    assert merged(f'{{"a": {long}, "b": -1.50e+3}}', '{"c": 0.10}', 1) == f'{{"a":{long},"b":-1.50e+3,"c":0.10}}'
+    assert merged('{"a": 1}', '{"merge_type": 0.0, "a": 2}', 1) == '{"a":1}'
+    odd = ["\x01", "\x01n5", 'a"\x01n5', 'a"\x01s', "\x01s1", "\\\\\"7", 'x\\', "12", 12]
+    assert _merge(spark, {"k": odd}, {"\x01n1": odd, 'q"2': 3}) == {"k": odd, "\x01n1": odd, 'q"2': 3}
+    assert _merge(spark, {"k": '\\"' * 20_000}, {"j": 1}) == {"k": '\\"' * 20_000, "j": 1}
+    with pytest.raises(Exception, match="(?i)malformed"):
+        merged('{"a": 01}', "{}", 1)
+
+
 def test_first_rule_wins(spark):
     df = spark.createDataFrame([("Shop Prepare STORE",), ("store",), ("x",), (None,)], "n string")
     keywords = {"prepare": "Notebook", "Store": "Lakehouse"}
@@ -278,6 +367,15 @@ def test_dag_cycle_is_an_error(spark, edges):
         dag.dag_levels(_activities(spark, edges))
 
 
+def test_dag_rounds_write_each_activity_once(spark):
+    chain = spark.createDataFrame([(f"a{i}", [f"a{i - 1}"] if i else []) for i in range(40)], "name string, dependencies array<string>")
+    before = set(os.listdir(scratch_root(spark)))
+    levels = {r.name: r.level for r in dag.dag_levels(chain).collect()}
+    assert levels == {f"a{i}": i for i in range(40)}
+    rounds = [d for d in os.listdir(scratch_root(spark)) if d.startswith("dag-rounds") and d not in before]
+    assert spark.read.parquet(f"{scratch_root(spark)}/{rounds[0]}").count() == 39
+
+
 def test_dag_without_activities(spark):
     assert dag.dag_levels(_activities(spark, {"a": []}).where("name = 'z'")).count() == 0
 
@@ -368,3 +466,5 @@ def test_assign_icons(spark):
         "Shop Ingest prd": ("Pipelines", None),
         "Shop": (None, None),
     }
+    reset = assign_icons(names, "name", {"prepare": "", "store": "Lakehouse"}, entries, {"dev": "#1"})
+    assert {r.name: r.icon for r in reset.collect()}["Shop Prepare [DEV]"] == ""

@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 from layerwright import sinks, sources
 from layerwright.operators.metadata import METADATA_TABLES, Entity, create_metadata_tables, read_entities
 from layerwright.plans import curated, ingest, landing, parallel
-from layerwright.session import scratch_path
-from layerwright.sinks import tables
+from layerwright.session import clear_scratch, hadoop_path, scratch_path, scratch_root, stage, stage_counted
+from layerwright.sinks import files, tables
 from layerwright.sources import jdbc
 
 RUN_TIME = datetime(2024, 2, 29, 23, 30, tzinfo=timezone(timedelta(hours=-2)))
@@ -157,6 +157,9 @@ def test_jdbc_options_split_the_extract():
         "partitionColumn": "id", "lowerBound": "1", "upperBound": "100", "numPartitions": "4",
     }
     assert jdbc.query_options(connection, "SELECT 1")["query"] == "SELECT 1"
+    cut = jdbc.query_options(connection, "SELECT id FROM t", jdbc.ReadRanges("id", 1, 100, 4))
+    assert "query" not in cut and cut["dbtable"] == "(SELECT id FROM t) AS extract_query"
+    assert (cut["partitionColumn"], cut["numPartitions"]) == ("id", "4")
     with pytest.raises(ValueError):
         jdbc.qualified_name("dbo", "x; DROP TABLE y")
 
@@ -280,3 +283,60 @@ def test_overwrite_that_fails_leaves_the_old_rows(spark, monkeypatch, failing):
     assert spark.table(f"{base}.t").count() == 3
     assert [t.name for t in spark.catalog.listTables(base) if not t.isTemporary] == ["t"]
     spark.sql(f"DROP DATABASE {base} CASCADE")
+
+
+def test_overwrite_keeps_what_the_table_says_of_itself(spark, database):
+    name = f"{database}.t"
+    spark.sql(
+        f"CREATE TABLE {name} (a BIGINT COMMENT 'the \\'a\\'', d INT DEFAULT 7, p STRING) USING parquet PARTITIONED BY (p) "
+        "COMMENT 'it\\'s' TBLPROPERTIES ('owner.team' = 'x\\'y')"
+    )
+    for n in (3, 5):
+        rows = spark.range(n).selectExpr("id AS a", "IF(id % 2 = 0, 'even', 'odd') AS p", "id * 2 AS extra")
+        tables.write_overwrite(rows, database, "t", add_id=False)
+    kept = {r.a: (r.d, r.p, r.extra) for r in spark.table(name).collect()}
+    assert kept == {i: (None, "odd" if i % 2 else "even", 2 * i) for i in range(5)}
+    assert spark.table(name).where("p = 'odd'").count() == 2
+    columns = {c.name: c for c in spark.catalog.listColumns(name)}
+    assert columns["p"].isPartition and columns["a"].description == "the 'a'"
+    assert spark.catalog.getTable(name).description == "it's"
+    assert {r.key: r.value for r in spark.sql(f"SHOW TBLPROPERTIES {name}").collect()}["owner.team"] == "x'y"
+    spark.sql(f"INSERT INTO {name} (a, p) VALUES (9, 'odd')")
+    assert spark.table(name).where("a = 9").first().d == 7
+
+
+@pytest.mark.parametrize("failing", [None, 0, 1, 2])
+def test_path_overwrite_swaps_complete_folders(spark, tmp_path, monkeypatch, failing):
+    path = str(tmp_path / "rows")
+    files.write_path_overwrite(spark.range(3), path)
+    move, calls = files._move, []
+
+    def sometimes(*names):
+        calls.append(names)
+        if len(calls) == failing:
+            raise OSError("stopped")
+        move(*names)
+
+    monkeypatch.setattr(files, "_move", sometimes)
+    if failing is None:
+        files.write_path_overwrite(spark.read.parquet(path).union(spark.range(2)), path)
+        assert spark.read.parquet(path).count() == 5
+    else:
+        rows = spark.range(5).selectExpr("IF(id = 4, raise_error('stopped'), id) AS id") if failing == 0 else spark.range(5)
+        with pytest.raises(Exception, match="stopped"):
+            files.write_path_overwrite(rows, path)
+        assert spark.read.parquet(path).count() == 3
+    assert [p.name for p in tmp_path.iterdir()] == ["rows"]
+
+
+def test_scratch_goes_away(spark, monkeypatch, tmp_path):
+    monkeypatch.setattr("layerwright.session.scratch_dir", lambda spark: str(tmp_path))
+    staged, rows = stage_counted(spark.range(10), "a")
+    other = stage(staged.where("id > 100"), "b")
+    assert rows == 10 and staged.count() == 10 and other.count() == 0
+    assert stage_counted(other, "c")[1] == 0
+    assert len(list((tmp_path / "layerwright").rglob("*.parquet"))) >= 2
+    clear_scratch(spark)
+    files_of, root = hadoop_path(spark, scratch_root(spark))
+    assert not files_of.exists(root) and not list(tmp_path.rglob("*.parquet"))
+    assert stage(spark.range(4), "d").count() == 4
