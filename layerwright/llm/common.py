@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import string
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
@@ -51,3 +53,15 @@ def uniform(*values: Column) -> Column:
 def small_batches(spark: SparkSession, rows: int = 256) -> None:
     """Hand Python workers few rows at a time: one text may have a hundred thousand characters."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+
+
+@contextmanager
+def batch_bytes(spark: SparkSession, size: str) -> Iterator[None]:
+    """Within the block, what runs hands Python workers batches of at most ``size`` bytes (or one row); afterwards as before."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, size)
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)

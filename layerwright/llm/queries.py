@@ -9,13 +9,16 @@ import corpus_pipeline
 from layerwright.llm.chat import chat_digests, format_chats
 from layerwright.llm.decontaminate import contaminated_pairs
 from layerwright.llm.exact_dedup import exact_dedup
+from layerwright.llm.html_text import extract_main_text
 from layerwright.llm.mixing import mix_sources
 from layerwright.llm.near_dedup import near_dedup
+from layerwright.llm.phrases import mine_phrases
 from layerwright.llm.quality import score_quality
 from layerwright.llm.sharding import shard_documents
 from layerwright.llm.token_counts import token_counts
 from layerwright.llm.toxicity import score_toxicity
 from layerwright.llm.warc import archive_pages
+from layerwright.llm.whitening import whiten
 from registered import Registry
 
 registry = Registry()
@@ -157,6 +160,63 @@ def op10_toxicity(spark, sf_dir):
     return score_toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+# What the contract says of a page that declares its article with one element, as all of the table do. chr(1) stands for
+# a decoded ampersand, so that what follows it is not decoded a second time.
+@registry.query(
+    r"""
+    WITH a AS (
+        SELECT page_id, url, regexp_replace(regexp_replace(regexp_extract(coalesce(html, ''), '<article>(.*)</article>', 1, 's'),
+            '</?b>', '', 'g'), '<[^>]*>', ' ', 'g') AS body FROM pages
+    ), t AS (
+        SELECT page_id, url, trim(regexp_replace(replace(regexp_replace(replace(body, '&quot;', '"'), '&amp;?', chr(1), 'g'),
+            chr(1), '&'), '\s+', ' ', 'g')) AS text FROM a
+    )
+    SELECT page_id, url, text, CAST(length(text) AS BIGINT) AS n_chars FROM t
+    """
+)
+def op11_html_text(spark, sf_dir):
+    return extract_main_text(_table(spark, sf_dir, "pages"))
+
+
+@registry.query(
+    r"""
+    WITH pieces AS (
+        SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(translate(coalesce(text, ''),
+            'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?
+-
+]')) AS piece FROM documents
+    ), w AS (
+        SELECT lang, list_filter(string_split_regex(piece, '[ 	]+'), lambda x: x <> '') AS w FROM pieces
+    ), grams AS (
+        SELECT lang, size, unnest(list_transform(range(1, CAST(len(w) - size + 2 AS BIGINT)), lambda i: w[i : i + size - 1])) AS g
+        FROM w, (SELECT unnest(range(1, 5)) AS size) WHERE len(w) >= size
+    ), f AS (SELECT lang, size, g, count(*) AS f FROM grams GROUP BY lang, size, g),
+    totals AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM f WHERE size = 1 GROUP BY lang),
+    c AS (SELECT lang, size, g, f AS a FROM f WHERE size > 1 AND f >= 30),
+    inner_parts AS (
+        SELECT lang, a, unnest(flatten(list_transform(range(2, size), lambda n:
+            list_transform(range(1, CAST(size - n + 2 AS BIGINT)), lambda i: g[i : i + n - 1])))) AS g FROM c
+    ), longest AS (SELECT lang, g, max(a) AS longest FROM inner_parts GROUP BY lang, g),
+    kept AS (SELECT c.* FROM c LEFT JOIN longest USING (lang, g) WHERE longest IS NULL OR 100 * longest < 80 * a),
+    cuts AS (SELECT *, unnest(range(1, size)) AS k FROM kept),
+    scored AS (
+        SELECT cuts.lang, cuts.g, a, k, x.f AS l, y.f AS r, CAST(CAST(2000000 AS HUGEINT) * a // (x.f + y.f) AS BIGINT) AS score
+        FROM cuts JOIN f x ON x.lang = cuts.lang AND x.g = cuts.g[1 : k] JOIN f y ON y.lang = cuts.lang AND y.g = cuts.g[k + 1 : cuts.size]
+    ), lowest AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, g ORDER BY score, k) = 1),
+    named AS (SELECT lang, array_to_string(g, ' ') AS phrase, a, l, r, score FROM lowest)
+    SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+    FROM named JOIN totals USING (lang) QUALIFY rank <= 2000
+    """
+)
+def op12_phrases(spark, sf_dir):
+    return mine_phrases(_table(spark, sf_dir, "documents"))
+
+
+@registry.query()
+def op13_whitening(spark, sf_dir):
+    return whiten(_table(spark, sf_dir, "embeddings"))
+
+
 @registry.query(corpus_pipeline.ORACLE_SQL)
 def pipeline(spark, sf_dir):
     return corpus_pipeline.run(spark, sf_dir)
