@@ -58,6 +58,7 @@ _TOKEN = re.compile(
     r"(?P<attrs>[^>=]*+(?:=\s*+(?:\"[^\"]*+\"|'[^']*+'|[^\s>\"'][^\s>]*+)?+[^>=]*+)*+)(?:>|\Z))"
 )
 _ATTR = re.compile(r"([^\s=/>\"']+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))|([^\s=/>\"']+)")
+_DIGITS = re.compile(r"\d+")
 _WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 _RAW_END = {tag: re.compile(rf"</{tag}(?=[\s/>]|\Z)", re.I) for tag in RAW}
 
@@ -128,7 +129,7 @@ class Tree:
 class Run:
     """A run of text within a block."""
 
-    node: int
+    node: int  # -1 if marked
     text: str
     marked: bool  # by its elements no part of the article
     declared: bool  # inside an element that says it is the article
@@ -149,7 +150,7 @@ class _Open:
 
 
 class Page:
-    """The tree of a page and its runs of text."""
+    """The tree of a page and its runs of text. What its elements say is no part of the article is not in the tree."""
 
     def __init__(self, html: str):
         self.tree = Tree()
@@ -169,26 +170,28 @@ class Page:
             if m is None:
                 self._text(html[at:])
                 return
-            self._text(html[at : m.start()])
+            if m.start() > at:
+                self._text(html[at : m.start()])
             at = m.end()
-            if m.group("comment") is not None:
+            comment, decl, end, tag, attrs = m.groups()
+            if comment is not None:
                 stop = html.find("-->", max(m.start() + 2, at - 2))
                 at = len(html) if stop < 0 else stop + 3
-            elif m.group("decl"):
+            elif decl:
                 cdata = html.startswith("[CDATA[", at)
                 stop = html.find("]]>" if cdata else ">", at)
                 at = len(html) if stop < 0 else stop + (3 if cdata else 1)
-            elif m.group("end"):
-                self._close(m.group("tag").lower())
+            elif end:
+                self._close(tag.lower())
             else:
-                tag = m.group("tag").lower()
+                tag = tag.lower()
                 if tag in RAW:
                     # Their text is none of the page's.
-                    if not m.group("attrs").rstrip().endswith("/"):
+                    if not attrs.rstrip().endswith("/"):
                         end = _RAW_END[tag].search(html, at)
                         at = len(html) if end is None else end.start()
                     continue
-                self._start(tag, m.group("attrs"))
+                self._start(tag, attrs)
 
     def _text(self, text: str) -> None:
         if text:
@@ -200,10 +203,12 @@ class Page:
                 self._linked += len(text)
 
     def _flush(self) -> None:
+        if not self._buffer:
+            return
         text = " ".join("".join(self._buffer).split())
         if text:
             top = self._stack[-1]
-            node = self.tree.add("#", top.node, digest(text))
+            node = -1 if top.marked else self.tree.add("#", top.node, digest(text))
             self.runs.append(Run(node, text, top.marked, top.declared, top.main, min(self._linked, len(text))))
         self._buffer.clear()
         self._linked = 0
@@ -254,9 +259,11 @@ class Page:
         if (article or main) and not firm and not marks:
             marked = False
         node = top.node
-        if block:
-            label = re.sub(r"\d+", "0", " ".join([tag, attrs.get("class", ""), attrs.get("id", "")]))
-            node = self.tree.add(" ".join(label.split()), top.node)
+        if block and not marked:
+            label = tag
+            if attrs:
+                label = " ".join(_DIGITS.sub("0", f"{tag} {attrs.get('class', '')} {attrs.get('id', '')}").split())
+            node = self.tree.add(label, top.node)
         self._stack.append(
             _Open(
                 tag,
@@ -359,10 +366,10 @@ class Matcher:
         return self._sizes[a, b]
 
     def _weights(self, left: tuple, right: tuple) -> np.ndarray:
-        rows, row = np.unique(left, return_inverse=True)
-        columns, column = np.unique(right, return_inverse=True)
-        grid = np.array([[self._size(int(a), int(b)) for b in columns] for a in rows], float)
-        return grid[row][:, column]
+        rows = {a: i for i, a in enumerate(dict.fromkeys(left))}
+        columns = {b: i for i, b in enumerate(dict.fromkeys(right))}
+        grid = np.array([[self._size(a, b) for b in columns] for a in rows], float)
+        return grid[[rows[a] for a in left]][:, [columns[b] for b in right]]
 
     @staticmethod
     def _table(weights: np.ndarray) -> np.ndarray:
@@ -389,6 +396,10 @@ class Matcher:
                 left, right = left[:-1], right[:-1]
             if not left or not right:
                 continue
+            if len(left) == 1 and len(right) == 1:
+                if self._size(shape[left[0]], seed_shape[right[0]]):
+                    pairs.append((left[0], right[0]))
+                continue
             weights = self._weights(tuple(shape[c] for c in left), tuple(seed_shape[c] for c in right))
             same = np.array([whole[c] for c in left])[:, None] == np.array([seed_whole[c] for c in right])
             # Less than a node in all, so it only decides between equals.
