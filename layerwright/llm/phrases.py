@@ -28,10 +28,10 @@ MINIMUM = 30
 TOP = 2000
 SEPARATORS = ".,;:!?\n\x0b\x0c\r"
 # Text of a chunk; a text of more is cut at ends of pieces, where no phrase passes.
-CHUNK_BYTES = 4 << 20
-# n-grams a task holds before it adds them up, and entries a block has at most if none repeats.
-HELD = 1 << 22
-BLOCK_ENTRIES = 1 << 21
+CHUNK_BYTES = 8 << 20
+# Distinct n-grams of chunks that a task holds before it adds them up, and entries a block has at most if none repeats.
+HELD = 1 << 21
+BLOCK_ENTRIES = 1 << 20
 # The bitmap of frequent parts: so many bits an entry, up to 32 MB, beyond which it lets more n-grams pass and counts stay right.
 BITS_AN_ENTRY = 12
 MOST_BITS = 28
@@ -190,9 +190,9 @@ def _count_ngrams(chunks: DataFrame, packing: Packing, tokens: int, minimum: int
                     good = _passes(parts, shorter, ids)
                     keep &= good[:-1] & good[1:]
                 at = np.flatnonzero(keep)
-                left, right = packing.permute(*packing.pack([x[at] for x in run]))
-                held.append((left, right, np.ones(len(left), np.int64)))
-                size += len(left)
+                entries = counted(packing.half, *packing.permute(*packing.pack([x[at] for x in run])))
+                held.append(entries)
+                size += len(entries[0])
                 if size >= HELD:
                     entries = added_up()
                     held, size = [entries], len(entries[0])
