@@ -293,8 +293,44 @@ def test_overlay_keeps_numbers_and_strings_that_look_like_marks(spark):
     odd = ["\x01", "\x01n5", 'a"\x01n5', 'a"\x01s', "\x01s1", "\\\\\"7", 'x\\', "12", 12]
     assert _merge(spark, {"k": odd}, {"\x01n1": odd, 'q"2': 3}) == {"k": odd, "\x01n1": odd, 'q"2': 3}
     assert _merge(spark, {"k": '\\"' * 20_000}, {"j": 1}) == {"k": '\\"' * 20_000, "j": 1}
-    with pytest.raises(Exception, match="(?i)malformed"):
-        merged('{"a": 01}', "{}", 1)
+    assert merged('{"l": [1.50, {"a": 1, "b": 2}]}', '{"l": [1.5, {"b": 2, "a": 1}, 2]}', 2) == '{"l":[1.5,{"b":2,"a":1},2]}'
+    for broken in ('{"a": 01}', "{1: 2}", '{"a": NaN}', '{"a": 1 2}', "[1,]", '{"a": "\n"}', "", "{"):
+        with pytest.raises(Exception, match="(?i)malformed"):
+            merged(broken, "{}", 1)
+
+
+def test_overlay_directives_and_odd_keys(spark):
+    def merged(parent, child, policy=1):
+        df = spark.createDataFrame([(parent, child)], "`p.x` string, c string")
+        return merge_overlay(df, "p.x", "c", "m", policy).first().m
+
+    assert merged('{"b": 1, "a": 2}', '{"c": 3, "a": 4}') == '{"b":1,"a":4,"c":3}'
+    assert merged('{"a": 1, "a": 2}', '{"b": 1, "b": 3}') == '{"a":2,"b":3}'
+    assert merged('{"a": 1}', '{"merge_type": false, "a": 2}') == '{"a":1}'
+    assert merged('{"a": 1}', '{"merge_type": "0", "a": 2}') == '{"a":2}'
+    assert merged('{"a": 1}', '{"merge_type": null, "a": 2}', 0) == '{"a":2}'
+    assert merged(None, '{"a": 2}') == '{"a":2}' and merged('{"a": 2}', None) == "null" and merged(None, "1", 0) == "null"
+    assert merged('{"a": "\\ud800é\\u001f"}', "{}") == '{"a":"\\ud800\\u00e9\\u001f"}'
+
+
+@pytest.mark.parametrize("depth", [16, 200, 2000])
+def test_overlay_of_deep_documents(spark, depth):
+    def nested(inner, wrap="{{\"k\":{}}}"):
+        for _ in range(depth):
+            inner = wrap.format(inner)
+        return inner
+
+    shallow = [('{"a":1}', '{"b":2}')] * 1000
+    rows = [*shallow, (nested('{"a":1}'), nested('{"b":2}')), (nested("1", "[{}]"), nested("2", "[{}]")), *shallow]
+    df = spark.createDataFrame(rows, "p string, c string")
+    found = [r.m for r in merge_overlay(df, "p", "c", "m").collect()]
+    assert found == ['{"a":1,"b":2}'] * 1000 + [nested('{"a":1,"b":2}'), nested("2", "[{}]")] + ['{"a":1,"b":2}'] * 1000
+
+
+def test_overlay_refuses_what_it_cannot_read(spark):
+    deep = "[" * 200_000 + "]" * 200_000
+    with pytest.raises(Exception, match="nested deeper"):
+        merge_overlay(spark.createDataFrame([(deep, "{}")], "p string, c string"), "p", "c", "m").collect()
 
 
 def test_first_rule_wins(spark):
