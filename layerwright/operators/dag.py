@@ -2,12 +2,23 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import sys
+from collections import Counter, defaultdict
+
+import pandas as pd
+from pyspark import cloudpickle
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from layerwright.session import scratch_path, stage, stage_counted
 
+# Executors get the count-down with the query; they need not have this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+# Edges between activities that one task may hold: some ten megabytes of names.
+EDGES_A_TASK = 200_000
 _SETTLED = "name string, level int"
+_CYCLE = "the activities wait for each other in a cycle"
 
 
 def dag_edges(activities: DataFrame) -> DataFrame:
@@ -24,42 +35,73 @@ def dag_dangling(activities: DataFrame) -> DataFrame:
 def dag_levels(activities: DataFrame) -> DataFrame:
     """``name, level``: 0 for an activity that waits for nothing, else one more than the highest it waits for.
 
-    Only activities others wait for are taken in rounds, one per level. A round
-    looks at what waits for the activities settled last, and settles those that
-    wait for nothing else; each is written once, to the folder of its level. The
-    levels of all others, as of everything, then come from one join of the edges
-    with the settled levels.
+    Only edges between activities others wait for are walked; the levels of all
+    others, as of everything, then come from one join of the edges with the
+    levels found. Up to ``EDGES_A_TASK`` such edges are settled by one task that
+    counts down what each activity still waits for, so it reads an edge once however
+    long the chains are. More of them are first settled level by level; a round reads and
+    writes the edges still open, until so few are left.
     Dependencies that name no activity are left out; a cycle is an error.
     """
-    spark = activities.sparkSession
     staged = stage(activities.select("name", "dependencies"), "dag")
     names = staged.select("name").distinct()
     known = staged.select(F.col("name").alias("dependency"))
     edges = stage(dag_edges(staged).join(known, "dependency", "left_semi").distinct(), "dag-edges")
-
-    awaited, most = stage_counted(edges.select(F.col("dependency").alias("name")).distinct(), "dag-awaited")
-    inner = stage(edges.join(awaited, "name", "left_semi"), "dag-inner")
-    levels = _settle(awaited, most, inner, scratch_path(spark, "dag-rounds"))
+    inner, walked = stage_counted(edges.join(edges.select(F.col("dependency").alias("name")), "name", "left_semi"), "dag-inner")
+    levels = _walk(inner, walked)
+    # What is waited for and does not itself wait has level 0 and is not in ``levels``.
     highest = (
-        edges.join(levels.withColumnRenamed("name", "dependency"), "dependency")
+        edges.join(levels.withColumnRenamed("name", "dependency"), "dependency", "left")
         .groupBy("name")
-        .agg((F.max("level") + 1).alias("level"))
+        .agg((F.max(F.coalesce("level", F.lit(0))) + 1).alias("level"))
     )
     return names.join(highest, "name", "left").select("name", F.coalesce("level", F.lit(0)).alias("level"))
 
 
-def _settle(names: DataFrame, most: int, edges: DataFrame, rounds: str) -> DataFrame:
-    """``name, level`` of the ``most`` rows of ``names``, whose dependencies are ``edges`` among themselves."""
-    spark = names.sparkSession
-    last, found = stage_counted(names.join(edges, "name", "left_anti"), path=f"{rounds}/level=0")
-    level, settled = 0, found
-    while settled < most:
-        if not found:
-            raise ValueError("the activities wait for each other in a cycle")
-        done = spark.read.schema(names.schema).parquet(rounds).withColumnRenamed("name", "dependency")
-        met = edges.join(last.withColumnRenamed("name", "dependency"), "dependency", "left_semi").select("name").distinct()
-        unmet = edges.join(met, "name", "left_semi").join(done, "dependency", "left_anti").select("name")
+def _walk(edges: DataFrame, left: int) -> DataFrame:
+    """``name, level`` of all ``name`` in the ``left`` edges; a dependency that is no ``name`` has level 0."""
+    spark, columns = edges.sparkSession, edges.columns
+    rounds, level = scratch_path(spark, "dag-rounds"), 0
+    while left > EDGES_A_TASK:
         level += 1
-        last, found = stage_counted(met.join(unmet, "name", "left_anti"), path=f"{rounds}/level={level}")
-        settled += found
-    return spark.read.schema(_SETTLED).parquet(rounds)
+        names = edges.select("name").distinct()
+        blocked = edges.join(names.withColumnRenamed("name", "dependency"), "dependency", "left_semi").select("name")
+        ready, found = stage_counted(names.join(blocked, "name", "left_anti"), path=f"{rounds}/level={level}")
+        if not found:
+            raise ValueError(_CYCLE)
+        edges, left = stage_counted(edges.join(ready, "name", "left_anti").select(*columns), "dag-open")
+    settled = spark.read.schema(_SETTLED).parquet(rounds) if level else spark.createDataFrame([], _SETTLED)
+    if not left:
+        return settled
+    reached = settled.withColumnsRenamed({"name": "dependency", "level": "reached"})
+    based = edges.join(reached, "dependency", "left") if level else edges.withColumn("reached", F.lit(None).cast("int"))
+    rest, unsettled = Observation(), F.count_if(F.col("level").isNull())
+    counted = based.withColumn("__all", F.lit(0)).groupBy("__all").applyInPandas(_count_down, _SETTLED).observe(rest, unsettled.alias("unsettled"))
+    last = stage(counted, "dag-rest")
+    if rest.get["unsettled"]:
+        raise ValueError(_CYCLE)
+    return settled.unionByName(last) if level else last
+
+
+def _count_down(edges: pd.DataFrame) -> pd.DataFrame:
+    """The level of every ``name``, null for those in or behind a cycle. ``reached``: the level of a dependency that is settled already."""
+    waiting, level, followers = Counter(edges.name), dict.fromkeys(edges.name, 0), defaultdict(list)
+    ready = []
+
+    def settle(name: str, at: int) -> None:
+        level[name] = max(level[name], at + 1)
+        waiting[name] -= 1
+        if not waiting[name]:
+            ready.append(name)
+
+    for name, dependency, reached in zip(edges.name, edges.dependency, edges.reached):
+        if dependency in level:
+            followers[dependency].append(name)
+        else:
+            settle(name, 0 if pd.isna(reached) else int(reached))
+    while ready:
+        done = ready.pop()
+        for name in followers[done]:
+            settle(name, level[done])
+    found = [None if waiting[name] else at for name, at in level.items()]
+    return pd.DataFrame({"name": list(level), "level": pd.array(found, dtype="Int32")})

@@ -403,13 +403,44 @@ def test_dag_cycle_is_an_error(spark, edges):
         dag.dag_levels(_activities(spark, edges))
 
 
-def test_dag_rounds_write_each_activity_once(spark):
-    chain = spark.createDataFrame([(f"a{i}", [f"a{i - 1}"] if i else []) for i in range(40)], "name string, dependencies array<string>")
+def _levels(edges):
+    """Levels by going over all edges until nothing changes."""
+    level = dict.fromkeys(edges, 0)
+    for _ in edges:
+        for name, waits in edges.items():
+            level[name] = max([level[name], *(level[w] + 1 for w in waits if w in level)])
+    return level
+
+
+@pytest.mark.parametrize("edges_a_task", [0, 5, 200_000])
+def test_dag_levels_against_relaxation(spark, edges_a_task, monkeypatch):
+    monkeypatch.setattr(dag, "EDGES_A_TASK", edges_a_task)
+    names = [f"a{i * 7 % 23}" for i in range(23)]
+    edges = {n: [names[j] for j in range(i) if (i * j) % 5 == 1 or j == i - 4] + ["gone"] * (i % 3 == 0) for i, n in enumerate(names)}
+    edges |= {f"c{i}": [f"c{i - 1}"] if i else [] for i in range(6)}
+    assert {r.name: r.level for r in dag.dag_levels(_activities(spark, edges)).collect()} == _levels(edges)
+    with pytest.raises(ValueError, match="cycle"):
+        dag.dag_levels(_activities(spark, edges | {"x": ["z", "c2"], "y": ["x"], "z": ["y"], "w": ["z"]}))
+
+
+def test_dag_rounds_write_each_activity_once(spark, monkeypatch):
+    monkeypatch.setattr(dag, "EDGES_A_TASK", 0)
+    chain = {f"a{i}": [f"a{i - 1}"] if i else [] for i in range(12)}
     before = set(os.listdir(scratch_root(spark)))
-    levels = {r.name: r.level for r in dag.dag_levels(chain).collect()}
-    assert levels == {f"a{i}": i for i in range(40)}
+    levels = {r.name: r.level for r in dag.dag_levels(_activities(spark, chain)).collect()}
+    assert levels == {f"a{i}": i for i in range(12)}
     rounds = [d for d in os.listdir(scratch_root(spark)) if d.startswith("dag-rounds") and d not in before]
-    assert spark.read.parquet(f"{scratch_root(spark)}/{rounds[0]}").count() == 39
+    # The first waits for nothing and the last is not waited for.
+    assert spark.read.parquet(f"{scratch_root(spark)}/{rounds[0]}").count() == 10
+
+
+def test_dag_of_long_chains_reads_an_edge_once(spark, monkeypatch):
+    chain = {f"a{i}": [f"a{i - 1}"] if i else [] for i in range(2000)}
+    before = set(os.listdir(scratch_root(spark)))
+    levels = {r.name: r.level for r in dag.dag_levels(_activities(spark, chain)).collect()}
+    assert levels == {f"a{i}": i for i in range(2000)}
+    new = {d.rsplit("-", 1)[0] for d in os.listdir(scratch_root(spark)) if d not in before}
+    assert "dag-rest" in new and not new & {"dag-rounds", "dag-open"}
 
 
 def test_dag_without_activities(spark):
