@@ -3,13 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
-from itertools import groupby
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from layerwright.operators.dag import dag_dangling, dag_levels
 from layerwright.plans import star
-from layerwright.plans.parallel import LOADS_AT_ONCE, side_by_side
+from layerwright.plans.parallel import LOADS_AT_ONCE, as_ready, levels_of
 from layerwright.sinks.tables import load_dimension, load_fact
 
 
@@ -34,21 +33,23 @@ def star_loads(spark: SparkSession, base: str = "Base", curated: str = "Curated"
 def base_to_curated(
     activities: DataFrame, loads: Mapping[str, Callable[[], None]], at_once: int = LOADS_AT_ONCE
 ) -> list[str]:
-    """Run the load of each activity, those it waits for first. Returns the activities by level and name.
+    """Run the load of each activity as soon as all it waits for have ended. Returns the activities by level and name.
 
-    The activities of a level run side by side, up to ``at_once``; after the
-    first error no other starts. A dependency that is no activity, a cycle, or an activity without a load
-    stops everything before the first write.
+    Up to ``at_once`` run side by side; after the first error no other starts. A dependency that is no activity, a
+    cycle, or an activity without a load stops everything before the first write.
     """
-    missing = dag_dangling(activities).orderBy("name", "dependency").limit(1).take(1)
+    # One row per load of the solution: a work list for the driver, brought there by one job.
+    listed = activities.select("name", F.coalesce("dependencies", F.array().cast("array<string>")).alias("dependencies"))
+    waits: dict[str, set[str]] = {}
+    for row in listed.toLocalIterator():
+        waits.setdefault(row.name, set()).update(row.dependencies)
+    missing = sorted((name, other) for name, others in waits.items() for other in others - waits.keys())
     if missing:
-        raise ValueError(f"{missing[0].name} waits for {missing[0].dependency}, which is no activity")
-    # One row per load of the solution: a work list for the driver.
-    levels = [(row.level, row.name) for row in dag_levels(activities).orderBy("level", "name").toLocalIterator()]
-    order = [name for _, name in levels]
+        raise ValueError(f"{missing[0][0]} waits for {missing[0][1]}, which is no activity")
+    levels = levels_of(waits)
+    order = sorted(waits, key=lambda name: (levels[name], name))
     unknown = [name for name in order if name not in loads]
     if unknown:
         raise ValueError(f"no load for {', '.join(unknown)}")
-    for _, level in groupby(levels, key=lambda activity: activity[0]):
-        side_by_side(activities.sparkSession, [loads[name] for _, name in level], at_once)
+    as_ready(activities.sparkSession, {name: waits[name] for name in order}, loads, at_once)
     return order

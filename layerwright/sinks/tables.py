@@ -11,6 +11,12 @@ from pyspark.sql import types as T
 
 from layerwright.operators.keys import ID_COLUMN, add_surrogate_id
 from layerwright.operators.projection import project_columns
+from layerwright.session import hadoop_path
+
+# Folders of a table's rows stand in one of this name beside the table's own folder; readers of the folder above skip it.
+_SNAPSHOTS = "_snapshots_"
+# The table property that names the folder of the rows before the present ones.
+_BEFORE = "layerwright.rows_before"
 
 
 def keep_columns_of(df: DataFrame, target: T.StructType) -> DataFrame:
@@ -43,46 +49,124 @@ def write_overwrite(
     """Replace the rows of a table. Columns it already has stay, new ones are added.
 
     The generated id, if asked for and not there yet, is the first column. The
-    rows are written beside the table and take its place when they are complete:
-    a load that fails, in the write or in either rename, leaves the old table
-    under its name and nothing else, and rows may come from the table itself.
-    Partitioning, comments, defaults and properties of the old table stay.
+    rows are written to a folder of their own, a snapshot beside the table's, and then the
+    catalog is told of it in one step: readers meet the old rows or the new ones and never
+    none, nothing is renamed or copied, a load that fails leaves the old rows, and rows may come
+    from the table itself. The snapshot before stays until the next load, for those
+    who still read it. A managed table stays managed and an external one external;
+    comments, defaults and properties stay. Tables that are partitioned, bucketed or not Parquet, where the
+    catalog knows more than a folder, are filled anew beside the old one and swapped by name.
     """
     spark = df.sparkSession
     rows = project_columns(df, columns)
     if add_id and ID_COLUMN not in df.columns:
         rows = add_surrogate_id(rows)
     name = f"{database}.{table}"
-    replaced = spark.catalog.tableExists(name)
+    if not spark.catalog.tableExists(name):
+        _create(rows, name, f"{_described(spark, f'DATABASE {database}')['Location'].rstrip('/')}/{_SNAPSHOTS}{table.lower()}")
+        return
+    rows = keep_columns_of(rows, spark.table(name).schema)
+    facts = _described(spark, f"TABLE {name}")
+    if facts["Provider"].lower() == "parquet" and "# Partition Information" not in facts and "Bucket Columns" not in facts:
+        _point_at_new_rows(rows, name, facts)
+    else:
+        _swap(rows, name, facts)
+
+
+def _described(spark: SparkSession, what: str) -> dict[str, str]:
+    """What the catalog says of a table or database, by name."""
+    rows = spark.sql(f"DESCRIBE {what.replace(' ', ' EXTENDED ', 1)}").toLocalIterator()
+    return {row[0]: row[1] or "" for row in rows}
+
+
+def _snapshot_beside(location: str) -> str:
+    """A folder nobody has used, in the snapshots' folder of the table that lies at ``location``."""
+    above, folder = location.rsplit("/", 1)
+    snapshots = above if above.rsplit("/", 1)[-1].startswith(_SNAPSHOTS) else f"{above}/{_SNAPSHOTS}{folder}"
+    return f"{snapshots}/{uuid.uuid4().hex}"
+
+
+def _create(rows: DataFrame, name: str, snapshots: str) -> None:
+    spark = rows.sparkSession
+    snapshot = f"{snapshots}/{uuid.uuid4().hex}"
+    made = False
+    try:
+        rows.write.parquet(snapshot)
+        spark.catalog.createTable(name, source="parquet", schema=rows.schema)
+        made = True
+        _point(spark, name, snapshot)
+    except Exception:
+        if made:
+            spark.sql(f"DROP TABLE {name}")
+        _delete(spark, snapshot)
+        raise
+
+
+def _point_at_new_rows(rows: DataFrame, name: str, facts: dict[str, str]) -> None:
+    spark, old = rows.sparkSession, facts["Location"].rstrip("/")
+    snapshot = _snapshot_beside(old)
+    try:
+        rows.write.parquet(snapshot)
+        _add_columns(spark, name, rows.schema)
+        _point(spark, name, snapshot)
+    except Exception:
+        _delete(spark, snapshot)
+        raise
+    properties = {row.key: row.value for row in spark.sql(f"SHOW TBLPROPERTIES {name}").toLocalIterator()}
+    before = properties.get(_BEFORE)
+    if before and before not in (old, snapshot):
+        _delete(spark, before)
+    spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ('{_BEFORE}' = {_quoted(old)})")
+
+
+def _point(spark: SparkSession, name: str, folder: str) -> None:
+    spark.sql(f"ALTER TABLE {name} SET LOCATION {_quoted(folder)}")
+
+
+def _delete(spark: SparkSession, folder: str) -> None:
+    files, place = hadoop_path(spark, folder)
+    files.delete(place, True)
+
+
+def _swap(rows: DataFrame, name: str, facts: dict[str, str]) -> None:
+    """A table like the old one takes its name when it is complete; what fails leaves the old table under its name and nothing else."""
+    spark = rows.sparkSession
     mark = uuid.uuid4().hex[:12]
     incoming, old = f"{name}_incoming_{mark}", f"{name}_old_{mark}"
+    external = facts["Type"].upper() == "EXTERNAL"
+    folder = _snapshot_beside(facts["Location"].rstrip("/")) if external else None
+    done = False
     try:
-        if replaced:
-            rows = keep_columns_of(rows, spark.table(name).schema)
-            _create_like(spark, incoming, name, rows.schema)
-            rows.select(*[F.col(f"`{column}`") for column in spark.table(incoming).columns]).write.insertInto(incoming)
-            _rename(spark, name, old)
-        else:
-            rows.write.format("parquet").saveAsTable(incoming)
+        _create_like(spark, incoming, name, rows.schema, folder)
+        rows.select(*[F.col(f"`{column}`") for column in spark.table(incoming).columns]).write.insertInto(incoming)
+        _rename(spark, name, old)
         try:
             _rename(spark, incoming, name)
         except Exception:
-            if replaced:
-                _rename(spark, old, name)
+            _rename(spark, old, name)
             raise
-        if replaced:
-            spark.sql(f"DROP TABLE {old}")
+        done = True
+        spark.sql(f"DROP TABLE {old}")
+        if external:
+            _delete(spark, facts["Location"])
     finally:
         spark.sql(f"DROP TABLE IF EXISTS {incoming}")
+        if external and not done:
+            _delete(spark, folder)
 
 
-def _create_like(spark: SparkSession, name: str, model: str, schema: T.StructType) -> None:
-    """An empty table with all ``model`` says of itself, and the columns of ``schema`` it lacks."""
-    spark.sql(f"CREATE TABLE {name} LIKE {model}")
+def _add_columns(spark: SparkSession, name: str, schema: T.StructType) -> None:
+    """Give a table the columns of ``schema`` it lacks."""
     known = {column.lower() for column in spark.table(name).columns}
     added = [f"`{field.name}` {field.dataType.simpleString()}" for field in schema if field.name.lower() not in known]
     if added:
         spark.sql(f"ALTER TABLE {name} ADD COLUMNS ({', '.join(added)})")
+
+
+def _create_like(spark: SparkSession, name: str, model: str, schema: T.StructType, folder: str | None) -> None:
+    """An empty table, external in ``folder`` if given, with all ``model`` says of itself and the columns of ``schema`` it lacks."""
+    spark.sql(f"CREATE TABLE {name} LIKE {model}{f' LOCATION {_quoted(folder)}' if folder else ''}")
+    _add_columns(spark, name, schema)
     for row in spark.sql(f"SHOW TBLPROPERTIES {model}").toLocalIterator():
         # Those of Spark and of the catalog describe the files, not the table.
         if not row.key.startswith(("spark.", "transient_")):

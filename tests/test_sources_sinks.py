@@ -1,6 +1,9 @@
 import json
+import threading
 import time
 from datetime import datetime, timedelta, timezone
+from functools import partial
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -247,6 +250,38 @@ def test_landing_to_curated(spark, tmp_path):
     assert spark.table(f"{gold}.Date").columns == ["DWID_Date", "Date", "Year", "Month", "Day"]
 
 
+def test_loads_start_when_ready(spark):
+    """A slow load holds up what waits for it, not the chain beside it."""
+    begun, ended, lock = [], [], threading.Lock()
+
+    def load(name, seconds=0.0, error=None):
+        with lock:
+            begun.append((name, set(ended)))
+        time.sleep(seconds)
+        if error:
+            raise error
+        with lock:
+            ended.append(name)
+
+    waits = {"slow": [], "a": [], "b": ["a"], "c": ["b"], "d": ["c"], "last": ["slow", "d"], "none": None}
+    activities = spark.createDataFrame(list(waits.items()), "name string, dependencies array<string>")
+    loads = {name: partial(load, name, 2.0 if name == "slow" else 0.0) for name in waits}
+    assert curated.base_to_curated(activities, loads, at_once=2) == ["a", "none", "slow", "b", "c", "d", "last"]
+    assert all(set(waits[name] or []) <= before for name, before in begun)
+    assert ended[-2:] == ["slow", "last"] and ended.index("d") < ended.index("slow")
+
+    begun.clear()
+    loads["b"] = partial(load, "b", 0.0, KeyError("broken"))
+    with pytest.raises(KeyError, match="broken"):
+        curated.base_to_curated(activities, loads, at_once=2)
+    assert not {"c", "d", "last"} & {name for name, _ in begun}
+    cycle = spark.createDataFrame([("a", []), ("b", ["c", "a"]), ("c", ["b"])], "name string, dependencies array<string>")
+    begun.clear()
+    with pytest.raises(ValueError, match="cycle"):
+        curated.base_to_curated(cycle, loads)
+    assert not begun
+
+
 def test_loads_side_by_side_stop_at_an_error(spark):
     started = []
 
@@ -263,26 +298,103 @@ def test_loads_side_by_side_stop_at_an_error(spark):
     assert started[:2] == ["a", "b"] and len(started) <= 3
 
 
-@pytest.mark.parametrize("failing", [0, 1, 2])
-def test_overwrite_that_fails_leaves_the_old_rows(spark, monkeypatch, failing):
-    base = f"swap_{scratch_path(spark, 'x')[-8:]}"
-    sinks.create_layers(spark, [base])
-    tables.write_overwrite(spark.range(3), base, "t", add_id=False)
-    rename, calls = tables._rename, []
+def _sometimes(monkeypatch, name, failing):
+    """``tables.name`` with the call number ``failing`` stopped."""
+    real, calls = getattr(tables, name), []
 
-    def sometimes(*names):
-        calls.append(names)
+    def sometimes(*given):
+        calls.append(given)
         if len(calls) == failing:
             raise RuntimeError("stopped")
-        rename(*names)
+        return real(*given)
+
+    monkeypatch.setattr(tables, name, sometimes)
+
 
-    monkeypatch.setattr(tables, "_rename", sometimes)
-    rows = spark.range(5).selectExpr("IF(id = 4, raise_error('stopped'), id) AS id") if failing == 0 else spark.range(5)
+def _folders(spark, name):
+    """The snapshots on disk beside a table's own folder."""
+    location = tables._described(spark, f"TABLE {name}")["Location"]
+    return {p.name for p in Path(location.removeprefix("file:")).parent.iterdir()}
+
+
+@pytest.mark.parametrize("failing", [0, 1])
+def test_overwrite_that_fails_leaves_the_old_rows(spark, monkeypatch, database, failing):
+    rows = spark.range(5)
+    if failing == 0:
+        rows = rows.selectExpr("CAST(IF(id = 4, raise_error('stopped'), id) AS BIGINT) AS id")
+    tables.write_overwrite(spark.range(3), database, "t", add_id=False)
+    before = _folders(spark, f"{database}.t")
+    with monkeypatch.context() as patched:
+        _sometimes(patched, "_point", failing)
+        with pytest.raises(Exception, match="stopped"):
+            tables.write_overwrite(rows, database, "t", add_id=False)
+    assert spark.table(f"{database}.t").count() == 3 and _folders(spark, f"{database}.t") == before
+    with monkeypatch.context() as patched:
+        _sometimes(patched, "_point", failing)
+        with pytest.raises(Exception, match="stopped"):
+            tables.write_overwrite(rows, database, "u", add_id=False)
+    assert [t.name for t in spark.catalog.listTables(database) if not t.isTemporary] == ["t"]
+    tables.write_overwrite(spark.range(4), database, "u", add_id=False)
+    assert spark.table(f"{database}.u").count() == 4
+
+
+@pytest.mark.parametrize("failing", [0, 1, 2])
+@pytest.mark.parametrize("external", [False, True])
+def test_swap_that_fails_leaves_the_old_table(spark, monkeypatch, database, tmp_path, failing, external):
+    name = f"{database}.t"
+    place = f"LOCATION '{tmp_path}/rows'" if external else ""
+    spark.sql(f"CREATE TABLE {name} (id BIGINT, p INT) USING parquet PARTITIONED BY (p) {place}")
+    tables.write_overwrite(spark.range(3).selectExpr("id", "1 AS p"), database, "t", add_id=False)
+    _sometimes(monkeypatch, "_rename", failing)
+    wrong = "CAST(IF(id = 4, raise_error('stopped'), id) AS BIGINT) AS id" if failing == 0 else "id"
     with pytest.raises(Exception, match="stopped"):
-        tables.write_overwrite(rows.selectExpr("CAST(id AS BIGINT) AS id"), base, "t", add_id=False)
-    assert spark.table(f"{base}.t").count() == 3
-    assert [t.name for t in spark.catalog.listTables(base) if not t.isTemporary] == ["t"]
-    spark.sql(f"DROP DATABASE {base} CASCADE")
+        tables.write_overwrite(spark.range(5).selectExpr(wrong, "2 AS p"), database, "t", add_id=False)
+    assert spark.table(name).count() == 3
+    assert [t.name for t in spark.catalog.listTables(database) if not t.isTemporary] == ["t"]
+    assert spark.catalog.getTable(name).tableType == ("EXTERNAL" if external else "MANAGED")
+    assert len(list(tmp_path.rglob("*.parquet"))) == (3 if external else 0)
+
+
+def test_readers_never_meet_a_moment_without_rows(spark, database):
+    name, stop, seen, errors = f"{database}.t", threading.Event(), set(), []
+    tables.write_overwrite(spark.range(1000), database, "t", add_id=False)
+
+    def read():
+        while not stop.is_set():
+            try:
+                seen.add(spark.table(name).count())
+            except Exception as error:  # noqa: BLE001
+                errors.append(error)
+
+    reader = threading.Thread(target=read)
+    reader.start()
+    for n in range(1001, 1007):
+        tables.write_overwrite(spark.range(n), database, "t", add_id=False)
+    stop.set()
+    reader.join()
+    assert not errors and seen <= set(range(1000, 1007)) and len(seen) > 1
+    assert len(_folders(spark, name)) == 2
+    spark.sql(f"DROP TABLE {name}")
+    tables.write_overwrite(spark.range(2), database, "t", add_id=False)
+    assert spark.table(name).count() == 2
+
+
+@pytest.mark.parametrize("layout", ["", "PARTITIONED BY (p)"])
+def test_overwrite_keeps_an_external_table_external(spark, database, tmp_path, layout):
+    name = f"{database}.t"
+    spark.sql(f"CREATE TABLE {name} (id BIGINT, p INT) USING parquet {layout} LOCATION '{tmp_path}/rows'")
+    spark.sql(f"INSERT INTO {name} VALUES (7, 1)")
+    for n in (3, 4, 5):
+        tables.write_overwrite(spark.range(n).selectExpr("id", "1 AS p"), database, "t", add_id=False)
+        assert spark.catalog.getTable(name).tableType == "EXTERNAL" and spark.table(name).count() == n
+        assert tables._described(spark, f"TABLE {name}")["Location"].removeprefix("file:").startswith(str(tmp_path))
+    managed = f"{database}.m"
+    spark.range(2).write.saveAsTable(managed)
+    for n in (3, 4, 5):
+        tables.write_overwrite(spark.range(n), database, "m", add_id=False)
+        assert spark.catalog.getTable(managed).tableType == "MANAGED" and spark.table(managed).count() == n
+    sinks.truncate_reload(spark.range(9), managed)
+    assert spark.table(managed).count() == 9
 
 
 def test_overwrite_keeps_what_the_table_says_of_itself(spark, database):
