@@ -40,6 +40,14 @@ def row_key(doc_id: Column, text: Column) -> Column:
     )
 
 
+def free_name(taken: list[str], name: str) -> str:
+    """``name``, with underscores until no column has it in any spelling."""
+    used = {column.lower() for column in taken}
+    while name.lower() in used:
+        name += "_"
+    return name
+
+
 def id_bucket(doc_id: Column, modulus: int) -> Column:
     """crc32 of the id as text, modulo; a null id counts as empty text."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % modulus

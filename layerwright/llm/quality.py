@@ -99,8 +99,9 @@ def measure(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
         for batch in batches:
             yield pd.DataFrame({"doc_id": batch.doc_id, "x": [statistics(t) for t in batch.body]})
 
-    body = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("body"))
-    return body.mapInPandas(run, "doc_id long, x array<double>")
+    # Ids go as text: beside a null pandas would make them floats, which hold 53 bits.
+    body = docs.select(F.col(id_col).cast("long").cast("string").alias("doc_id"), F.col(text_col).alias("body"))
+    return body.mapInPandas(run, "doc_id string, x array<double>").withColumn("doc_id", F.col("doc_id").cast("long"))
 
 
 @dataclass
@@ -168,15 +169,24 @@ def _solve(parts: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
 
 
 def isotonic(values: np.ndarray, positives: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Pool neighbours until the shares rise. Returns the pools' mean values and shares, for interpolation."""
-    pools: list[list[float]] = []
-    for value, positive, count in zip(values, positives, counts):
-        pools.append([value * count, positive, count])
-        while len(pools) > 1 and pools[-2][1] * pools[-1][2] >= pools[-1][1] * pools[-2][2]:
+    """Pool neighbours until the shares rise. Returns the pools' mean values and shares, for interpolation.
+
+    Pools of few rows are drawn to the middle a little, which may make a share fall, so those are pooled again.
+    """
+    first = _pooled(np.column_stack([values * counts, positives, counts]))
+    second = _pooled(np.column_stack([first, first[:, 1] + 0.05, first[:, 2] + 0.1]), 3)
+    return second[:, 0] / second[:, 2], second[:, 3] / second[:, 4]
+
+
+def _pooled(sums: np.ndarray, at: int = 1) -> np.ndarray:
+    """Rows added up with their neighbours until column ``at`` over the next rises from row to row."""
+    pools: list[np.ndarray] = []
+    for row in sums:
+        pools.append(row)
+        while len(pools) > 1 and pools[-2][at] * pools[-1][at + 1] >= pools[-1][at] * pools[-2][at + 1]:
             last = pools.pop()
-            pools[-1] = [a + b for a, b in zip(pools[-1], last)]
-    made = np.array(pools)
-    return made[:, 0] / made[:, 2], (made[:, 1] + 0.05) / (made[:, 2] + 0.1)
+            pools[-1] = pools[-1] + last
+    return np.array(pools)
 
 
 @dataclass
