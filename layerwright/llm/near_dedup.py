@@ -2,7 +2,8 @@
 
 A pair is found when it meets in one of ``left * right`` hash tables. The keys of those tables are not computed
 one by one: two small collections of band hashes are made, ``left`` of two minhashes and ``right`` of three, and
-every table key combines one of each. So 9 + 13 bands (57 minhashes) serve 117 tables of five minhashes each.
+every table key combines one of each. So 9 + 13 bands (57 minhashes) serve 117 tables of five minhashes each;
+a lower similarity than 0.8 gets other numbers by the same rule (``bands_for``).
 At a similarity of 0.8 a pair stays unseen with probability 0.36^9 + 0.49^13, about 2 in 10,000, and such a pair
 still lands in one group when any third text links both.
 
@@ -20,6 +21,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -27,13 +29,13 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from layerwright.llm.common import row_key, small_batches
+from layerwright.llm.common import free_name, row_key, small_batches
 from layerwright.operators.joins import split_lookup
 from layerwright.session import stage
 
-LEFT_BANDS, LEFT_ROWS = 9, 2
-RIGHT_BANDS, RIGHT_ROWS = 13, 3
-HASHES = LEFT_BANDS * LEFT_ROWS + RIGHT_BANDS * RIGHT_ROWS
+# Of a thousand pairs at the asked similarity fewer than so many share no table.
+MISSED_PER_THOUSAND = 1
+MOST_TABLES = 128
 MEMBERS_PER_TASK_GROUP = 256
 MAP_BITS = 1 << 23
 
@@ -61,31 +63,67 @@ def shingle_set(text: str | None, width: int) -> np.ndarray:
     return np.unique(mixed)
 
 
-def _multipliers() -> tuple[np.ndarray, np.ndarray]:
-    drawn = np.random.default_rng(20240229).integers(1, 2**63, size=(2, HASHES), dtype=np.uint64)
+@dataclass(frozen=True)
+class Bands:
+    """The two collections of bands: how many, and of how many minhashes each."""
+
+    left: int
+    left_rows: int
+    right: int
+    right_rows: int
+
+    @property
+    def hashes(self) -> int:
+        return self.left * self.left_rows + self.right * self.right_rows
+
+    def missed(self, percent: int) -> float:
+        """The chance that a pair of that similarity shares no table: all bands of a collection differ."""
+        s = percent / 100
+        left, right = (1 - s**self.left_rows) ** self.left, (1 - s**self.right_rows) ** self.right
+        return left + right - left * right
+
+
+def bands_for(percent: int) -> Bands:
+    """The bands for a similarity: 9 of 2 and 13 of 3 down to 0.8, below as many minhashes a table as few enough tables allow."""
+    usual = Bands(9, 2, 13, 3)
+    if 1000 * usual.missed(percent) < MISSED_PER_THOUSAND:
+        return usual
+    found = [
+        Bands(left, left_rows, right, right_rows)
+        for left_rows, right_rows in ((2, 2), (1, 2), (1, 1))
+        for left in range(1, MOST_TABLES + 1)
+        for right in range(1, MOST_TABLES // left + 1)
+        if 1000 * Bands(left, left_rows, right, right_rows).missed(percent) < MISSED_PER_THOUSAND
+    ]
+    if not found:
+        raise ValueError(f"a similarity of {percent} % is too low for hash tables; 50 is the least that can be asked for")
+    return min(found, key=lambda b: (-b.left_rows - b.right_rows, b.left * b.right, b.hashes))
+
+
+def _multipliers(hashes: int) -> tuple[np.ndarray, np.ndarray]:
+    drawn = np.random.default_rng(20240229).integers(1, 2**63, size=(2, hashes), dtype=np.uint64)
     return drawn[0] * np.uint64(2) + np.uint64(1), drawn[1]
 
 
-def minhashes(shingles: np.ndarray) -> np.ndarray:
+def minhashes(shingles: np.ndarray, hashes: int) -> np.ndarray:
     """The signature: for each hash function the upper half of the smallest value, as int32."""
-    factors, shifts = _multipliers()
-    out = np.empty(HASHES, np.uint64)
-    for i in range(HASHES):
+    factors, shifts = _multipliers(hashes)
+    out = np.empty(hashes, np.uint64)
+    for i in range(hashes):
         out[i] = (shingles * factors[i] + shifts[i]).min()
     return (out >> np.uint64(32)).astype(np.uint32).view(np.int32)
 
 
-def _signed(batches: Iterator[pd.DataFrame], width: int) -> Iterator[pd.DataFrame]:
+def _signed(batches: Iterator[pd.DataFrame], width: int, scheme: Bands) -> Iterator[pd.DataFrame]:
     for batch in batches:
         counts, classes, signatures = [], [], []
         for text in batch.body:
             shingles = shingle_set(text, width)
             counts.append(len(shingles))
             if len(shingles):
-                # Two digests of the set: one names the class in keys, the other stands by it.
-                digest = hashlib.blake2b(shingles.tobytes(), digest_size=24).digest()
-                classes.append(int.from_bytes(digest[:8], "little") >> 1)
-                signatures.append(minhashes(shingles))
+                digest = hashlib.blake2b(shingles.tobytes(), digest_size=8).digest()
+                classes.append(int.from_bytes(digest, "little") >> 1)
+                signatures.append(minhashes(shingles, scheme.hashes))
             else:
                 classes.append(None)
                 signatures.append(None)
@@ -100,19 +138,23 @@ def _signed(batches: Iterator[pd.DataFrame], width: int) -> Iterator[pd.DataFram
         )
 
 
-def sign(docs: DataFrame, width: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def sign(
+    docs: DataFrame, width: int, scheme: Bands, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
     """Per row: row_key, doc_id, n_shingles, class (63-bit digest of the shingle set), signature."""
     small_batches(docs.sparkSession)
     body = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("body")).select(
-        row_key(F.col("doc_id"), F.col("body")).alias("row_key"), "doc_id", "body"
+        row_key(F.col("doc_id"), F.col("body")).alias("row_key"), F.col("doc_id").cast("string").alias("doc_id"), "body"
     )
-    return body.mapInPandas(
-        lambda batches: _signed(batches, width),
-        "row_key string, doc_id long, n_shingles long, class long, signature array<int>",
+    # Ids go as text: beside a null pandas would make them floats, which hold 53 bits.
+    signed = body.mapInPandas(
+        lambda batches: _signed(batches, width, scheme),
+        "row_key string, doc_id string, n_shingles long, class long, signature array<int>",
     )
+    return signed.withColumn("doc_id", F.col("doc_id").cast("long"))
 
 
-def _bands(signature: Column) -> tuple[Column, Column]:
+def _bands(signature: Column, scheme: Bands) -> tuple[Column, Column]:
     def cut(offset: int, count: int, rows: int, salt: int) -> Column:
         return F.array(
             *[
@@ -121,12 +163,13 @@ def _bands(signature: Column) -> tuple[Column, Column]:
             ]
         )
 
-    return cut(0, LEFT_BANDS, LEFT_ROWS, 1), cut(LEFT_BANDS * LEFT_ROWS, RIGHT_BANDS, RIGHT_ROWS, 2)
+    offset = scheme.left * scheme.left_rows
+    return cut(0, scheme.left, scheme.left_rows, 1), cut(offset, scheme.right, scheme.right_rows, 2)
 
 
-def table_keys(classes: DataFrame) -> DataFrame:
+def table_keys(classes: DataFrame, scheme: Bands) -> DataFrame:
     """class, key: one row for each hash table; the key names the table and both bands."""
-    left, right = _bands(F.col("signature"))
+    left, right = _bands(F.col("signature"), scheme)
     return (
         classes.select("class", left.alias("left"), right.alias("right"))
         .select("class", "right", F.posexplode("left").alias("i", "a"))
@@ -135,10 +178,10 @@ def table_keys(classes: DataFrame) -> DataFrame:
     )
 
 
-def _agree(a: Column, b: Column, percent: int) -> Column:
-    """Minhashes agree often enough for a pair of that similarity: 6 standard deviations below the expectation."""
+def _agree(a: Column, b: Column, percent: int, hashes: int) -> Column:
+    """Minhashes agree often enough for a pair of that similarity: 6 standard deviations below the expectation, a chance of 1 in a billion."""
     p = percent / 100
-    least = max(1, int(HASHES * p - 6.2 * (HASHES * p * (1 - p)) ** 0.5))
+    least = max(1, int(hashes * p - 6.2 * (hashes * p * (1 - p)) ** 0.5))
     same = F.aggregate(F.zip_with(a, b, lambda x, y: (x == y).cast("int")), F.lit(0), lambda s, x: s + x)
     return same >= least
 
@@ -289,7 +332,8 @@ def near_dedup(
     Null identifiers lose against all others; a component of null identifiers only has a null component_id, and
     all its rows are kept. Other columns are not read; an empty table gives an empty result.
     """
-    signed = stage(sign(docs, width, id_col, text_col), "near-signed")
+    scheme = bands_for(percent)
+    signed = stage(sign(docs, width, scheme, id_col, text_col), "near-signed")
     classes = stage(
         signed.filter("n_shingles > 0")
         .groupBy("class")
@@ -300,7 +344,7 @@ def near_dedup(
         ),
         "near-classes",
     )
-    keyed = table_keys(classes)
+    keyed = table_keys(classes, scheme)
     shared = keyed.groupBy("key").agg(F.min("class").alias("leader"), F.count(F.lit(1)).alias("m")).filter("m > 1")
     members = stage(split_lookup(keyed, shared, ["key"]).select("key", "leader", "m", "class"), "near-members")
     marks = classes.select("class", "n", "signature")
@@ -308,7 +352,7 @@ def near_dedup(
     def likely(pairs: DataFrame) -> DataFrame:
         left = marks.select(F.col("class").alias("a"), F.col("n").alias("n_a"), F.col("signature").alias("sig_a"))
         right = marks.select(F.col("class").alias("b"), F.col("n").alias("n_b"), F.col("signature").alias("sig_b"))
-        close = _sizes_fit(F.col("n_a"), F.col("n_b"), percent) & _agree(F.col("sig_a"), F.col("sig_b"), percent)
+        close = _sizes_fit(F.col("n_a"), F.col("n_b"), percent) & _agree(F.col("sig_a"), F.col("sig_b"), percent, scheme.hashes)
         return pairs.join(left, "a").join(right, "b").filter(close).select("a", "b")
 
     with_leader = members.filter("leader != class").select(F.col("leader").alias("a"), F.col("class").alias("b"))
@@ -342,7 +386,7 @@ def near_dedup(
         & (F.col("x.class") < F.col("y.class"))
         & _sizes_fit(F.col("x.at.n"), F.col("y.at.n"), percent)
         & _can_reach(F.col("x.at"), F.col("y.at"), percent)
-        & _agree(F.col("x.signature"), F.col("y.signature"), percent)
+        & _agree(F.col("x.signature"), F.col("y.signature"), percent, scheme.hashes)
         # A pair comes once, at the first shingle it shares.
         & ~F.arrays_overlap("x.earlier", "y.earlier"),
     ).select(F.col("x.class").alias("a"), F.col("y.class").alias("b"))
@@ -374,7 +418,7 @@ def near_dedup(
 def drop_near_copies(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     """One document of every component, with all its columns; rows that repeat id and text stay once."""
     judged = near_dedup(docs, width, percent)
-    kept = stage(judged.filter("kept").select(F.col("row_key").alias("__key")).distinct(), "near-kept")
-    marked = docs.withColumn("__row_key", row_key(F.col("doc_id").cast("long"), F.col("text")))
-    joined = marked.join(kept, F.col("__row_key") == F.col("__key"))
-    return joined.dropDuplicates(["__row_key"]).drop("__row_key", "__key")
+    key = free_name(docs.columns, "__row_key")
+    kept = stage(judged.filter("kept").select(F.col("row_key").alias(key)).distinct(), "near-kept")
+    marked = docs.withColumn(key, row_key(F.col("doc_id").cast("long"), F.col("text")))
+    return marked.join(kept, key).dropDuplicates([key]).select(*[F.col(f"`{c}`") for c in docs.columns])
