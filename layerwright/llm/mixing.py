@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from layerwright.llm.common import row_key, uniform, word_count
+from layerwright.operators.keys import add_dense_id
 from layerwright.session import stage
 
 BLOCK_ROWS = 256
@@ -163,11 +164,11 @@ def mix_sources(
     text_col: str = "text",
     source_col: str = "source",
 ) -> DataFrame:
-    """How often each document is taken: row_key, doc_id, source, size, source_size, target, copies, repeats.
+    """How often each document is taken: row_key, doc_id, source, size, source_size, target, copies, repeats, more.
 
-    Size is the number of words (null text: 0). ``copies`` is 0 to ``most`` and the same in every run. A row per
-    distinct (id, text, source); ``repeats`` says how often it is there, and each of these rows is taken
-    ``copies`` times. Documents without words weigh nothing: they take the whole part of their share. A null
+    Size is the number of words (null text: 0). A row per distinct (id, text, source); ``repeats`` says how often
+    it is there. Each of these rows is taken ``copies`` times and ``more`` of them once more, 0 to ``most`` times in all
+    and the same in every run. So only a part of one of them is left to chance, however often it is there. Documents without words weigh nothing: they take the whole part of their share. A null
     source is a source of its own and comes last. Other columns are not read; an empty table gives an empty result.
     """
     rows = docs.select(
@@ -187,18 +188,17 @@ def mix_sources(
         .drop("of_source")
         .withColumn("share", share)
         .withColumn("whole", F.floor("share").cast("int"))
-        .withColumn("x", F.col("share") - F.col("whole"))
+        # What all repeats together are due beyond the whole copies, in copies: as many whole ones, and the rest is rounded.
+        .withColumn("due", F.when(F.col("size") > 0, (F.col("share") - F.col("whole")) * F.col("repeats")).otherwise(0.0))
+        .withColumn("sure", F.floor(F.col("due") + F.lit(_NEAR)))
+        .withColumn("x", F.col("due") - F.col("sure"))
     )
-    weight = F.col("size") * F.col("repeats")
     key = F.struct("row_key", "source").alias("key")
     rounded = pivotal_rounding(
-        shared.filter((weight > 0) & (F.col("x") > _NEAR) & (F.col("x") < 1 - _NEAR)).select(
-            key, "source", weight.cast("double").alias("weight"), "x"
-        ),
+        shared.filter(F.col("x") > _NEAR).select(key, "source", F.col("size").cast("double").alias("weight"), "x"),
         "source",
         seed,
     ).select(F.col("key.row_key").alias("row_key"), F.col("key.source").alias("of_source"), "more")
-    nearly_one = F.when(F.col("x") >= 1 - _NEAR, 1).otherwise(0)
     return shared.alias("s").join(
         rounded.alias("r"),
         (F.col("s.row_key") == F.col("r.row_key")) & F.col("s.source").eqNullSafe(F.col("r.of_source")),
@@ -210,20 +210,40 @@ def mix_sources(
         "size",
         "source_size",
         "target",
-        (F.col("whole") + F.coalesce(F.col("more"), nearly_one)).cast("int").alias("copies"),
+        F.col("whole").alias("copies"),
         "repeats",
+        (F.col("sure") + F.coalesce(F.col("r.more"), F.lit(0))).cast("long").alias("more"),
     )
 
 
 def apply_mix(docs: DataFrame, **settings) -> DataFrame:
-    """The mixed documents with all their columns: each row as often as it is taken."""
+    """The mixed documents with all their columns: each row as often as it is taken.
+
+    Of rows with equal id, text and source the first ones, by all columns, are those that are taken once more.
+    """
     taken = stage(
-        mix_sources(docs, **settings).filter("copies > 0").select(
-            F.col("row_key").alias("__key"), F.col("source").alias("__source"), F.col("copies").alias("__copies")
-        ),
+        mix_sources(docs, **settings)
+        .filter("copies + more > 0")
+        .select("row_key", F.col("source").alias("of_source"), "copies", "more", "repeats"),
         "mix-taken",
     )
-    keyed = docs.withColumn("__row_key", row_key(F.col("doc_id").cast("long"), F.col("text")))
-    joined = keyed.join(taken, (F.col("__row_key") == F.col("__key")) & F.col("source").eqNullSafe(F.col("__source")))
-    repeated = joined.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies"))))
-    return repeated.select(*[F.col(f"`{c}`") for c in docs.columns])
+    # The columns of a document travel in a struct, so that none can clash with those of the mix.
+    keyed = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
+        row_key(F.col("doc_id").cast("long"), F.col("text")).alias("row_key"),
+        "source",
+    )
+
+    def with_copies(some: DataFrame) -> DataFrame:
+        return keyed.join(some, (keyed["row_key"] == some["row_key"]) & keyed["source"].eqNullSafe(some["of_source"])).select(
+            "row", keyed["row_key"], "source", "copies", "more"
+        )
+
+    once = with_copies(taken.filter("repeats = 1")).select("row", (F.col("copies") + F.col("more")).alias("copies"))
+    # Numbered by a range sort, which cuts rows of one key too, so that a row repeated without end is no single task's.
+    numbered = stage(add_dense_id(with_copies(taken.filter("repeats > 1")), ["row_key", "source"], "number"), "mix-repeated")
+    firsts = numbered.groupBy(F.col("row_key").alias("of_key"), F.col("source").alias("of_source")).agg(F.min("number").alias("first"))
+    ranked = numbered.join(firsts, (F.col("row_key") == F.col("of_key")) & F.col("source").eqNullSafe(F.col("of_source")))
+    one_more = (F.col("number") - F.col("first") < F.col("more")).cast("int")
+    often = ranked.select("row", (F.col("copies") + one_more).cast("long").alias("copies")).filter("copies > 0")
+    return once.unionByName(often).select("row", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))).select("row.*")

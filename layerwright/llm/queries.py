@@ -151,7 +151,7 @@ def op9_mixing(spark, sf_dir):
     mixed = mix_sources(_table(spark, sf_dir, "documents"))
     rows = mixed.withColumn("row", F.explode(F.sequence(F.lit(1).cast("long"), F.col("repeats"))))
     return rows.select(
-        "doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).cast("long").alias("taken")
+        "doc_id", "size", "source_size", "target", ((F.col("copies") + (F.col("row") <= F.col("more")).cast("int")) * F.col("size")).cast("long").alias("taken")
     )
 
 
