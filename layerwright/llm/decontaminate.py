@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from layerwright.llm.common import row_key, word_array
+from layerwright.llm.common import free_name, row_key, word_array
 from layerwright.session import stage
 
 
@@ -117,5 +117,6 @@ def contaminated_pairs(
 def decontaminate(docs: DataFrame, benchmark: DataFrame, threshold: float = 0.8, width: int = 5) -> DataFrame:
     """The documents that hold no benchmark item, with all their columns."""
     dirty = stage(contaminated_pairs(docs, benchmark, threshold, width).select("row_key").distinct(), "decon-dirty")
-    marked = docs.withColumn("__row_key", row_key(F.col("doc_id").cast("long"), F.col("text")))
-    return marked.join(dirty, marked["__row_key"] == dirty["row_key"], "left_anti").drop("__row_key")
+    key = free_name(docs.columns, "__row_key")
+    marked = docs.withColumn(key, row_key(F.col("doc_id").cast("long"), F.col("text")))
+    return marked.join(dirty.withColumnRenamed("row_key", key), key, "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from layerwright.llm.common import id_bucket, small_batches
+from layerwright.llm.common import free_name, id_bucket, small_batches
 from layerwright.session import stage
 
 SAMPLE_PER_CLASS = 2400
@@ -272,5 +272,6 @@ def score_toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 def drop_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The documents that score below 0.5, with all their columns."""
-    scored = score(docs, fit(docs, labels, "toxic", learnable(F.col("doc_id"))), out="__score")
-    return scored.filter("__score < 0.5").drop("__score")
+    name = free_name(docs.columns, "__score")
+    scored = score(docs, fit(docs, labels, "toxic", learnable(F.col("doc_id"))), out=name)
+    return scored.filter(F.col(name) < 0.5).drop(name)

@@ -116,13 +116,13 @@ def test_components_of_a_chain(spark):
 def test_mixing(docs, odd, empty):
     rows = mixing.mix_sources(docs).collect()
     again = mixing.mix_sources(docs.repartition(5)).collect()
-    assert {r.row_key: r.copies for r in rows} == {r.row_key: r.copies for r in again}
+    assert {r.row_key: (r.copies, r.more) for r in rows} == {r.row_key: (r.copies, r.more) for r in again}
     by_source = {}
     for r in rows:
-        assert 0 <= r.copies <= 3
+        assert 0 <= r.copies <= 3 and 0 <= r.more <= r.repeats and (r.copies < 3 or not r.more)
         entry = by_source.setdefault(r.source, [r.target, 0, 0, r.source_size])
-        entry[1] += r.copies * r.size * r.repeats
-        entry[2] = max(entry[2], r.size * r.repeats)
+        entry[1] += (r.copies * r.repeats + r.more) * r.size
+        entry[2] = max(entry[2], r.size)
     for target, taken, largest, size in by_source.values():
         assert abs(target - taken) <= largest / 2 + 1e-6 and target <= 3 * size + 1e-6
     assert sum(e[0] for e in by_source.values()) == pytest.approx(sum(e[3] for e in by_source.values()))
@@ -264,6 +264,85 @@ def test_toxic_words_share_their_parts():
 def test_isotonic_rises():
     at, share = quality.isotonic(np.arange(5.0), np.array([0, 2, 1, 3, 4]), np.full(5, 4.0))
     assert (np.diff(at) > 0).all() and (np.diff(share) >= 0).all()
+    share = quality.isotonic(np.arange(2.0), np.array([0, 1]), np.array([1.0, 1000.0]))[1]
+    assert (np.diff(share) >= 0).all()
+
+
+def test_isotonic_against_the_minimax_formula():
+    rng = np.random.default_rng(4)
+    for _ in range(50):
+        n = rng.integers(1, 12)
+        counts = rng.integers(1, 50, n).astype(float)
+        positives = np.array([rng.integers(0, c + 1) for c in counts], float)
+        mean = lambda j, k: positives[j : k + 1].sum() / counts[j : k + 1].sum()
+        expected = [max(min(mean(j, k) for k in range(i, n)) for j in range(i + 1)) for i in range(n)]
+        pools = quality._pooled(np.column_stack([np.arange(n) * counts, positives, counts]))
+        sizes = pools[:, 2]
+        found = np.repeat(pools[:, 1] / sizes, _members(counts, sizes))
+        assert np.allclose(found, expected)
+        assert (np.diff(quality.isotonic(np.arange(n, dtype=float), positives, counts)[1]) >= 0).all()
+
+
+def _members(counts, sizes):
+    """How many of ``counts`` make up each of ``sizes``."""
+    ends = np.searchsorted(np.cumsum(counts), np.cumsum(sizes) - 0.5) + 1
+    return np.diff(np.append(0, ends))
+
+
+def test_ids_beside_null_ids_keep_all_their_digits(spark):
+    big = [2**53 + 1, 2**53 + 3, 2**62 + 1]
+    rows = [(i, f"some words of text number {i} and more", "a") for i in big] + [(None, "no id at all", "a")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string").coalesce(1)
+    labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
+    assert {r.doc_id for r in quality.score_quality(df, labels).collect()} == {*big, None}
+    assert {(r.doc_id, r.component_id) for r in near_dedup.near_dedup(df).collect()} == {(i, i) for i in [*big, None]}
+
+
+@pytest.mark.parametrize("repeats", [30, 1000])
+def test_mixing_of_a_repeated_row(spark, repeats):
+    rows = [(1, "one two three four five", "a", i) for i in range(repeats)]
+    rows += [(10 + i, "word " * (i % 7 + 1), "b" if i % 3 else None, i) for i in range(200)]
+    rows += [(2, "same " * 4, "b", 7)] * 11
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, repeats long")
+    mixed = mixing.mix_sources(df).collect()
+    taken, targets, longest = Counter(), {}, Counter()
+    for r in mixed:
+        taken[r.source] += (r.copies * r.repeats + r.more) * r.size
+        targets[r.source], longest[r.source] = r.target, max(longest[r.source], r.size)
+    assert all(abs(taken[s] - t) <= longest[s] / 2 + 1e-6 for s, t in targets.items())
+    applied = mixing.apply_mix(df)
+    assert applied.columns == df.columns
+    copies = Counter((r.doc_id, r.text, r.source, r.repeats) for r in applied.collect())
+    there = Counter(rows)
+    assert all(n <= 3 * there[row] for row, n in copies.items())
+    words = Counter()
+    for (_, text, source, _), n in copies.items():
+        words[source] += n * len(text.split())
+    assert words == Counter({s: n for s, n in taken.items() if n})
+
+
+@pytest.mark.parametrize("percent", [50, 70, 80, 90])
+def test_near_dedup_recall_by_similarity(spark, percent):
+    """300 pairs just at the asked similarity: all but a few in a thousand have to be found."""
+    assert 1000 * near_dedup.bands_for(percent).missed(percent) < 1
+    size = 1 + 200 * percent // (100 + percent)  # shared words of two sets of 100 words for that similarity
+    rows = []
+    for i in range(300):
+        shared = [f"s{i}x{k}" for k in range(size)]
+        for j in range(2):
+            rows.append((2 * i + j, " ".join(shared + [f"o{i}y{j}z{k}" for k in range(100 - size)])))
+    found = near_dedup.near_dedup(spark.createDataFrame(rows, "doc_id long, text string"), width=1, percent=percent).collect()
+    linked = sum(r.doc_id % 2 and r.component_id == r.doc_id - 1 for r in found)
+    assert linked >= 298 and all(r.component_id in (r.doc_id, r.doc_id - 1) for r in found)
+
+
+def test_columns_with_the_names_of_helpers(spark, docs):
+    names = ["__key", "__row_key", "__copy", "__copies", "__score", "__source", "__more", "__place", "__rank", "__first", "more", "repeats"]
+    odd = docs.limit(40).selectExpr("*", *[f"doc_id AS `{n}`" for n in names])
+    for name, step in corpus_pipeline.STAGES[:-1]:
+        made = step(spark, odd, SF_DIR)
+        assert made.columns == odd.columns
+        assert all(r[n] == r.doc_id for r in made.collect() for n in names), name
 
 
 def test_pipeline_stages(spark, docs):
