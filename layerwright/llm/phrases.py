@@ -29,8 +29,10 @@ TOP = 2000
 SEPARATORS = ".,;:!?\n\x0b\x0c\r"
 # Text of a chunk; a text of more is cut at ends of pieces, where no phrase passes.
 CHUNK_BYTES = 8 << 20
-# Distinct n-grams of chunks that a task holds before it adds them up, and entries a block has at most if none repeats.
-HELD = 1 << 21
+# Distinct n-grams that a task holds before it adds them up, and entries a block has at most if none repeats.
+HELD = 1 << 20
+# Places of a chunk that are packed and counted at a time.
+SLICE = 1 << 18
 BLOCK_ENTRIES = 1 << 20
 # The bitmap of frequent parts: so many bits an entry, up to 32 MB, beyond which it lets more n-grams pass and counts stay right.
 BITS_AN_ENTRY = 12
@@ -126,6 +128,14 @@ def _runs(ids: np.ndarray, words: int) -> list[np.ndarray]:
     return [ids[i : len(ids) - words + 1 + i] for i in range(words)]
 
 
+def _slices(column: pa.Array, words: int) -> Iterator[np.ndarray]:
+    """The ids of chunks, cut so that every run of ``words`` ids lies in just one slice."""
+    for data in column:
+        ids = np.frombuffer(data.as_buffer(), "<u4")
+        for start in range(0, len(ids) - words + 1, SLICE):
+            yield ids[start : start + SLICE + words - 1]
+
+
 def _probes(packing: Packing, left: np.ndarray, right: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
     """Two places in a bitmap of 2^bits for a permuted n-gram."""
     mixed = (left * np.uint64(0x9E3779B97F4A7C15)) ^ (right * np.uint64(0xC2B2AE3D27D4EB4F))
@@ -180,10 +190,7 @@ def _count_ngrams(chunks: DataFrame, packing: Packing, tokens: int, minimum: int
             )
 
         for batch in batches:
-            for data in batch.column("ids"):
-                ids = np.frombuffer(data.as_buffer(), "<u4")
-                if len(ids) < words:
-                    continue
+            for ids in _slices(batch.column("ids"), words):
                 run = _runs(ids, words)
                 keep = np.logical_and.reduce([x != 0 for x in run])
                 if parts is not None:
@@ -297,7 +304,7 @@ def mine_phrases(
                 table[entries.field("place").to_numpy()] = entries.field("id").to_numpy()
                 yield pa.RecordBatch.from_pydict({"ids": pa.array([table[places].tobytes()], pa.binary())})
 
-    with batch_bytes(spark, "16m"):
+    with batch_bytes(spark, "4m"):
         numbered = stage(chunks.select("chunk", "codes").join(per_chunk, "chunk").mapInArrow(number, "ids binary"), "phrase-ids")
         counts, parts = {1: words.select(F.col("id").alias("w1"), "f")}, None
         for size in range(2, LONGEST + 1):

@@ -157,6 +157,7 @@ def test_phrases_against_brute_force(spark, minimum, top, monkeypatch):
     monkeypatch.setattr(phrases, "CHUNK_BYTES", 20_000)
     monkeypatch.setattr(phrases, "BLOCK_ENTRIES", 1000)
     monkeypatch.setattr(phrases, "HELD", 3000)
+    monkeypatch.setattr(phrases, "SLICE", 700)
     docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
     rows = [tuple(r) for r in phrases.mine_phrases(docs, minimum=minimum, top=top).collect()]
     assert len(rows) == len(set(rows))
