@@ -28,12 +28,12 @@ MINIMUM = 30
 TOP = 2000
 SEPARATORS = ".,;:!?\n\x0b\x0c\r"
 # Text of a chunk; a text of more is cut at ends of pieces, where no phrase passes.
-CHUNK_BYTES = 8 << 20
+CHUNK_BYTES = 4 << 20
 # Distinct n-grams that a task holds before it adds them up, and entries a block has at most if none repeats.
-HELD = 1 << 20
+HELD = 1 << 19
 # Places of a chunk that are packed and counted at a time.
 SLICE = 1 << 18
-BLOCK_ENTRIES = 1 << 20
+BLOCK_ENTRIES = 1 << 19
 # The bitmap of frequent parts: so many bits an entry, up to 32 MB, beyond which it lets more n-grams pass and counts stay right.
 BITS_AN_ENTRY = 12
 MOST_BITS = 28
@@ -71,12 +71,13 @@ def _chunk(langs: list[str], texts: list[np.ndarray]) -> pa.RecordBatch:
         data[stop - 1 - len(text) : stop - 1] = text
     data = _LOWER[data]
     kind = _KIND[data]
+    # A chunk is far below 2 GB, so 32 bits hold every place.
     inside = kind == 0
-    edge = np.diff(inside.astype(np.int8), prepend=np.int8(0))
-    starts = np.flatnonzero(edge == 1)
-    lengths = np.flatnonzero(edge == -1) - starts
+    starts = np.flatnonzero(inside & ~np.append(False, inside[:-1])).astype(np.int32)
+    stops_of = np.flatnonzero(inside & ~np.append(inside[1:], False)).astype(np.int32)
+    offsets = np.append(np.int32(0), np.cumsum(stops_of - starts + 1, dtype=np.int32))
     ends_before = np.cumsum(kind == 2, dtype=np.int32)[starts]
-    offsets = np.append(0, np.cumsum(lengths)).astype(np.int32)
+    del stops_of, kind
     words = pa.Array.from_buffers(pa.binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(data[inside])])
     words = words.dictionary_encode()
     lang = np.array([number[name] for name in langs], np.int64)[np.searchsorted(stops, starts, side="right")]
@@ -278,7 +279,7 @@ def mine_phrases(
         F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("body"),
     )
     schema = "chunk string, langs array<string>, words array<string>, counts array<long>, codes binary"
-    with batch_bytes(spark, "8m"):
+    with batch_bytes(spark, "2m"):
         chunks = stage(given.mapInArrow(_tokenise, schema), "phrase-chunks")
     listed = chunks.select("chunk", F.posexplode(F.arrays_zip("langs", "words", "counts")).alias("place", "w")).select(
         "chunk", "place", F.col("w.langs").alias("lang"), F.col("w.words").alias("word"), F.col("w.counts").alias("f")
@@ -304,7 +305,7 @@ def mine_phrases(
                 table[entries.field("place").to_numpy()] = entries.field("id").to_numpy()
                 yield pa.RecordBatch.from_pydict({"ids": pa.array([table[places].tobytes()], pa.binary())})
 
-    with batch_bytes(spark, "4m"):
+    with batch_bytes(spark, "2m"):
         numbered = stage(chunks.select("chunk", "codes").join(per_chunk, "chunk").mapInArrow(number, "ids binary"), "phrase-ids")
         counts, parts = {1: words.select(F.col("id").alias("w1"), "f")}, None
         for size in range(2, LONGEST + 1):
