@@ -201,6 +201,38 @@ def test_single_pass_against_brute_force(spark):
     assert [r.r for r in rows] == [pattern.sub(lambda hit: literals[hit[0]], r.t) for r in rows]
 
 
+def test_single_pass_with_ten_thousand_literals(spark):
+    rng = random.Random(6)
+    literals = {}
+    while len(literals) < 10_000:
+        literals["".join(rng.choice("abcd.|é") for _ in range(rng.randrange(3, 9)))] = f"<{len(literals)}>"
+    order = {literal: i for i, literal in enumerate(literals)}
+
+    def brute(text):
+        out, at = [], 0
+        while at < len(text):
+            hits = [text[at : at + n] for n in range(1, 9) if text[at : at + n] in order]
+            best = min(hits, key=order.get, default=text[at])
+            out.append(literals.get(best, best))
+            at += len(best)
+        return "".join(out)
+
+    texts = ["".join(rng.choice("abcd.|é \0" if i % 9 == 0 else "abcd.|é ") for _ in range(200)) for i in range(300)]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    found = [r[0] for r in df.select(text.replace_in_one_pass(F.col("t"), literals)).collect()]
+    assert found == [brute(t) for t in texts]
+
+
+@pytest.mark.parametrize("literals", [["ab", "abc"], ["abc", "ab"], ["a", "b", "ab"], ["abcd", "ab", "abc", "x"], ["aab", "aa", "a", "aaa"]])
+def test_literal_pattern_finds_the_first_of_the_list(literals):
+    plain = re.compile("|".join(map(re.escape, literals)))
+    tree = re.compile(text.literal_pattern(literals))
+    rng = random.Random(7)
+    for _ in range(300):
+        sample = "".join(rng.choice("abcdx") for _ in range(12))
+        assert tree.findall(sample) == plain.findall(sample)
+
+
 def test_replacement_by_table_against_brute_force(spark):
     dice = random.Random(5)
     mapping = {f"{{{i}}}": f"<{i}{{0}}>$\\" for i in range(0, 60, 2)}
