@@ -112,6 +112,22 @@ def test_docs_table_from_a_stored_table_of_contents(spark, tmp_path):
     broken = spark.sql("""SELECT 'x' AS path, parse_json('{"items": [{"href": "a"}]}') AS document""")
     with pytest.raises(Exception, match="toc_title"):
         tree.toc_nodes(broken, "document", "path")
+    for text_, said in (('{"items": {"toc_title": "x"}}', "items"), ('{"items": [{"toc_title": "x", "children": "y"}]}', "children")):
+        wrong = spark.createDataFrame([("d", text_)], "path string, t string").selectExpr("path", "parse_json(t) AS document")
+        with pytest.raises(Exception, match=f"{said} of a table of contents is no list"):
+            tree.toc_nodes(wrong, "document", "path")
+    nothing = [("a", '{"items": null}'), ("b", "{}"), ("c", '{"items": [{"toc_title": "x", "children": null}]}')]
+    empty = spark.createDataFrame(nothing, "path string, t string").selectExpr("path", "parse_json(t) AS document")
+    assert [r.id for r in tree.toc_nodes(empty, "document", "path").collect()] == ["c/0"]
+
+
+def test_tree_of_many_levels_takes_few_rounds(spark):
+    before = set(os.listdir(scratch_root(spark)))
+    chain = _nodes(spark, [(i, i - 1 if i else None, 0, f"t{i}", f"h{i}") for i in range(151)])
+    rows = {r.href: (r.path, r.depth, r.sort_key) for r in tree.tree_flatten(chain).collect()}
+    assert rows == {f"h{i}": ("".join(f"|t{j}" for j in range(i)), i, [0] * (i + 1)) for i in range(151)}
+    rounds = [d for d in os.listdir(scratch_root(spark)) if d.startswith("tree-paths") and d not in before]
+    assert 0 < len(rounds) <= 8
 
 
 TABLE = "<table><tbody>{rows}</tbody></table>"
