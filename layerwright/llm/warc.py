@@ -10,8 +10,11 @@ from __future__ import annotations
 import base64
 import gzip
 import hashlib
+import io
+import re
 import zlib
 from collections.abc import Iterator
+from dataclasses import dataclass, replace
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -26,7 +29,10 @@ VERSION = b"WARC/1.1"
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 ARCHIVE_BYTES = 64 << 20
 CHUNK = 256 << 10
+HEADER_MOST = 1 << 20
+VERSION_MOST = 16
 _MEMBER = b"\x1f\x8b\x08"
+_VERSION_LINE = re.compile(rb"WARC/\d{1,3}\.\d{1,3}\r\n")
 
 
 def digest_of(data: bytes) -> str:
@@ -61,33 +67,20 @@ def build_record(page_id: int | None, url: str | None, payload: bytes, refers_to
     return "\r\n".join(lines).encode("utf-8", "surrogatepass") + b"\r\n\r\n" + block + b"\r\n\r\n"
 
 
-class BadRecord(ValueError):
-    """A record that fails a check."""
+def _length(header: bytes) -> bytes:
+    for line in header.split(b"\r\n"):
+        name, _, value = line.partition(b":")
+        if name.strip().lower() == b"content-length" and value.strip().isdigit():
+            return value.strip()
+    return b"0"
 
 
-def parse_record(data: bytes, start: int = 0) -> tuple[dict[str, str], bytes, int]:
-    """Header fields (lower-case names), block and end of the record at ``start``. Raises BadRecord."""
-    head_end = data.find(b"\r\n\r\n", start)
-    if data[start : start + 5] != b"WARC/" or head_end < 0:
-        raise BadRecord("no header")
-    lines = data[start:head_end].split(b"\r\n")[1:]
-    if any(b":" not in line for line in lines):
-        raise BadRecord("broken header")
-    fields = {
-        name.decode("utf-8", "replace").strip().lower(): value.decode("utf-8", "replace").strip()
-        for name, value in (line.split(b":", 1) for line in lines)
-    }
-    length = fields.get("content-length", "")
-    if not length.isdigit() or "warc-type" not in fields:
-        raise BadRecord("header without length or type")
-    end = head_end + 4 + int(length)
-    block = data[head_end + 4 : end]
-    if len(block) < int(length) or data[end : end + 4] != b"\r\n\r\n":
-        raise BadRecord("block cut short")
-    stated = fields.get("warc-block-digest", "")
-    if stated.startswith("sha1:") and stated[5:] != digest_of(block):
-        raise BadRecord("block digest")
-    return fields, block, end + 4
+class BadRecord(ValueError):
+    """A record that fails a check. ``stated_end``: where its block should end, as far as its header can be read."""
+
+    def __init__(self, reason: str, stated_end: int = -1):
+        super().__init__(reason)
+        self.stated_end = stated_end
 
 
 class _Source:
@@ -98,7 +91,7 @@ class _Source:
 
     def at(self, start: int, length: int) -> bytes:
         self.file.seek(start)
-        return self.file.read(min(length, self.size - start))
+        return self.file.read(max(0, min(length, self.size - start)))
 
     def find(self, wanted: bytes, start: int) -> int:
         while start < self.size:
@@ -111,88 +104,175 @@ class _Source:
             start += len(chunk) - len(wanted) + 1
         return -1
 
+    def find_version(self, start: int, expected: int) -> int:
+        """The next version line that begins a line or stands at ``expected``; ``start`` is above 0."""
+        while start < self.size:
+            chunk = self.at(start - 1, CHUNK)
+            for hit in _VERSION_LINE.finditer(chunk, 1):
+                place = start - 1 + hit.start()
+                if place == expected or chunk[hit.start() - 1] == 0x0A:
+                    return place
+            if start - 1 + len(chunk) >= self.size:
+                break
+            start += len(chunk) - 1 - VERSION_MOST
+        return -1
 
-def _gzip_member(source: _Source, start: int) -> tuple[bytes, int]:
-    """The unpacked member at ``start`` and where it ends; its checksum is verified."""
-    unpacker, parts, place = zlib.decompressobj(31), [], start
-    while not unpacker.eof:
-        chunk = source.at(place, CHUNK)
-        if not chunk:
-            raise BadRecord("member cut short")
-        try:
-            parts.append(unpacker.decompress(chunk))
-        except zlib.error as error:
-            raise BadRecord("member checksum or data") from error
-        place += len(chunk)
-    return b"".join(parts), place - len(unpacker.unused_data)
 
+def read_record(source: _Source, start: int) -> tuple[dict[str, str], bytes, int]:
+    """Header fields (lower-case names), block and end of the record at ``start``. Raises BadRecord.
 
-def _plain_record(source: _Source, start: int) -> tuple[dict[str, str], bytes, int]:
+    Headers end within ``HEADER_MOST`` bytes. A block whose digest is right counts even if the blank lines after it
+    are damaged; the record then ends with its block.
+    """
     length = 16 << 10
     while True:
-        data = source.at(start, length)
-        try:
-            fields, block, end = parse_record(data)
-            return fields, block, start + end
-        except BadRecord as error:
-            # More bytes can only help a record that is not complete yet.
-            if str(error) not in ("no header", "block cut short") or data[:5] != b"WARC/" or start + len(data) >= source.size:
-                raise
-            stated = data.find(b"\r\n\r\n")
-            if stated < 0 and length >= 1 << 20:
-                raise
-            if str(error) == "block cut short":
-                wanted = stated + 8 + int(_length(data[:stated]))
-                if wanted <= length:
-                    raise
-                length = wanted
-            else:
-                length *= 4
-
-
-def _length(header: bytes) -> bytes:
-    for line in header.split(b"\r\n"):
-        name, _, value = line.partition(b":")
-        if name.strip().lower() == b"content-length" and value.strip().isdigit():
-            return value.strip()
-    return b"0"
+        head = source.at(start, length)
+        head_end = head.find(b"\r\n\r\n")
+        if not _VERSION_LINE.match(head) or (head_end < 0 and (length >= HEADER_MOST or len(head) < length)):
+            raise BadRecord("no header")
+        if head_end >= 0:
+            break
+        length *= 4
+    lines = head[:head_end].split(b"\r\n")[1:]
+    if any(b":" not in line for line in lines):
+        raise BadRecord("broken header")
+    fields = {
+        name.decode("utf-8", "replace").strip().lower(): value.decode("utf-8", "replace").strip()
+        for name, value in (line.split(b":", 1) for line in lines)
+    }
+    stated = fields.get("content-length", "")
+    if not (stated.isascii() and stated.isdigit()) or "warc-type" not in fields:
+        raise BadRecord("header without length or type")
+    end = start + head_end + 4 + int(stated)
+    if end > source.size:
+        raise BadRecord("block cut short", end)
+    block = source.at(start + head_end + 4, int(stated))
+    digest, whole = fields.get("warc-block-digest", ""), source.at(end, 4) == b"\r\n\r\n"
+    if digest.startswith("sha1:"):
+        if digest[5:] != digest_of(block):
+            raise BadRecord("block digest", end)
+    elif not whole:
+        raise BadRecord("block cut short", end)
+    return fields, block, end + 4 if whole else end
+
+
+@dataclass(frozen=True)
+class Found:
+    """A record or a gap in an archive.
+
+    ``start`` and ``end`` are bytes of the file; ``inner`` the bytes of the unpacked member they are about, if any.
+    ``doubtful``: the record stands inside the stated block of a damaged one, so it may be part of a payload, or
+    its member is damaged and it states no digest that would prove it.
+    """
 
+    kind: str
+    start: int
+    end: int
+    reason: str | None = None
+    fields: dict[str, str] | None = None
+    block: bytes = b""
+    inner: tuple[int, int] | None = None
+    doubtful: bool = False
 
-def salvage(file, size: int, packed: bool) -> Iterator[tuple]:
-    """("record", start, end, fields, block) and ("gap", start, end, reason) in file order, without holes.
 
-    Memory is bounded by one record. ``packed``: members of gzip, else plain records.
-    """
-    source, place, bad_from, reason = _Source(file, size), 0, None, ""
-    mark = _MEMBER if packed else b"WARC/"
-    while place < size:
+def _records(source: _Source, fault: str = "") -> Iterator[Found]:
+    """Records and gaps of plain bytes. ``fault``: what ended the bytes before their time."""
+    place, bad_from, reason, stated_end, expected = 0, None, "", -1, 0
+    while 0 <= place < source.size:
         try:
-            if packed:
-                data, end = _gzip_member(source, place)
-                found, at = [], 0
-                while at < len(data):
-                    fields, block, at = parse_record(data, at)
-                    found.append((fields, block))
-                if not found:
-                    raise BadRecord("empty member")
-            else:
-                fields, block, end = _plain_record(source, place)
-                found = [(fields, block)]
+            fields, block, end = read_record(source, place)
         except BadRecord as error:
             if bad_from is None:
                 bad_from, reason = place, str(error)
-            place = source.find(mark, place + 1)
-            if place < 0:
-                break
+            if error.stated_end >= 0:
+                stated_end, expected = max(stated_end, error.stated_end), error.stated_end + 4
+            place = source.find_version(place + 1, expected)
             continue
         if bad_from is not None:
-            yield ("gap", bad_from, place, reason)
+            yield Found("gap", bad_from, place, reason)
             bad_from = None
-        for fields, block in found:
-            yield ("record", place, end, fields, block)
-        place = end
-    if bad_from is not None:
-        yield ("gap", bad_from, size, reason)
+        proved = fields.get("warc-block-digest", "").startswith("sha1:")
+        doubtful = place < stated_end or (bool(fault) and not proved)
+        yield Found("record", place, end, None, fields, block, None, doubtful)
+        place, expected = end, end + 4
+    if bad_from is not None or fault:
+        yield Found("gap", source.size if bad_from is None else bad_from, source.size, fault or reason)
+
+
+def _gzip_member(source: _Source, start: int) -> tuple[bytes, int, str]:
+    """What the member at ``start`` unpacks to, where it ends, and the fault that ended it early, if any.
+
+    Checksum and length are verified. Before a fault all is unpacked that can be, to the byte.
+    """
+    unpacker, parts, place = zlib.decompressobj(31), [], start
+    while not unpacker.eof:
+        chunk = source.at(place, CHUNK)
+        if not chunk:
+            return b"".join(parts), place, "member cut short"
+        before = unpacker.copy()
+        try:
+            parts.append(unpacker.decompress(chunk))
+        except zlib.error:
+            parts += _until_error(before, chunk)
+            return b"".join(parts), place, "member checksum or data"
+        place += len(chunk)
+    return b"".join(parts), place - len(unpacker.unused_data), ""
+
+
+def _until_error(unpacker, chunk: bytes) -> list[bytes]:
+    """What a chunk unpacks to before the error in it: in pieces, the piece with the error byte by byte."""
+    parts, place, step = [], 0, 1024
+    while place < len(chunk):
+        before = unpacker.copy()
+        try:
+            parts.append(unpacker.decompress(chunk[place : place + step]))
+            place += step
+        except zlib.error:
+            if step == 1:
+                break
+            unpacker, step = before, 1
+    return parts
+
+
+def _members(source: _Source) -> Iterator[Found]:
+    """Records and gaps of an archive of gzip members.
+
+    A member that gives no record, and bytes that are no member, are gaps of the file. What a damaged member
+    still gives is told with its gaps inside; it reaches to the next member that gives any.
+    """
+    place, held_from, held = 0, None, []
+
+    def settle(end: int) -> Iterator[Found]:
+        for found in held:
+            yield replace(found, start=held_from, end=end)
+
+    while 0 <= place < source.size:
+        data, end, fault = _gzip_member(source, place)
+        found = [replace(f, inner=(f.start, f.end)) for f in _records(_Source(io.BytesIO(data), len(data)), fault)]
+        if any(f.kind == "record" for f in found):
+            if held_from is not None:
+                yield from settle(place)
+            held_from, held = place, found
+            if not fault:
+                yield from settle(end)
+                held_from = None
+        elif held_from is None:
+            held_from, held = place, [Found("gap", place, place, found[0].reason if found else "empty member")]
+        place = source.find(_MEMBER, place + 1) if fault else end
+    if held_from is not None:
+        yield from settle(source.size)
+
+
+def salvage(file, size: int, packed: bool) -> Iterator[Found]:
+    """Records and gaps in file order; together they cover the file. ``packed``: members of gzip, else plain records.
+
+    After a failed check the search goes on at the next member whose records can be read, or the next version line
+    (``WARC/`` and a number of two parts) that begins a line or stands where the damaged record should have ended.
+    Inside unpacked members, damaged ones too, the same search for version lines runs. Memory is bounded by one
+    member, and in plain archives by the length a record states.
+    """
+    source = _Source(file, size)
+    return _members(source) if packed else _records(source)
 
 
 def write_archives(pages: DataFrame, folder: str | None = None, revisit_from: int = 0, date: str = "2024-01-01T00:00:00Z") -> DataFrame:
@@ -245,7 +325,8 @@ def write_archives(pages: DataFrame, folder: str | None = None, revisit_from: in
 
 RECORD_SCHEMA = (
     "path string, start long, end long, kind string, reason string, record_type string, record_id string, "
-    "refers_to string, uri string, payload_digest string, payload_bytes long, payload binary"
+    "refers_to string, uri string, payload_digest string, payload_bytes long, payload binary, inner_start long, "
+    "inner_end long, doubtful boolean"
 )
 
 
@@ -254,8 +335,10 @@ def read_archives(archives: DataFrame) -> DataFrame:
 
     ``kind`` is "record" or "gap"; a gap has its byte range and the reason of the first failed check. Records have
     type, id, what they revisit, uri, digest and length of the full payload (for a revisit out of its HTTP header,
-    which stands for the payload) and the payload (null for a revisit). Each archive is read by one task, in a
-    stream; an empty archive gives no rows. Null paths are skipped.
+    which stands for the payload) and the payload (null for a revisit). ``inner_start`` and ``inner_end`` are the
+    place inside the unpacked member, null in plain archives and where nothing could be unpacked. ``doubtful`` marks
+    records that may be part of a damaged payload, or that nothing proves in a damaged member. Each archive is read by
+    one task, in a stream; an empty archive gives no rows. Null paths are skipped.
     """
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -265,9 +348,9 @@ def read_archives(archives: DataFrame) -> DataFrame:
                 system, name = file_system(path)
                 size = system.get_file_info(name).size
                 with system.open_input_file(name) as file:
-                    for kind, start, end, *rest in salvage(file, size, path.endswith(".gz")):
-                        rows.append(_row(path, kind, start, end, *rest))
-                        held += end - start
+                    for found in salvage(file, size, path.endswith(".gz")):
+                        rows.append(_row(path, found))
+                        held += found.end - found.start + len(found.block)
                         if held > 4 << 20:
                             yield pd.DataFrame(rows, columns=_COLUMNS)
                             rows, held = [], 0
@@ -283,18 +366,19 @@ def read_archives(archives: DataFrame) -> DataFrame:
 _COLUMNS = [field.split()[0] for field in RECORD_SCHEMA.split(", ")]
 
 
-def _row(path: str, kind: str, start: int, end: int, *rest) -> tuple:
-    if kind == "gap":
-        return (path, start, end, kind, rest[0], None, None, None, None, None, None, None)
-    fields, block = rest
-    head, _, payload = block.partition(b"\r\n\r\n")
+def _row(path: str, found: Found) -> tuple:
+    inner = found.inner or (None, None)
+    if found.kind == "gap":
+        return (path, found.start, found.end, "gap", found.reason, *[None] * 7, *inner, False)
+    fields = found.fields
+    head, _, payload = found.block.partition(b"\r\n\r\n")
     revisit = fields["warc-type"] == "revisit"
     stated = _length(head)
     return (
         path,
-        start,
-        end,
-        kind,
+        found.start,
+        found.end,
+        "record",
         None,
         fields["warc-type"],
         fields.get("warc-record-id"),
@@ -303,6 +387,8 @@ def _row(path: str, kind: str, start: int, end: int, *rest) -> tuple:
         fields.get("warc-payload-digest", "").removeprefix("sha1:") if revisit else digest_of(payload),
         int(stated) if revisit else len(payload),
         None if revisit else payload,
+        *inner,
+        found.doubtful,
     )
 
 

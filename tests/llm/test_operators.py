@@ -1,7 +1,9 @@
 """The operators of the llm folder on small tables: brute-force versions, round trips and odd rows."""
 
+import gzip
 import hashlib
 import io
+import random
 import zlib
 from collections import Counter
 
@@ -166,25 +168,120 @@ def test_sharding_levels(spark, monkeypatch):
     assert len(sizes) == 8 and max(sizes) <= 1.02 * min(sizes)
 
 
-def _members(payloads):
-    return [__import__("gzip").compress(warc.build_record(i, None, p, None, False, "d"), mtime=0) for i, p in enumerate(payloads)]
+def _packed(payloads):
+    return [gzip.compress(warc.build_record(i, None, p, None, False, "d"), mtime=0) for i, p in enumerate(payloads)]
 
 
 @pytest.mark.parametrize("packed", [True, False])
 def test_salvage(packed):
     parts = [warc.build_record(i, None, b"page %d WARC/1.1 " % i * 50, None, False, "d") for i in range(4)]
     if packed:
-        parts = _members([b"page %d" % i * 50 for i in range(4)])
+        parts = _packed([b"page %d" % i * 50 for i in range(4)])
     whole = b"".join(parts)
     broken = bytearray(whole)
     broken[len(parts[0]) + len(parts[1]) // 2] ^= 0xFF
     found = list(warc.salvage(io.BytesIO(bytes(broken)), len(broken), packed))
-    assert [x[3]["warc-record-id"][-2] for x in found if x[0] == "record"] == ["0", "2", "3"]
-    assert [x[1:3] for x in found if x[0] == "gap"] == [(len(parts[0]), len(parts[0]) + len(parts[1]))]
-    cut = whole[:-3]
-    found = list(warc.salvage(io.BytesIO(cut), len(cut), packed))
-    assert sum(x[0] == "record" for x in found) == 3 and found[-1][0] == "gap" and found[-1][2] == len(cut)
+    assert [x.fields["warc-record-id"][-2] for x in found if x.kind == "record"] == ["0", "2", "3"]
+    assert [(x.start, x.end) for x in found if x.kind == "gap"] == [(len(parts[0]), len(parts[0]) + len(parts[1]))]
     assert list(warc.salvage(io.BytesIO(b""), 0, packed)) == []
+    cut = whole[: len(whole) - len(parts[3]) // 2]
+    found = list(warc.salvage(io.BytesIO(cut), len(cut), packed))
+    assert sum(x.kind == "record" for x in found) == 3 and found[-1].kind == "gap" and found[-1].end == len(cut)
+
+
+def _salvaged(data, packed):
+    """Ids of the records, with a mark at doubtful ones, and the gaps."""
+    found = list(warc.salvage(io.BytesIO(data), len(data), packed))
+    edges = sorted({(x.start, x.end) for x in found})
+    if found:
+        assert edges[0][0] == 0 and edges[-1][1] == len(data) and all(a[1] == b[0] for a, b in zip(edges, edges[1:]))
+    ids = [x.fields.get("warc-record-id", ":??").split(":")[-1][:-1] + "?" * x.doubtful for x in found if x.kind == "record"]
+    return ids, [x for x in found if x.kind == "gap"]
+
+
+def _noise(seed, size):
+    return np.random.default_rng(seed).bytes(size)
+
+
+def test_salvage_one_member_with_a_broken_record():
+    parts = [warc.build_record(i, None, _noise(i, 2000), None, False, "d") for i in range(4)]
+    inside = bytearray(b"".join(parts))
+    inside[len(parts[0]) + len(parts[1]) // 2] ^= 0xFF
+    ids, gaps = _salvaged(gzip.compress(bytes(inside), mtime=0), True)
+    assert ids == ["0", "2", "3"]
+    assert [g.inner for g in gaps] == [(len(parts[0]), len(parts[0]) + len(parts[1]))] and gaps[0].reason == "block digest"
+
+
+@pytest.mark.parametrize("lost", [1, 5, 8])
+def test_salvage_one_member_without_its_last_bytes(lost):
+    whole = gzip.compress(b"".join(warc.build_record(i, None, _noise(i, 2000), None, False, "d") for i in range(4)), mtime=0)
+    ids, gaps = _salvaged(whole[:-lost], True)
+    assert ids == ["0", "1", "2", "3"] and [g.reason for g in gaps] == ["member cut short"]
+    ids, gaps = _salvaged(whole[:-lost] + b"\xff" * lost, True)
+    assert ids == ["0", "1", "2", "3"] and [g.reason for g in gaps] == ["member checksum or data"]
+
+
+def test_salvage_keeps_what_was_unpacked_before_a_fault():
+    long = [gzip.compress(b"".join(warc.build_record(i * 10 + k, None, _noise(k, 90_000), None, False, "d") for k in range(9))) for i in (1, 2)]
+    broken = bytearray(long[0])
+    broken[len(broken) // 2 : len(broken) // 2 + 40] = b"\xff" * 40
+    ids, gaps = _salvaged(bytes(broken) + long[1], True)
+    assert ids[:4] == ["10", "11", "12", "13"] and ids[-9:] == [str(n) for n in range(20, 29)] and gaps
+    assert all(g.start == 0 and g.end == len(broken) for g in gaps)
+
+
+def test_salvage_marks_a_record_inside_a_damaged_payload():
+    embedded = warc.build_record(7, None, b"inner", None, False, "d")
+    outer = bytearray(warc.build_record(1, None, b"x" * 50 + b"\r\n" + embedded + b"y" * 50, None, False, "d"))
+    after = warc.build_record(2, None, b"after", None, False, "d")
+    assert _salvaged(bytes(outer) + after, False)[0] == ["1", "2"]
+    outer[outer.find(b"xxx")] ^= 1
+    for packed in (False, True):
+        data = bytes(outer) + after
+        ids, gaps = _salvaged(gzip.compress(data, mtime=0) if packed else data, packed)
+        assert ids == ["7?", "2"] and len(gaps) == 2
+
+
+def test_salvage_wants_a_version_line():
+    records = [warc.build_record(i, None, b"p" * 100, None, False, "d") for i in range(3)]
+    false = records[1].replace(b"WARC/1.1", b"WARC/nonsense", 1)
+    assert _salvaged(records[0] + false + records[2], False)[0] == ["0", "2"]
+    # Damaged blank lines lose no record: not the one before them, nor the one behind.
+    torn = records[0][:-4] + b"zzzz" + records[1]
+    ids, gaps = _salvaged(torn, False)
+    assert ids == ["0", "1"] and [(g.start, g.end) for g in gaps] == [(len(records[0]) - 4, len(records[0]))]
+    bad = bytearray(torn)
+    bad[len(records[0]) - 50] ^= 1
+    assert _salvaged(bytes(bad), False)[0] == ["1"]
+
+
+@pytest.mark.parametrize("packed", [True, False])
+def test_salvage_long_records(packed):
+    long = [warc.build_record(i, "u" * 200_000 * i, _noise(i, 1 << 20), None, False, "d") for i in range(3)]
+    pack = (lambda r: gzip.compress(r, mtime=0)) if packed else (lambda r: r)
+    parts = [pack(r) for r in long]
+    assert _salvaged(b"".join(parts), packed) == (["0", "1", "2"], [])
+    broken = bytearray(b"".join(parts))
+    broken[len(parts[0]) + (900 << 10)] ^= 0x55
+    ids, gaps = _salvaged(bytes(broken), packed)
+    assert ids == ["0", "2"] and len(gaps) == 1
+    # One rule for both kinds: a header ends within a megabyte.
+    wide = pack(warc.build_record(3, "u" * (5 << 20), b"x", None, False, "d"))
+    assert _salvaged(wide + parts[0], packed)[0] == ["0"]
+
+
+def test_salvage_of_random_damage():
+    parts = [warc.build_record(i, None, _noise(i, 300 + 40 * i), None, False, "d") for i in range(12)]
+    for seed in range(60):
+        draw, packed = random.Random(seed), seed % 2 == 0
+        stored = [gzip.compress(p, mtime=0) for p in parts] if packed else parts
+        data, hurt = bytearray(b"".join(stored)), set()
+        for _ in range(3):
+            at = draw.randrange(len(data))
+            data[at] ^= draw.randrange(1, 256)
+            hurt.add(next(i for i in range(12) if at < sum(map(len, stored[: i + 1]))))
+        ids, _ = _salvaged(bytes(data), packed)
+        assert {str(i) for i in range(12)} - {str(i) for i in hurt} <= {i.rstrip("?") for i in ids}
 
 
 def test_warc_odd_rows(spark):
