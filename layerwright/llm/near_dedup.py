@@ -9,7 +9,7 @@ still lands in one group when any third text links both.
 
 What happens to the rows:
 
-1. Texts with the same set of shingles form a class; only classes go on.
+1. Texts with the same set of shingles form a class, told apart by 127 bits of a digest; only classes go on.
 2. In each bucket the smallest class is the leader and every member is compared with it: links per bucket grow
    with its size, not with the square. Compared means: minhash agreement first, then the full sets.
 3. Connected components. Buckets of more than two whose members are now in different components are looked at
@@ -116,16 +116,18 @@ def minhashes(shingles: np.ndarray, hashes: int) -> np.ndarray:
 
 def _signed(batches: Iterator[pd.DataFrame], width: int, scheme: Bands) -> Iterator[pd.DataFrame]:
     for batch in batches:
-        counts, classes, signatures = [], [], []
+        counts, classes, checks, signatures = [], [], [], []
         for text in batch.body:
             shingles = shingle_set(text, width)
             counts.append(len(shingles))
             if len(shingles):
-                digest = hashlib.blake2b(shingles.tobytes(), digest_size=8).digest()
-                classes.append(int.from_bytes(digest, "little") >> 1)
+                digest = hashlib.blake2b(shingles.tobytes(), digest_size=16).digest()
+                classes.append(int.from_bytes(digest[:8], "little") >> 1)
+                checks.append(int.from_bytes(digest[8:], "little", signed=True))
                 signatures.append(minhashes(shingles, scheme.hashes))
             else:
                 classes.append(None)
+                checks.append(None)
                 signatures.append(None)
         yield pd.DataFrame(
             {
@@ -133,6 +135,7 @@ def _signed(batches: Iterator[pd.DataFrame], width: int, scheme: Bands) -> Itera
                 "doc_id": batch.doc_id,
                 "n_shingles": counts,
                 "class": pd.array(classes, "Int64"),
+                "check": pd.array(checks, "Int64"),
                 "signature": signatures,
             }
         )
@@ -141,7 +144,7 @@ def _signed(batches: Iterator[pd.DataFrame], width: int, scheme: Bands) -> Itera
 def sign(
     docs: DataFrame, width: int, scheme: Bands, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
-    """Per row: row_key, doc_id, n_shingles, class (63-bit digest of the shingle set), signature."""
+    """Per row: row_key, doc_id, n_shingles, class and check (63 and 64 bits of a digest of the shingle set), signature."""
     small_batches(docs.sparkSession)
     body = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("body")).select(
         row_key(F.col("doc_id"), F.col("body")).alias("row_key"), F.col("doc_id").cast("string").alias("doc_id"), "body"
@@ -149,11 +152,37 @@ def sign(
     # Ids go as text: beside a null pandas would make them floats, which hold 53 bits.
     signed = body.mapInPandas(
         lambda batches: _signed(batches, width, scheme),
-        "row_key string, doc_id string, n_shingles long, class long, signature array<int>",
+        "row_key string, doc_id string, n_shingles long, class long, check long, signature array<int>",
     )
     return signed.withColumn("doc_id", F.col("doc_id").cast("long"))
 
 
+def classes_of(signed: DataFrame) -> DataFrame:
+    """One row per class: its smallest row_key, set size and signature, and the least and greatest check of its rows."""
+    return (
+        signed.filter("n_shingles > 0")
+        .groupBy("class")
+        .agg(
+            F.min("row_key").alias("row_key"),
+            F.first("n_shingles").alias("n"),
+            F.first("signature").alias("signature"),
+            F.min("check").alias("low"),
+            F.max("check").alias("high"),
+        )
+    )
+
+
+def tell_apart(signed: DataFrame, clashes: DataFrame) -> DataFrame:
+    """``signed`` with a class of its own for each set that shares a class with another.
+
+    ``clashes`` (class, low) names the classes whose rows differ in their check. Rows with the least check stay,
+    the others get a class made of class and check.
+    """
+    other = F.shiftrightunsigned(F.xxhash64("class", "check"), 1)
+    found = split_lookup(signed, clashes.select("class", "low"), ["class"], "left")
+    return found.withColumn("class", F.when(F.col("check") > F.col("low"), other).otherwise(F.col("class"))).drop("low")
+
+
 def _bands(signature: Column, scheme: Bands) -> tuple[Column, Column]:
     def cut(offset: int, count: int, rows: int, salt: int) -> Column:
         return F.array(
@@ -334,16 +363,11 @@ def near_dedup(
     """
     scheme = bands_for(percent)
     signed = stage(sign(docs, width, scheme, id_col, text_col), "near-signed")
-    classes = stage(
-        signed.filter("n_shingles > 0")
-        .groupBy("class")
-        .agg(
-            F.min("row_key").alias("row_key"),
-            F.first("n_shingles").alias("n"),
-            F.first("signature").alias("signature"),
-        ),
-        "near-classes",
-    )
+    classes = stage(classes_of(signed), "near-classes")
+    clashes = classes.filter("low < high")
+    if not clashes.isEmpty():
+        signed = stage(tell_apart(signed, clashes), "near-signed")
+        classes = stage(classes_of(signed), "near-classes")
     keyed = table_keys(classes, scheme)
     shared = keyed.groupBy("key").agg(F.min("class").alias("leader"), F.count(F.lit(1)).alias("m")).filter("m > 1")
     members = stage(split_lookup(keyed, shared, ["key"]).select("key", "leader", "m", "class"), "near-members")

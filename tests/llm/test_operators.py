@@ -9,6 +9,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as contract
 import corpus_pipeline
@@ -102,6 +103,14 @@ def test_near_dedup_against_all_pairs(docs):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in found} == expected
 
 
+def test_near_dedup_tells_sets_with_one_class_apart(docs, monkeypatch):
+    sign = near_dedup.sign
+    monkeypatch.setattr(near_dedup, "sign", lambda *a: sign(*a).withColumn("class", F.col("class") % 5))
+    expected = _brute_components([(r.doc_id, r.text) for r in docs.collect()], 2)
+    found = near_dedup.near_dedup(docs, width=2).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in found} == expected
+
+
 def test_near_dedup_odd_rows(odd, empty):
     found = {(r.doc_id, r.component_id, r.kept) for r in near_dedup.near_dedup(odd, 2).collect()}
     assert found == {(1, 1, True), (2, 1, False), (None, 1, False), (3, 3, True), (4, 4, True), (5, 5, True), (6, 6, True)}
