@@ -10,7 +10,6 @@ from __future__ import annotations
 import base64
 import gzip
 import hashlib
-import io
 import re
 import zlib
 from collections.abc import Iterator
@@ -84,14 +83,24 @@ class BadRecord(ValueError):
 
 
 class _Source:
-    """Random reads over an open file, in chunks."""
+    """Random reads over an open file through a window of one chunk, or over bytes."""
 
     def __init__(self, file, size: int):
-        self.file, self.size = file, size
+        self.file, self.size, self.window, self.window_start = file, size, b"", 0
+
+    @classmethod
+    def of(cls, data: bytes) -> "_Source":
+        made = cls(None, len(data))
+        made.window = data
+        return made
 
     def at(self, start: int, length: int) -> bytes:
-        self.file.seek(start)
-        return self.file.read(max(0, min(length, self.size - start)))
+        length = max(0, min(length, self.size - start))
+        if start < self.window_start or start + length > self.window_start + len(self.window):
+            self.file.seek(start)
+            self.window, self.window_start = self.file.read(max(length, CHUNK)), start
+        place = start - self.window_start
+        return self.window[place : place + length]
 
     def find(self, wanted: bytes, start: int) -> int:
         while start < self.size:
@@ -204,34 +213,32 @@ def _gzip_member(source: _Source, start: int) -> tuple[bytes, int, str]:
 
     Checksum and length are verified. Before a fault all is unpacked that can be, to the byte.
     """
-    unpacker, parts, place = zlib.decompressobj(31), [], start
+    unpacker, parts, place, step = zlib.decompressobj(31), [], start, 4 << 10
     while not unpacker.eof:
-        chunk = source.at(place, CHUNK)
+        chunk = source.at(place, step)
         if not chunk:
             return b"".join(parts), place, "member cut short"
-        before = unpacker.copy()
         try:
             parts.append(unpacker.decompress(chunk))
         except zlib.error:
-            parts += _until_error(before, chunk)
-            return b"".join(parts), place, "member checksum or data"
-        place += len(chunk)
+            return _until_error(source, start, place), place, "member checksum or data"
+        place, step = place + len(chunk), min(2 * step, CHUNK)
     return b"".join(parts), place - len(unpacker.unused_data), ""
 
 
-def _until_error(unpacker, chunk: bytes) -> list[bytes]:
-    """What a chunk unpacks to before the error in it: in pieces, the piece with the error byte by byte."""
-    parts, place, step = [], 0, 1024
-    while place < len(chunk):
+def _until_error(source: _Source, start: int, place: int) -> bytes:
+    """What a member unpacks to before its error, which comes after ``place``: in pieces, the last one byte by byte."""
+    unpacker = zlib.decompressobj(31)
+    parts, step = [unpacker.decompress(source.at(start, place - start))], 1024
+    while True:
         before = unpacker.copy()
         try:
-            parts.append(unpacker.decompress(chunk[place : place + step]))
+            parts.append(unpacker.decompress(source.at(place, step)))
             place += step
         except zlib.error:
             if step == 1:
-                break
+                return b"".join(parts)
             unpacker, step = before, 1
-    return parts
 
 
 def _members(source: _Source) -> Iterator[Found]:
@@ -248,7 +255,7 @@ def _members(source: _Source) -> Iterator[Found]:
 
     while 0 <= place < source.size:
         data, end, fault = _gzip_member(source, place)
-        found = [replace(f, inner=(f.start, f.end)) for f in _records(_Source(io.BytesIO(data), len(data)), fault)]
+        found = [replace(f, inner=(f.start, f.end)) for f in _records(_Source.of(data), fault)]
         if any(f.kind == "record" for f in found):
             if held_from is not None:
                 yield from settle(place)
