@@ -22,6 +22,7 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cache
 
 import numpy as np
 import pandas as pd
@@ -38,6 +39,7 @@ MISSED_PER_THOUSAND = 1
 MOST_TABLES = 128
 MEMBERS_PER_TASK_GROUP = 256
 MAP_BITS = 1 << 23
+SHINGLES_AT_ONCE = 1024
 
 _WORDS_KEPT = 400_000
 _word_hashes: dict[bytes, int] = {}
@@ -100,6 +102,7 @@ def bands_for(percent: int) -> Bands:
     return min(found, key=lambda b: (-b.left_rows - b.right_rows, b.left * b.right, b.hashes))
 
 
+@cache
 def _multipliers(hashes: int) -> tuple[np.ndarray, np.ndarray]:
     drawn = np.random.default_rng(20240229).integers(1, 2**63, size=(2, hashes), dtype=np.uint64)
     return drawn[0] * np.uint64(2) + np.uint64(1), drawn[1]
@@ -108,9 +111,13 @@ def _multipliers(hashes: int) -> tuple[np.ndarray, np.ndarray]:
 def minhashes(shingles: np.ndarray, hashes: int) -> np.ndarray:
     """The signature: for each hash function the upper half of the smallest value, as int32."""
     factors, shifts = _multipliers(hashes)
-    out = np.empty(hashes, np.uint64)
-    for i in range(hashes):
-        out[i] = (shingles * factors[i] + shifts[i]).min()
+    if len(shingles) <= SHINGLES_AT_ONCE:
+        # All functions at once, as long as their values stay in a core's cache.
+        values = shingles * factors[:, None]
+        values += shifts[:, None]
+        out = values.min(axis=1)
+    else:
+        out = np.array([(shingles * factor + shift).min() for factor, shift in zip(factors, shifts)])
     return (out >> np.uint64(32)).astype(np.uint32).view(np.int32)
 
 
