@@ -11,18 +11,18 @@ from pyspark.sql import DataFrame, Row, SparkSession
 from layerwright.operators.joins import join_ingest_lookup
 from layerwright.plans.parallel import LOADS_AT_ONCE, side_by_side
 from layerwright.sinks.files import write_landing_text
-from layerwright.sources.jdbc import JdbcConnection, ReadRanges, scan_jdbc_table
+from layerwright.sources.jdbc import EqualDepth, JdbcConnection, ReadRanges, scan_jdbc_table
 
 TableReader = Callable[[str, str], DataFrame]
 
 
 def jdbc_reader(
-    spark: SparkSession, connection: JdbcConnection, ranges: dict[str, ReadRanges] | None = None
+    spark: SparkSession, connection: JdbcConnection, ranges: dict[str, ReadRanges | EqualDepth | None] | None = None
 ) -> TableReader:
-    """Reads tables over one connection, those named in ``ranges`` (``schema.table``) in parallel."""
+    """Reads tables in ranges of equal depth of their keys, those named in ``ranges`` (``schema.table``) as it says."""
 
     def read(schema_name: str, table_name: str) -> DataFrame:
-        cuts = (ranges or {}).get(f"{schema_name}.{table_name}")
+        cuts = (ranges or {}).get(f"{schema_name}.{table_name}", EqualDepth())
         return scan_jdbc_table(spark, connection, schema_name, table_name, cuts)
 
     return read

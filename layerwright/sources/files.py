@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from layerwright.sources.quoted_text import read_quoted_text
+
 # The formats a metadata row may name, with their reader options.
 FORMATS = {
     "parquet": {},
@@ -53,17 +55,24 @@ def scan_by_format(spark: SparkSession, path: str, source_format: str) -> DataFr
 
 
 def read_landing_text(
-    spark: SparkSession, path: str, schema: T.StructType | None = None, multi_line: bool = True
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType | None = None,
+    multi_line: bool = True,
+    split_files: bool = False,
 ) -> DataFrame:
     """Read a landing folder with its ``year/month/day`` partition columns.
 
     Line breaks inside quotes are admitted unless ``multi_line`` is off; the
     folder holds one file per writing task, so the scan stays parallel by file.
+    With ``split_files`` it is parallel within a file too, for a few large files;
+    the text is then read twice, and every field with a quote in it is quoted.
     """
     reader = spark.read.options(**LANDING_TEXT_OPTIONS, multiLine=multi_line, basePath=path)
     if schema is not None:
         reader = reader.schema(schema)
-    return reader.csv(path)
+    rows = reader.csv(path)
+    return read_quoted_text(spark, rows, path, LANDING_TEXT_OPTIONS) if split_files and multi_line else rows
 
 
 def scan_json_metadata(spark: SparkSession, path: str) -> DataFrame:

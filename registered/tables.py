@@ -206,6 +206,20 @@ def read_landing_text(spark, sf):
     return sources.read_landing_text(spark, f"{root}/chat/turns", schema)
 
 
+@registry.query(
+    """SELECT page_id, url, CAST(length(html) AS BIGINT) AS n_chars, md5(html) AS html_md5,
+              2024 AS year, 3 AS month, 9 AS day FROM pages"""
+)
+def read_landing_text_split(spark, sf):
+    root = scratch_path(spark, "landing")
+    sinks.write_landing_text(table(spark, sf, "pages").select("page_id", "url", "html"), root, "archive", "pages", RUN_TIME)
+    schema = "page_id bigint, url string, html string, year int, month int, day int"
+    back = sources.read_landing_text(spark, f"{root}/archive/pages", schema, split_files=True)
+    return back.selectExpr(
+        "page_id", "url", "CAST(length(html) AS BIGINT) AS n_chars", "md5(html) AS html_md5", "year", "month", "day"
+    )
+
+
 @registry.query("SELECT o_orderkey, o_custkey, o_totalprice FROM orders")
 def truncate_reload(spark, sf):
     database = scratch_database(spark, "landing")

@@ -1,11 +1,14 @@
 import json
+import random
 import threading
 import time
-from datetime import datetime, timedelta, timezone
+from datetime import date, datetime, timedelta, timezone
+from decimal import Decimal
 from functools import partial
 from pathlib import Path
 
 import pytest
+from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from layerwright import sinks, sources
@@ -101,6 +104,47 @@ def test_landing_text_round_trip(spark, tmp_path):
     assert {(r.year, r.month, r.day) for r in back} == {(2024, 3, 1)}
 
 
+@pytest.mark.parametrize("block", [150, 100_000])
+def test_landing_text_is_read_in_blocks(spark, tmp_path, block):
+    rng = random.Random(block)
+    bits = ['"', "\\", "\n", ",", "\r", "ab", " ", "\n\n", "漢", '\\"', '",\n"', "x" * 50]
+    rows = [(i, "".join(rng.choices(bits, k=rng.randrange(9))), rng.choice(["", "v", "\n"])) for i in range(60)]
+    rows.append((60, "\n".join(["long"] * 60), "one record over many blocks"))
+    df = spark.createDataFrame(rows, "id int, `a text` string, c string")
+    for day, part in ((1, df.filter("id % 3 > 0")), (2, df.filter("id % 3 = 0"))):
+        when = datetime(2024, 5, day, 12, tzinfo=timezone.utc)
+        sinks.write_landing_text(part.repartition(2, "id"), str(tmp_path), "crm", "t", when)
+    path = f"{tmp_path}/crm/t"
+    plain = sources.read_landing_text(spark, path)
+    before = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", block)
+        spark.conf.set("spark.sql.files.openCostInBytes", 0)
+        cut = sources.read_landing_text(spark, path, split_files=True)
+        typed = sources.read_landing_text(spark, path, plain.schema, split_files=True)
+        assert cut.schema == typed.schema == plain.schema
+        lines = spark.read.option("lineSep", "\n").text(path)
+        assert lines.rdd.getNumPartitions() > (4 if block < 1000 else 0)
+        found, again = cut.collect(), typed.collect()
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+    key = lambda row: int(row.id)
+    assert sorted(found, key=key) == sorted(plain.collect(), key=key) == sorted(again, key=key)
+    assert len(found) == 61 and {r.day for r in found} == {1, 2}
+
+
+def test_blocks_of_text_that_ends_early_or_holds_nothing(spark, tmp_path):
+    (tmp_path / "day=1").mkdir()
+    (tmp_path / "day=1" / "empty.txt").write_text("")
+    (tmp_path / "day=1" / "head.txt").write_text('"a","b"\n')
+    (tmp_path / "day=1" / "rows.txt").write_bytes(b'"a","b"\r\n"1","x\ny"\r\n\r\n"2"\r\n"3","z","more"')
+    schema = "a string, b string, day int"
+    plain = sources.read_landing_text(spark, str(tmp_path), schema).collect()
+    assert sorted(sources.read_landing_text(spark, str(tmp_path), schema, split_files=True).collect()) == sorted(plain)
+    assert [r.a for r in sorted(plain)] == ["1", "2", "3"]
+
+
 def test_overwrite_keeps_old_columns(spark, database):
     sinks.write_overwrite(spark.createDataFrame([(1, 2)], "a int, b int"), database, "t", add_id=False)
     sinks.write_overwrite(spark.createDataFrame([(3, "x")], "A int, c string"), database, "t", add_id=False)
@@ -167,6 +211,68 @@ def test_jdbc_options_split_the_extract():
         jdbc.qualified_name("dbo", "x; DROP TABLE y")
 
 
+def _keys():
+    rng = random.Random(4)
+    crowded = [min(int(rng.expovariate(0.001)), 3000) for _ in range(2000)]
+    return {
+        "k int": crowded + [None] * 50,
+        "k string": [f"o'{k % 97}" for k in crowded] + [None, ""],
+        "k date": [date(2020, 1, 1) + timedelta(days=k) for k in crowded],
+        "k timestamp": [datetime(2020, 1, 1) + timedelta(seconds=k, microseconds=k) for k in crowded],
+        "k decimal(9,3)": [Decimal(k) / 8 for k in crowded] + [None],
+        "k long": [7] * 300 + [None] * 3,
+        "k short": [],
+    }
+
+
+@pytest.mark.parametrize("column", _keys())
+def test_ranges_of_equal_depth_share_out_all_rows(spark, database, column):
+    """The cuts are found by SQL that any source runs; here Spark's own tables stand for the source."""
+    values = _keys()[column]
+    spark.createDataFrame([(v,) for v in values], column).write.saveAsTable(f"{database}.Keyed")
+    wanted = jdbc.depth_plan(spark.sql, database, "Keyed", jdbc.EqualDepth("k", 8))
+    counts = [spark.table(f"{database}.Keyed").filter(condition).count() for condition in wanted]
+    assert sum(counts) == len(values) and counts[-1] == values.count(None)
+    heaviest = max([values.count(v) for v in set(values) - {None}], default=0)
+    assert max(counts[:-1]) <= len(values) / 8 + 1 + heaviest
+    assert len(wanted) <= 9 and (heaviest > 250 or len(wanted) > 5 or not values)
+
+
+def test_ranges_fall_on_the_first_key_column():
+    class Answer(list):
+        def orderBy(self, name):
+            return Answer(sorted(self, key=lambda row: row[name]))
+
+        def first(self):
+            return self[0] if self else None
+
+        def collect(self):
+            return self
+
+    asked = []
+
+    def source(query):
+        asked.append(query)
+        if "information_schema" in query:
+            return Answer([Row(key_column="line", place=2), Row(key_column="order_id", place=1)])
+        return Answer([Row(share=2, cut=50), Row(share=1, cut=1), Row(share=3, cut=90)])
+
+    wanted = jdbc.depth_plan(source, "dbo", "Lines", jdbc.EqualDepth(partitions=3))
+    assert wanted == ["order_id < 50", "order_id >= 50 AND order_id < 90", "order_id >= 90", "order_id IS NULL"]
+    assert "LOWER(c.table_name) = 'lines'" in asked[0] and "NTILE(3) OVER (ORDER BY order_id)" in asked[1]
+    assert jdbc.depth_plan(lambda query: Answer(), "dbo", "Heap", jdbc.EqualDepth()) is None
+    for value in (0.5, True, b"x", None):
+        with pytest.raises(TypeError):
+            jdbc.sql_literal(value)
+    with pytest.raises(ValueError):
+        jdbc.depth_query("dbo", "t", "k; DROP TABLE y", 4)
+    with pytest.raises(ValueError):
+        jdbc.depth_query("dbo", "t", "k", 0)
+    assert jdbc.depth_options(jdbc.JdbcConnection("jdbc:x", {"user": "u"}), "dbo", "t") == {
+        "url": "jdbc:x", "table": "dbo.t", "properties": {"fetchsize": "10000", "user": "u"},
+    }
+
+
 def _lookup_tables(spark):
     conn = spark.createDataFrame(
         [(1, "g1", "crm", "sql", True), (2, "g2", "old", "sql", False)],
