@@ -1,32 +1,35 @@
 """Chat formatting with a loss mask that is exact to the character.
 
-A conversation is rendered as a whole and encoded once, with offsets. The spans of the assistant's texts and the
-spans of the tokens are both sorted, so a binary search per span finds its tokens. Control strings stand for
+A conversation is rendered as a whole and encoded once. Tokens of a byte-level vocabulary are runs of the text's bytes
+in order, so the running sum of their lengths gives all offsets at once. The spans of the assistant's texts and the
+spans of the tokens are both sorted, so a binary search finds the tokens of every span. Control strings stand for
 single tokens and are cut out before the text is split, so no token reaches over the border of a span.
 """
 
 from __future__ import annotations
 
+import base64
 import hashlib
 import re
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from tokenizers import AddedToken, Tokenizer
 
+from layerwright.llm.byte_pairs import token_ids
 from layerwright.llm.common import small_batches
 
 START, BODY, END = "<|im_start|>", "<|im_sep|>", "<|im_end|>"
-VOCABULARY = "byte_bpe_50k.json"
+VOCABULARY = "byte_bpe_50k.tiktoken"
 # An opening "<|" in a text gets a backslash between its two characters, one more than it has: after that no text
 # holds a control string, and taking one away again restores it.
 _OPENING = re.compile(r"<(\\*)\|")
 _ESCAPED = re.compile(r"<\\(\\*)\|")
 _TURN = re.compile(re.escape(START) + r"(.*?)" + re.escape(BODY) + r"(.*?)" + re.escape(END), re.DOTALL)
-_tokenizers: dict[str, Tokenizer] = {}
+_coders: dict[tuple[bytes, str], tuple[tiktoken.Encoding, np.ndarray]] = {}
 
 
 def escape(text: str) -> str:
@@ -43,12 +46,27 @@ def vocabulary_path(name: str = VOCABULARY) -> str:
     return public_tokenizers.path(name)
 
 
-def tokenizer(path: str) -> Tokenizer:
-    if path not in _tokenizers:
-        made = Tokenizer.from_file(path)
-        made.add_special_tokens([AddedToken(t, special=True, normalized=False) for t in (START, BODY, END)])
-        _tokenizers[path] = made
-    return _tokenizers[path]
+def split_pattern() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.PATTERN
+
+
+def coder(ranks: bytes, pattern: str) -> tuple[tiktoken.Encoding, np.ndarray]:
+    """The encoder of a rank file's content with the control strings as tokens above it, and every token's length in bytes."""
+    known = (hashlib.sha256(ranks).digest(), pattern)
+    if known not in _coders:
+        lines = map(bytes.split, ranks.splitlines())
+        tokens = {base64.b64decode(token): int(rank) for token, rank in lines}
+        # One identifier stays free between the file's and the control strings', for the end of a text.
+        first = max(tokens.values()) + 2
+        control = {text: first + i for i, text in enumerate((START, BODY, END))}
+        lengths = np.zeros(first + len(control), np.int64)
+        for token, rank in [*tokens.items(), *((text.encode(), rank) for text, rank in control.items())]:
+            lengths[rank] = len(token)
+        made = tiktoken.Encoding("chat", pat_str=pattern, mergeable_ranks=tokens, special_tokens=control)
+        _coders[known] = made, lengths
+    return _coders[known]
 
 
 def render(turns: list[tuple[str, str]], learn_from: str = "assistant") -> tuple[str, list[tuple[int, int]]]:
@@ -76,13 +94,27 @@ def loss_mask(offsets: np.ndarray, spans: list[tuple[int, int]]) -> np.ndarray:
     return mask
 
 
-def encode(turns: list[tuple[str, str]], coder: Tokenizer, learn_from: str = "assistant") -> dict:
+def character_offsets(text: str, lengths: np.ndarray) -> np.ndarray:
+    """Start and end of each token in code points, from the tokens' lengths in bytes; what holds part of one holds all of it."""
+    ends = np.cumsum(lengths)
+    starts = ends - lengths
+    if text.isascii() or not len(ends):
+        return np.column_stack((starts, ends))
+    leads = (np.frombuffer(text.encode("utf-8"), np.uint8) & 0xC0) != 0x80
+    place = np.cumsum(leads) - 1
+    return np.column_stack((place[starts], place[ends - 1] + 1))
+
+
+def encode(
+    turns: list[tuple[str, str]], made: tuple[tiktoken.Encoding, np.ndarray], learn_from: str = "assistant"
+) -> dict:
     text, spans = render(turns, learn_from)
-    encoded = coder.encode(text, add_special_tokens=False)
-    offsets = np.array(encoded.offsets, np.int64).reshape(-1, 2)
+    encoding, lengths = made
+    ids = token_ids(encoding, text)
+    offsets = character_offsets(text, lengths[ids])
     return {
         "formatted": text,
-        "token_ids": np.array(encoded.ids, np.int32),
+        "token_ids": ids.astype(np.int32),
         "token_starts": offsets[:, 0].astype(np.int32),
         "token_ends": offsets[:, 1].astype(np.int32),
         "loss_mask": loss_mask(offsets, spans),
@@ -110,29 +142,34 @@ FORMATTED_SCHEMA = (
 )
 
 
-def format_chats(conversations: DataFrame, vocabulary: str | None = None, learn_from: str = "assistant") -> DataFrame:
+def format_chats(
+    conversations: DataFrame, vocabulary: str | None = None, learn_from: str = "assistant", pattern: str | None = None
+) -> DataFrame:
     """One row per conversation: conv_id, formatted, token_ids, token_starts, token_ends, loss_mask.
 
     Rows are ordered by turn, ties by role and text; a null turn comes first. Null texts and roles are empty. Rows
     with a null conv_id are one conversation. Other columns are not read; an empty table gives none. Conversations
-    are sorted together and streamed: a task holds one conversation, which is one value of its result.
+    are sorted together and streamed: a task holds one conversation, which is one value of its result. The rank file
+    ``vocabulary`` (by default the public one) is read by the driver and sent to the executors, ``pattern`` splits texts.
     """
-    vocabulary = vocabulary or vocabulary_path()
+    with open(vocabulary or vocabulary_path(), "rb") as file:
+        ranks = conversations.sparkSession.sparkContext.broadcast(file.read())
+    pattern = pattern or split_pattern()
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        coder, current, turns = tokenizer(vocabulary), None, []
+        made_coder, current, turns = coder(ranks.value, pattern), None, []
         for batch in batches:
             made = []
             for conv, role, text in zip(batch.conv_id, batch.role, batch.body):
                 if turns and conv != current:
-                    made.append({"conv_id": current, **encode(turns, coder, learn_from)})
+                    made.append({"conv_id": current, **encode(turns, made_coder, learn_from)})
                     turns = []
                 current = conv
                 turns.append((role, text))
             if made:
                 yield pd.DataFrame(made)
         if turns:
-            yield pd.DataFrame([{"conv_id": current, **encode(turns, coder, learn_from)}])
+            yield pd.DataFrame([{"conv_id": current, **encode(turns, made_coder, learn_from)}])
 
     small_batches(conversations.sparkSession)
     rows = conversations.select(

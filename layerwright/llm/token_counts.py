@@ -17,6 +17,7 @@ import tiktoken
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from layerwright.llm.byte_pairs import token_ids
 from layerwright.llm.common import small_batches
 from layerwright.llm.files import file_system, new_file
 from layerwright.session import scratch_path, stage
@@ -69,7 +70,7 @@ def write_token_files(
             for text in batch.body:
                 # Unpaired surrogates cannot come out of UTF-8; control strings in a text are ordinary text.
                 if text:
-                    out.write(np.array(coder.encode_ordinary(text), "<u2").tobytes())
+                    out.write(token_ids(coder, text).astype("<u2").tobytes())
                 out.write(end)
             yield pd.DataFrame(
                 {"path": f"{store}/{path.rsplit('/', 1)[1]}", "place": np.arange(place, place + len(batch)), "doc_id": batch.doc_id}

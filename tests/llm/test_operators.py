@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as contract
 import corpus_pipeline
-from layerwright.llm import chat, common, mixing, near_dedup, quality, sharding, token_counts, toxicity, warc
+from layerwright.llm import byte_pairs, chat, common, mixing, near_dedup, quality, sharding, token_counts, toxicity, warc
 from layerwright.llm.decontaminate import contaminated_pairs, decontaminate
 from layerwright.llm.exact_dedup import exact_dedup
 from layerwright.llm.queries import registry
@@ -343,6 +343,35 @@ def test_chat_round_trip(spark):
         assert chat.unescape(chat.escape(text)) == text and "<|" not in chat.escape(text)
 
 
+def test_chat_tokens_are_those_of_another_encoder(docs):
+    """The same vocabulary in another library, which reports offsets itself; it has the control strings added."""
+    import public_tokenizers
+    from tokenizers import AddedToken, Tokenizer
+
+    other = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    other.add_special_tokens([AddedToken(t, special=True, normalized=False) for t in (chat.START, chat.BODY, chat.END)])
+    with open(chat.vocabulary_path(), "rb") as file:
+        made = chat.coder(file.read(), chat.split_pattern())
+    odd_texts = ["", " ", "é日本🙂‍👩", "\r\n \t", "<|endoftext|>", "don't we'LL 1234", "\u00a0\u3000x", "a" * 3000, "<|im_sep|>", "\x00"]
+    for texts in [odd_texts, *[[r.text or ""] for r in docs.limit(40).collect()]]:
+        turns = [(role, text) for text in texts for role in ("user", "assistant")]
+        found, expected = chat.encode(turns, made), other.encode(chat.render(turns)[0], add_special_tokens=False)
+        assert found["token_ids"].tolist() == expected.ids
+        assert list(zip(found["token_starts"].tolist(), found["token_ends"].tolist())) == expected.offsets
+        assert byte_pairs._piece_by_piece(made[0], found["formatted"]) == expected.ids
+
+
+def test_runs_of_blanks_that_the_splitter_gives_up_on(spark):
+    blanks = " " * 2_000_000 + "x" + "\n" * 1_000_000
+    given = spark.createDataFrame([(1, 0, "assistant", blanks)], "conv_id long, turn long, role string, text string")
+    found = chat.chat_digests(chat.format_chats(given)).first()
+    assert (found.loss_chars, found.loss_sha256) == (len(blanks), hashlib.sha256(blanks.encode()).hexdigest())
+    docs = spark.createDataFrame([(1, blanks), (2, "x")], "doc_id long, text string")
+    counts = {r.doc_id: r.n_tokens for r in token_counts.token_counts(docs).collect()}
+    encoding = token_counts.encoder(token_counts.vocabulary_path())
+    assert counts == {1: len(byte_pairs._piece_by_piece(encoding, blanks)), 2: 1}
+
+
 def test_classifiers(spark, odd, empty):
     source = "/root/testdata/sf0.01"
     given, labels = (spark.read.parquet(f"{source}/{t}.parquet") for t in ("documents", "labels"))
