@@ -14,7 +14,7 @@ import re
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -23,6 +23,8 @@ from layerwright.llm.byte_pairs import token_ids
 from layerwright.llm.common import small_batches
 
 START, BODY, END = "<|im_start|>", "<|im_sep|>", "<|im_end|>"
+# A batch ends after this much text, so its arrays stay small.
+BATCH_CHARACTERS = 1 << 24
 VOCABULARY = "byte_bpe_50k.tiktoken"
 # An opening "<|" in a text gets a backslash between its two characters, one more than it has: after that no text
 # holds a control string, and taking one away again restores it.
@@ -142,6 +144,25 @@ FORMATTED_SCHEMA = (
 )
 
 
+_ARRAYS = {"token_ids": pa.int32(), "token_starts": pa.int32(), "token_ends": pa.int32(), "loss_mask": pa.int8()}
+
+
+def _rows(made: list[dict]) -> pa.RecordBatch:
+    """Encoded conversations as one batch: their arrays lie end to end."""
+    ends = np.cumsum([0] + [len(row["token_ids"]) for row in made], dtype=np.int32)
+    columns = {name: pa.array([row[name] for row in made], pa.string()) for name in ("conv_id", "formatted")}
+    for name, kind in _ARRAYS.items():
+        flat = pa.array(np.concatenate([row[name] for row in made]), kind)
+        columns[name] = pa.ListArray.from_arrays(pa.array(ends), flat)
+    return pa.RecordBatch.from_pydict(columns)
+
+
+def _slices(column: pa.ListArray) -> Iterator[np.ndarray]:
+    """The arrays of a list column, as views of its values."""
+    ends, flat = column.offsets.to_numpy(), column.values.to_numpy()
+    return (flat[a:b] for a, b in zip(ends, ends[1:]))
+
+
 def format_chats(
     conversations: DataFrame, vocabulary: str | None = None, learn_from: str = "assistant", pattern: str | None = None
 ) -> DataFrame:
@@ -156,20 +177,24 @@ def format_chats(
         ranks = conversations.sparkSession.sparkContext.broadcast(file.read())
     pattern = pattern or split_pattern()
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        made_coder, current, turns = coder(ranks.value, pattern), None, []
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        made_coder, current, turns, made, held = coder(ranks.value, pattern), None, [], [], 0
         for batch in batches:
-            made = []
-            for conv, role, text in zip(batch.conv_id, batch.role, batch.body):
+            for conv, role, text in zip(*[batch.column(name).to_pylist() for name in ("conv_id", "role", "body")]):
                 if turns and conv != current:
                     made.append({"conv_id": current, **encode(turns, made_coder, learn_from)})
                     turns = []
+                    held += len(made[-1]["formatted"])
+                    if held > BATCH_CHARACTERS:
+                        yield _rows(made)
+                        made, held = [], 0
                 current = conv
                 turns.append((role, text))
             if made:
-                yield pd.DataFrame(made)
+                yield _rows(made)
+                made, held = [], 0
         if turns:
-            yield pd.DataFrame([{"conv_id": current, **encode(turns, made_coder, learn_from)}])
+            yield _rows([{"conv_id": current, **encode(turns, made_coder, learn_from)}])
 
     small_batches(conversations.sparkSession)
     rows = conversations.select(
@@ -180,7 +205,7 @@ def format_chats(
     )
     ordered = rows.repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "body")
     text_id = FORMATTED_SCHEMA.replace("conv_id long", "conv_id string")
-    return ordered.select("conv_id", "role", "body").mapInPandas(run, text_id).withColumn("conv_id", F.col("conv_id").cast("long"))
+    return ordered.select("conv_id", "role", "body").mapInArrow(run, text_id).withColumn("conv_id", F.col("conv_id").cast("long"))
 
 
 def _sha(text: str) -> str:
@@ -190,21 +215,22 @@ def _sha(text: str) -> str:
 def chat_digests(formatted: DataFrame) -> DataFrame:
     """Read formatted conversations back: conv_id, n_turns, turns_sha256, loss_chars, loss_sha256, formatted_chars."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
-            for conv, text, starts, ends, mask in zip(
-                batch.conv_id, batch.formatted, batch.token_starts, batch.token_ends, batch.loss_mask
-            ):
+            arrays = [_slices(batch.column(name)) for name in ("token_starts", "token_ends", "loss_mask")]
+            for text, starts, ends, mask in zip(batch.column("formatted").to_pylist(), *arrays):
                 turns = parse(text)
-                learnt = masked_text(text, np.asarray(starts), np.asarray(ends), np.asarray(mask))
+                learnt = masked_text(text, starts, ends, mask)
                 digest = _sha("".join(f"{role}\n{body}\n" for role, body in turns))
-                rows.append((conv, len(turns), digest, len(learnt), _sha(learnt), len(text)))
-            yield pd.DataFrame(
-                rows, columns=["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"]
-            )
+                rows.append((len(turns), digest, len(learnt), _sha(learnt), len(text)))
+            columns = zip(*rows) if rows else [[]] * 5
+            kinds = [pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64()]
+            found = [pa.array(values, kind) for values, kind in zip(columns, kinds)]
+            names = ["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"]
+            yield pa.RecordBatch.from_arrays([batch.column("conv_id"), *found], names)
 
     small_batches(formatted.sparkSession)
     schema = "conv_id string, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long"
     texted = formatted.withColumn("conv_id", F.col("conv_id").cast("string"))
-    return texted.mapInPandas(run, schema).withColumn("conv_id", F.col("conv_id").cast("long"))
+    return texted.mapInArrow(run, schema).withColumn("conv_id", F.col("conv_id").cast("long"))
