@@ -1,8 +1,9 @@
 """Exact dedup by a content sort.
 
 Sampled splitters range-partition the normalised texts, an external sort puts equal texts side by side, and the
-run of equal neighbours (compared in full) keeps one identifier. Texts that hold a large share of all rows are
-first cut into salted runs, and the few representatives of those runs meet in a second, small pass.
+run of equal neighbours (compared in full) keeps one identifier. Texts with more rows than a task should hold are
+first cut into as many salted runs as their rows need, and the representatives of those runs meet in a second, small
+pass.
 """
 
 from __future__ import annotations
@@ -18,7 +19,12 @@ HEAD = 64
 
 
 def exact_dedup(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: str = "smallest", heavy_share: int = 128, salts: int = 32
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    keep: str = "smallest",
+    run_rows: int = 20_000,
+    heavy_texts: int = 65_536,
 ) -> DataFrame:
     """One row per input row: doc_id, keep_id, group_size, kept, text_sha256.
 
@@ -27,20 +33,22 @@ def exact_dedup(
     any one of them. Null identifiers lose against all others; a group with null identifiers only has a null
     keep_id and still keeps one row. Other columns are not read. An empty table gives an empty result.
 
-    A text with at least 1/``heavy_share`` of all rows is salted, so at most ``heavy_share`` texts are, and their
-    totals (one row each) are broadcast.
+    A text with more than ``run_rows`` rows is salted into runs of about that many, by id and task of origin, so rows
+    without an id and rows that repeat one spread too. A text must also hold 1/``heavy_texts`` of all rows: so at most
+    that many are salted, and their totals (one row each) are broadcast.
     """
     rows = docs.select(
         F.col(id_col).cast("long").alias("doc_id"), ascii_lower(F.coalesce(F.col(text_col), F.lit(""))).alias("body")
     ).withColumn("h", F.xxhash64("body"))
     counts = stage(rows.groupBy("h").agg(F.count(F.lit(1)).alias("n")), "dedup-counts")
     total = counts.agg(F.sum("n")).first()[0] or 0
-    heavy = counts.filter(F.col("n") * heavy_share >= total).select("h", F.lit(True).alias("heavy"))
+    heavy = counts.filter((F.col("n") > run_rows) & (F.col("n") * heavy_texts >= total)).select(
+        "h", F.lit(True).alias("heavy"), F.ceil(F.col("n") / run_rows).alias("salts")
+    )
+    # The task of origin is the same when a lost task runs again.
+    spread = F.pmod(F.xxhash64("doc_id", F.spark_partition_id()), F.col("salts"))
     salted = rows.join(F.broadcast(heavy), "h", "left").select(
-        "doc_id",
-        "body",
-        "heavy",
-        F.when(F.col("heavy"), F.pmod(F.xxhash64("doc_id"), F.lit(salts))).otherwise(0).cast("int").alias("salt"),
+        "doc_id", "body", "heavy", F.when(F.col("heavy"), spread).otherwise(0).cast("int").alias("salt")
     )
     best_first = F.col("doc_id").asc_nulls_last() if keep == "smallest" else F.col("doc_id").desc_nulls_last()
     run = Window.partitionBy("head", "h", "body", "salt").orderBy(best_first)
@@ -62,21 +70,18 @@ def exact_dedup(
     runs = stage(
         runs.withColumn("body", F.when(F.col("heavy") & (F.col("place") == 1), F.col("body"))), "dedup-runs"
     )
-    best = F.min if keep == "smallest" else F.max
+    # Null identifiers lose; of runs that keep the same identifier one wins.
+    if keep == "smallest":
+        winner = F.min(F.struct(F.col("run_keep").isNull(), "run_keep", "salt"))
+    else:
+        winner = F.max(F.struct(F.col("run_keep").isNotNull(), "run_keep", "salt"))
     merged = (
         runs.filter(F.col("heavy") & (F.col("place") == 1))
         .groupBy("body", "text_sha256")
-        .agg(
-            best("run_keep").alias("all_keep"),
-            F.sum("run_size").alias("all_size"),
-            F.min(F.when(F.col("run_keep").isNull(), F.col("salt"))).alias("null_salt"),
-        )
-        .drop("body")
+        .agg(winner.alias("winner"), F.sum("run_size").alias("all_size"))
+        .select("text_sha256", "all_size", F.col("winner.run_keep").alias("all_keep"), F.col("winner.salt").alias("keep_salt"))
     )
     keep_id = F.when(F.col("heavy"), F.col("all_keep")).otherwise(F.col("run_keep"))
-    same_run = F.when(F.col("all_keep").isNull(), F.col("salt") == F.col("null_salt")).otherwise(
-        F.col("run_keep").eqNullSafe(F.col("all_keep"))
-    )
     return (
         runs.drop("body")
         .join(F.broadcast(merged), "text_sha256", "left")
@@ -84,7 +89,7 @@ def exact_dedup(
             "doc_id",
             keep_id.alias("keep_id"),
             F.when(F.col("heavy"), F.col("all_size")).otherwise(F.col("run_size")).alias("group_size"),
-            ((F.col("place") == 1) & (F.col("heavy").isNull() | same_run)).alias("kept"),
+            ((F.col("place") == 1) & (F.col("heavy").isNull() | (F.col("salt") == F.col("keep_salt")))).alias("kept"),
             "text_sha256",
         )
     )

@@ -67,6 +67,25 @@ def test_exact_dedup(odd, empty):
     assert exact_dedup(empty).count() == 0
 
 
+@pytest.mark.parametrize("keep", ["smallest", "largest"])
+@pytest.mark.parametrize("run_rows", [1, 7, 20_000])
+def test_exact_dedup_of_heavy_texts(spark, keep, run_rows):
+    """Runs of any length give what a plain grouping does, with ids that repeat, null ids and texts without any id."""
+    hot = [(i % 90, "Hot") for i in range(300)] + [(None, "hOT")] * 100 + [(None, "none")] * 60 + [(9, "nine")] * 40
+    rows = hot + [(1000 + i, f"t{i % 30}") for i in range(90)] + [(5000, None), (5001, "")]
+    given = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    found = exact_dedup(given, keep=keep, run_rows=run_rows).collect()
+    groups = {}
+    for doc_id, text in rows:
+        groups.setdefault(hashlib.sha256((text or "").lower().encode()).hexdigest(), []).append(doc_id)
+    assert sorted((r.doc_id or -1, r.text_sha256) for r in found) == sorted((i or -1, h) for h, ids in groups.items() for i in ids)
+    for digest, ids in groups.items():
+        same, known = [r for r in found if r.text_sha256 == digest], [i for i in ids if i is not None]
+        best = (min if keep == "smallest" else max)(known) if known else None
+        assert {(r.keep_id, r.group_size) for r in same} == {(best, len(ids))}
+        assert [r.doc_id for r in same if r.kept] == [best]
+
+
 def test_decontamination(spark, odd, empty):
     items = spark.createDataFrame(
         [(1, "text here"), (2, "a b c d e f g h i j"), (3, None), (4, " "), (None, "É é")], "item_id long, text string"
