@@ -23,7 +23,7 @@ def exact_dedup(
     id_col: str = "doc_id",
     text_col: str = "text",
     keep: str = "smallest",
-    run_rows: int = 20_000,
+    run_rows: int = 1_000,
     heavy_texts: int = 65_536,
 ) -> DataFrame:
     """One row per input row: doc_id, keep_id, group_size, kept, text_sha256.
