@@ -11,7 +11,9 @@ What happens to the rows:
 
 1. Texts with the same set of shingles form a class, told apart by 127 bits of a digest; only classes go on.
 2. In each bucket the smallest class is the leader and every member is compared with it: links per bucket grow
-   with its size, not with the square. Compared means: minhash agreement first, then the full sets.
+   with its size, not with the square. Compared means: minhash agreement and parities first, then the full sets.
+   The parities bound from below what two sets do not share, so they turn away no similar pair, and of large groups
+   of texts that are alike but not similar enough few pairs are left.
 3. Connected components. Buckets of more than two whose members are now in different components are looked at
    once more, so members that missed the leader find each other: pairs across components that share one of their
    rarest shingles, which similar sets must.
@@ -40,6 +42,8 @@ MOST_TABLES = 128
 MEMBERS_PER_TASK_GROUP = 256
 MAP_BITS = 1 << 23
 SHINGLES_AT_ONCE = 1024
+# Places that shingles are dealt to for the parities of a set, 128 bytes a set.
+PARITIES = 1024
 
 _WORDS_KEPT = 400_000
 _word_hashes: dict[bytes, int] = {}
@@ -121,9 +125,19 @@ def minhashes(shingles: np.ndarray, hashes: int) -> np.ndarray:
     return (out >> np.uint64(32)).astype(np.uint32).view(np.int32)
 
 
+def parities(shingles: np.ndarray) -> np.ndarray:
+    """For each of ``PARITIES`` places whether an odd number of the shingles falls on it, packed into longs.
+
+    Shared shingles cancel out, so two sets differ in at least as many shingles as their parities differ in places.
+    """
+    places = (shingles & np.uint64(PARITIES - 1)).astype(np.int64)
+    odd = (np.bincount(places, minlength=PARITIES) & 1).astype(np.uint8)
+    return np.packbits(odd).view(np.int64)
+
+
 def _signed(batches: Iterator[pd.DataFrame], width: int, scheme: Bands) -> Iterator[pd.DataFrame]:
     for batch in batches:
-        counts, classes, checks, signatures = [], [], [], []
+        counts, classes, checks, signatures, odds = [], [], [], [], []
         for text in batch.body:
             shingles = shingle_set(text, width)
             counts.append(len(shingles))
@@ -132,10 +146,12 @@ def _signed(batches: Iterator[pd.DataFrame], width: int, scheme: Bands) -> Itera
                 classes.append(int.from_bytes(digest[:8], "little") >> 1)
                 checks.append(int.from_bytes(digest[8:], "little", signed=True))
                 signatures.append(minhashes(shingles, scheme.hashes))
+                odds.append(parities(shingles))
             else:
                 classes.append(None)
                 checks.append(None)
                 signatures.append(None)
+                odds.append(None)
         yield pd.DataFrame(
             {
                 "row_key": batch.row_key,
@@ -144,6 +160,7 @@ def _signed(batches: Iterator[pd.DataFrame], width: int, scheme: Bands) -> Itera
                 "class": pd.array(classes, "Int64"),
                 "check": pd.array(checks, "Int64"),
                 "signature": signatures,
+                "parities": odds,
             }
         )
 
@@ -151,7 +168,7 @@ def _signed(batches: Iterator[pd.DataFrame], width: int, scheme: Bands) -> Itera
 def sign(
     docs: DataFrame, width: int, scheme: Bands, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
-    """Per row: row_key, doc_id, n_shingles, class and check (63 and 64 bits of a digest of the shingle set), signature."""
+    """Per row: row_key, doc_id, n_shingles, class and check (63 and 64 bits of a digest of the shingle set), signature, parities."""
     small_batches(docs.sparkSession)
     body = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("body")).select(
         row_key(F.col("doc_id"), F.col("body")).alias("row_key"), F.col("doc_id").cast("string").alias("doc_id"), "body"
@@ -159,13 +176,13 @@ def sign(
     # Ids go as text: beside a null pandas would make them floats, which hold 53 bits.
     signed = body.mapInPandas(
         lambda batches: _signed(batches, width, scheme),
-        "row_key string, doc_id string, n_shingles long, class long, check long, signature array<int>",
+        "row_key string, doc_id string, n_shingles long, class long, check long, signature array<int>, parities array<long>",
     )
     return signed.withColumn("doc_id", F.col("doc_id").cast("long"))
 
 
 def classes_of(signed: DataFrame) -> DataFrame:
-    """One row per class: its smallest row_key, set size and signature, and the least and greatest check of its rows."""
+    """One row per class: its smallest row_key, set size, signature and parities, and the least and greatest check of its rows."""
     return (
         signed.filter("n_shingles > 0")
         .groupBy("class")
@@ -173,6 +190,7 @@ def classes_of(signed: DataFrame) -> DataFrame:
             F.min("row_key").alias("row_key"),
             F.first("n_shingles").alias("n"),
             F.first("signature").alias("signature"),
+            F.first("parities").alias("parities"),
             F.min("check").alias("low"),
             F.max("check").alias("high"),
         )
@@ -222,6 +240,12 @@ def _agree(a: Column, b: Column, percent: int, hashes: int) -> Column:
     return same >= least
 
 
+def _differ_little(a: Column, b: Column, n_a: Column, n_b: Column, percent: int) -> Column:
+    """Whether the parities let the sets be similar: those differ in at most (1 - p) / (1 + p) of both sizes. Exact, drops no similar pair."""
+    apart = F.aggregate(F.zip_with(a, b, lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x)
+    return apart * (100 + percent) <= (n_a + n_b) * (100 - percent)
+
+
 def _sizes_fit(a: Column, b: Column, percent: int) -> Column:
     return F.least(a, b) * 100 >= F.greatest(a, b) * percent
 
@@ -378,12 +402,18 @@ def near_dedup(
     keyed = table_keys(classes, scheme)
     shared = keyed.groupBy("key").agg(F.min("class").alias("leader"), F.count(F.lit(1)).alias("m")).filter("m > 1")
     members = stage(split_lookup(keyed, shared, ["key"]).select("key", "leader", "m", "class"), "near-members")
-    marks = classes.select("class", "n", "signature")
+    marks = classes.select("class", "n", "signature", "parities")
 
     def likely(pairs: DataFrame) -> DataFrame:
-        left = marks.select(F.col("class").alias("a"), F.col("n").alias("n_a"), F.col("signature").alias("sig_a"))
-        right = marks.select(F.col("class").alias("b"), F.col("n").alias("n_b"), F.col("signature").alias("sig_b"))
-        close = _sizes_fit(F.col("n_a"), F.col("n_b"), percent) & _agree(F.col("sig_a"), F.col("sig_b"), percent, scheme.hashes)
+        left, right = (
+            marks.select(*[F.col(c).alias(to) for c, to in (("class", side), ("n", f"n_{side}"), ("signature", f"sig_{side}"), ("parities", f"odd_{side}"))])
+            for side in ("a", "b")
+        )
+        close = (
+            _sizes_fit(F.col("n_a"), F.col("n_b"), percent)
+            & _differ_little(F.col("odd_a"), F.col("odd_b"), F.col("n_a"), F.col("n_b"), percent)
+            & _agree(F.col("sig_a"), F.col("sig_b"), percent, scheme.hashes)
+        )
         return pairs.join(left, "a").join(right, "b").filter(close).select("a", "b")
 
     with_leader = members.filter("leader != class").select(F.col("leader").alias("a"), F.col("class").alias("b"))
@@ -406,7 +436,7 @@ def near_dedup(
 
     def labelled() -> DataFrame:
         return rare.join(labels, rare["class"] == labels["node"], "left").select(
-            "token", "earlier", "class", "signature", F.struct("n", "place").alias("at"), F.coalesce("label", "class").alias("label")
+            "token", "earlier", "class", "signature", "parities", F.struct("n", "place").alias("at"), F.coalesce("label", "class").alias("label")
         )
 
     x, y = labelled().alias("x"), labelled().alias("y")
@@ -417,6 +447,7 @@ def near_dedup(
         & (F.col("x.class") < F.col("y.class"))
         & _sizes_fit(F.col("x.at.n"), F.col("y.at.n"), percent)
         & _can_reach(F.col("x.at"), F.col("y.at"), percent)
+        & _differ_little(F.col("x.parities"), F.col("y.parities"), F.col("x.at.n"), F.col("y.at.n"), percent)
         & _agree(F.col("x.signature"), F.col("y.signature"), percent, scheme.hashes)
         # A pair comes once, at the first shingle it shares.
         & ~F.arrays_overlap("x.earlier", "y.earlier"),
