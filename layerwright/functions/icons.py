@@ -26,21 +26,30 @@ def _payload(drawing: Column) -> Column:
     return F.when(_is_xml(drawing), F.coalesce(first_image, F.lit(NO_PAYLOAD))).otherwise(F.lit(INVALID_XML))
 
 
-def icon_entries(library: Column) -> Column:
-    """Title and payload of each drawing; a title that is repeated has its last payload. Broken libraries have none."""
+def _drawings(library: Column) -> Column:
+    """``title, back, xml`` of each drawing by title, the last of a title first. Broken libraries have none."""
     listed = F.when(_is_xml(library), F.try_parse_json(F.xpath_string(library, F.lit("/*/text()[1]"))))
     drawings = F.coalesce(F.try_variant_get(listed, "$", "array<struct<title:string,xml:string>>"), F.array())
     entries = F.transform(
         drawings,
-        lambda d: F.struct(
+        lambda d, place: F.struct(
             F.coalesce(d["title"], F.lit(NO_TITLE)).alias("title"),
-            _payload(F.coalesce(d["xml"], F.lit(""))).alias("payload"),
+            F.negate(place).alias("back"),
+            F.coalesce(d["xml"], F.lit("")).alias("xml"),
         ),
     )
-    titles = F.array_distinct(entries["title"])
-    return F.transform(titles, lambda t: F.element_at(F.filter(entries, lambda e: e["title"] == t), -1))
+    return F.array_sort(entries)
 
 
 def icon_library_extract(df: DataFrame, library: str, keep: list[str]) -> DataFrame:
-    """One row per title of each library: the ``keep`` columns, ``title``, ``payload``."""
-    return df.select(*keep, F.inline(icon_entries(F.col(library))))
+    """One row per title of each library: the ``keep`` columns, ``title``, ``payload``. A repeated title has its last payload.
+
+    A library is parsed once, and of its drawings those that stay are parsed once, each as a row of its own.
+    """
+    parsed = df.select(*keep, _drawings(F.col(library)).alias("__drawings"))
+    sorted_drawings = F.col("__drawings")
+    last = F.filter(
+        sorted_drawings, lambda d, place: (place == 0) | (F.get(sorted_drawings, place - 1)["title"] != d["title"])
+    )
+    listed = parsed.select("*", F.explode(last).alias("__drawing")).drop("__drawings")
+    return listed.select("*", F.col("__drawing.title").alias("title"), _payload(F.col("__drawing.xml")).alias("payload")).drop("__drawing")

@@ -14,6 +14,11 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """The rows dealt to as many tasks as a shuffle has: for work that is long per row, on a table of few row groups."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
+
 def scratch_database(spark: SparkSession, layer: str) -> str:
     """A new database with its own folder in the shared scratch folder."""
     name = f"{layer}_{uuid.uuid4().hex[:12]}"

@@ -261,7 +261,8 @@ def icon_library_extract(spark, sf):
         F.lit(entries), {"title": F.col("p_name"), "payload": text.to_base64(F.col("p_name"))}
     )
     root = F.when(F.col("p_type") == "SMALL", "<mxlibrary>").otherwise("</mxlibrary>")
-    libraries = table(spark, sf, "part").select(
+    parts = inputs.spread(table(spark, sf, "part").select("p_partkey", "p_name", "p_type"))
+    libraries = parts.select(
         "p_partkey", F.concat(F.lit("<mxlibrary>"), library, root).alias("library")
     )
     return icons.icon_library_extract(libraries, "library", ["p_partkey"])
