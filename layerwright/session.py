@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -20,6 +21,13 @@ RUNTIME_SETTINGS = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.session.timeZone": "UTC",
 }
+# The most bytes, as shuffled, that a task is given, and from which a partition of
+# a join counts as skewed. In memory rows take some twenty times as much, and a task
+# sorts and hashes several inputs at once. A session that asks for less keeps it.
+MOST_BYTES = {
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": 16 << 20,
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": 48 << 20,
+}
 
 
 def build_session(
@@ -31,7 +39,7 @@ def build_session(
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    for key, value in {**RUNTIME_SETTINGS, **(settings or {})}.items():
+    for key, value in {**RUNTIME_SETTINGS, **MOST_BYTES, **(settings or {})}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 
@@ -40,9 +48,18 @@ def apply_runtime_settings(spark: SparkSession) -> SparkSession:
     """Set the runtime settings on a session somebody else has built."""
     for key, value in RUNTIME_SETTINGS.items():
         spark.conf.set(key, value)
+    for key, most in MOST_BYTES.items():
+        if _bytes(spark.conf.get(key)) > most:
+            spark.conf.set(key, most)
     return spark
 
 
+def _bytes(size: str) -> int:
+    """A size as Spark's settings write it, in bytes."""
+    number, unit = re.fullmatch(r"\s*(\d+)\s*([kmgtp]?)i?b?\s*", size.lower()).groups()
+    return int(number) << 10 * " kmgtp".index(unit or " ")
+
+
 def scratch_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, as ``spark.checkpoint.dir`` names it.
 

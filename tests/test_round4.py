@@ -3,6 +3,7 @@
 import json
 
 from layerwright.functions import icons
+from layerwright.session import MOST_BYTES, apply_runtime_settings
 
 
 def test_icon_library_parses_a_drawing_once(spark, capsys):
@@ -17,3 +18,12 @@ def test_icon_library_parses_a_drawing_once(spark, capsys):
     out.explain()
     # One for the library, one for a drawing, in the text of the plan each.
     assert capsys.readouterr().out.lower().count("from_xml(") <= 2
+
+
+def test_runtime_settings_bound_the_bytes_of_a_task(spark):
+    session = spark.newSession()
+    advisory = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    for asked, used in (("64MB", 16 << 20), ("1g", 16 << 20), ("67108864b", 16 << 20), ("8m", "8m"), ("20000", "20000")):
+        session.conf.set(advisory, asked)
+        assert apply_runtime_settings(session).conf.get(advisory) == str(used)
+    assert MOST_BYTES[advisory] == 16 << 20
