@@ -15,6 +15,8 @@ from layerwright.session import hadoop_path
 
 # Folders of a table's rows stand in one of this name beside the table's own folder; readers of the folder above skip it.
 _SNAPSHOTS = "_snapshots_"
+# Tables are written once a load and read often: smaller files for a little more work.
+SNAPSHOT_CODEC = "zstd"
 # The table property that names the folder of the rows before the present ones.
 _BEFORE = "layerwright.rows_before"
 
@@ -91,7 +93,7 @@ def _create(rows: DataFrame, name: str, snapshots: str) -> None:
     snapshot = f"{snapshots}/{uuid.uuid4().hex}"
     made = False
     try:
-        rows.write.parquet(snapshot)
+        rows.write.parquet(snapshot, compression=SNAPSHOT_CODEC)
         spark.catalog.createTable(name, source="parquet", schema=rows.schema)
         made = True
         _point(spark, name, snapshot)
@@ -106,7 +108,7 @@ def _point_at_new_rows(rows: DataFrame, name: str, facts: dict[str, str]) -> Non
     spark, old = rows.sparkSession, facts["Location"].rstrip("/")
     snapshot = _snapshot_beside(old)
     try:
-        rows.write.parquet(snapshot)
+        rows.write.parquet(snapshot, compression=SNAPSHOT_CODEC)
         _add_columns(spark, name, rows.schema)
         _point(spark, name, snapshot)
     except Exception:

@@ -21,14 +21,14 @@ registry = Registry()
 
 
 def _land(spark, sf):
-    """Customers and transactions as semicolon text, products as Parquet, all with copies of every row; metadata for them."""
+    """Customers and transactions as packed semicolon text, products as Parquet, all with copies of every row; metadata for them."""
     root = scratch_path(spark, "files")
     people = inputs.customers(spark, sf).withColumn("LastName", F.expr("nullif(LastName, '000000007')"))
-    people.unionByName(people).write.options(sep=";", header=True).csv(f"{root}/Sales/Customers")
+    people.unionByName(people).write.options(sep=";", header=True).csv(f"{root}/Sales/Customers", compression="gzip")
     goods = inputs.products(spark, sf).withColumn("Price", F.expr("nullif(Price, 900.0)"))
     goods.unionByName(goods).write.parquet(f"{root}/Sales/Products")
     sales = inputs.transactions(spark, sf).withColumn("TransactionDate", F.col("TransactionDate").cast("date"))
-    sales.unionByName(sales).write.options(sep=";", header=True).csv(f"{root}/Sales/Transactions")
+    sales.unionByName(sales).write.options(sep=";", header=True).csv(f"{root}/Sales/Transactions", compression="gzip")
     rows = [
         ("Sales/Customers", "csv", "sales_customers", '["CustomerID", "FirstName", "LastName"]'),
         ("Sales/Products", "parquet", "sales_products", "[]"),

@@ -4,6 +4,7 @@ import json
 
 from layerwright.functions import icons
 from layerwright.session import MOST_BYTES, apply_runtime_settings
+from layerwright.sinks.tables import write_overwrite
 
 
 def test_icon_library_parses_a_drawing_once(spark, capsys):
@@ -27,3 +28,11 @@ def test_runtime_settings_bound_the_bytes_of_a_task(spark):
         session.conf.set(advisory, asked)
         assert apply_runtime_settings(session).conf.get(advisory) == str(used)
     assert MOST_BYTES[advisory] == 16 << 20
+
+
+def test_tables_are_written_packed(spark, database):
+    for n in (5, 7):
+        write_overwrite(spark.range(n).toDF("x"), database, "t")
+        assert spark.table(f"{database}.t").count() == n
+        names = [f.rsplit("/", 1)[1] for f in spark.table(f"{database}.t").inputFiles()]
+        assert names and all(name.endswith(".zstd.parquet") for name in names)
