@@ -10,6 +10,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
+from layerwright.operators.joins import split_lookup
 from layerwright.session import scratch_path, stage, stage_counted
 
 # Executors get the count-down with the query; they need not have this package.
@@ -42,12 +43,15 @@ def dag_levels(activities: DataFrame) -> DataFrame:
     long the chains are. More of them are first settled level by level; a round reads and
     writes the edges still open, until so few are left.
     Dependencies that name no activity are left out; a cycle is an error.
+    What is waited for is listed once, so an edge meets one row, and the edges of
+    a thing that all others wait for can be split.
     """
     staged = stage(activities.select("name", "dependencies"), "dag")
     names = staged.select("name").distinct()
     known = staged.select(F.col("name").alias("dependency"))
-    edges = stage(dag_edges(staged).join(known, "dependency", "left_semi").distinct(), "dag-edges")
-    inner, walked = stage_counted(edges.join(edges.select(F.col("dependency").alias("name")), "name", "left_semi"), "dag-inner")
+    waited = stage(dag_edges(staged).select("dependency").distinct().join(known, "dependency", "left_semi"), "dag-waited")
+    edges = stage(split_lookup(dag_edges(staged).distinct(), waited, ["dependency"]).select("name", "dependency"), "dag-edges")
+    inner, walked = stage_counted(split_lookup(edges, waited.select(F.col("dependency").alias("name")), ["name"]), "dag-inner")
     levels = _walk(inner, walked)
     # What is waited for and does not itself wait has level 0 and is not in ``levels``.
     highest = (
@@ -65,7 +69,7 @@ def _walk(edges: DataFrame, left: int) -> DataFrame:
     while left > EDGES_A_TASK:
         level += 1
         names = edges.select("name").distinct()
-        blocked = edges.join(names.withColumnRenamed("name", "dependency"), "dependency", "left_semi").select("name")
+        blocked = split_lookup(edges, names.withColumnRenamed("name", "dependency"), ["dependency"]).select("name").distinct()
         ready, found = stage_counted(names.join(blocked, "name", "left_anti"), path=f"{rounds}/level={level}")
         if not found:
             raise ValueError(_CYCLE)

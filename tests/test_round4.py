@@ -2,11 +2,50 @@
 
 import json
 
+from pyspark.sql import functions as F
+
 from layerwright.functions import icons
+from layerwright.operators import dag
 from layerwright.session import MOST_BYTES, apply_runtime_settings
 from layerwright.sinks.tables import write_overwrite
 
 
+def _activities(spark, edges):
+    return spark.createDataFrame(list(edges.items()), "name string, dependencies array<string>")
+
+
+def test_dag_levels_spreads_edges_of_one_dependency(spark, monkeypatch):
+    staged = {}
+
+    def keep(df, label="stage", path=None):
+        staged[label] = kept = stage(df.withColumn("__task", F.spark_partition_id()) if label == "dag-edges" else df, label, path)
+        return kept.drop("__task")
+
+    stage = dag.stage
+    monkeypatch.setattr(dag, "stage", keep)
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20000",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20000",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+    }
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        rows = spark.range(40_000, numPartitions=8).selectExpr("concat('a', id) AS name", "array('root', 'lost', concat('m', id % 500)) AS dependencies")
+        middle = spark.range(500).selectExpr("concat('m', id) AS name", "array('root') AS dependencies")
+        every = rows.unionByName(rows.limit(10)).unionByName(middle).unionByName(_activities(spark, {"root": None}))
+        levels = {tuple(r) for r in dag.dag_levels(every).groupBy("level").count().collect()}
+    finally:
+        for key in settings:
+            spark.conf.unset(key)
+    assert levels == {(0, 1), (1, 500), (2, 40_000)}
+    a_task = staged["dag-edges"].where("dependency = 'root'").groupBy("__task").count().agg(F.max("count")).first()[0]
+    assert a_task < 30_000
+
+
 def test_icon_library_parses_a_drawing_once(spark, capsys):
     entries = [{"title": f"t{i % 3}", "xml": f'<a><mxCell style="image=data:image/png,P{i}"/></a>'} for i in range(10)] + [None, {"xml": None}]
     library = "<l>" + json.dumps(entries).replace("&", "&amp;").replace("<", "&lt;") + "</l>"
